@@ -109,7 +109,7 @@ EVENT_TYPES = {"air_quality": AIR_EVENTS, "weather": WEATHER_EVENTS}
 def raw_readings(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """A reading per event: several may share an hour and a station."""
     return _measured(observations(spark, sf_dir, EVENT_TYPES[kind]), kind, "event_id", "event_type",
-                     "observed_at")
+                     "observed_at", "k")
 
 
 def hourly_readings(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
