@@ -1,10 +1,11 @@
 """Fact-to-dimension joins.
 
 Every dimension join here is a plain equi join. Dimensions with a fixed size (condition lookup,
-status, season, severity) carry a broadcast hint; time and location grow with the data, so Spark
-decides from their size: broadcast below `spark.sql.autoBroadcastJoinThreshold`, else a
-sort-merge join, in which adaptive execution cuts a hot key's rows into several tasks (the fact is
-always the preserved, splittable side).
+status, season, severity) carry a broadcast hint. Time and location grow with the data and are
+given as written tables, so Spark checks their real size: broadcast below
+`spark.sql.autoBroadcastJoinThreshold`, else a sort-merge join of two plain shuffles, in which
+adaptive execution cuts a hot key's rows into several tasks (the fact is always the side that may
+be cut).
 """
 
 from __future__ import annotations

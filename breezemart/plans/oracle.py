@@ -150,11 +150,21 @@ def _change(name: str, column: str, back: int) -> str:
             f'(partition by location_key order by "timestamp") as {name}')
 
 
+def _outer(weather: str, air: str) -> str:
+    return f"""
+  select coalesce(w."timestamp", a."timestamp") as "timestamp",
+         coalesce(w.location_key, a.location_key) as location_key,
+         {", ".join("w." + n for n in WEATHER_FEATURES)}, {", ".join("a." + n for n in AIR_FEATURES)}
+  from {weather} w full outer join {air} a
+    on w."timestamp" = a."timestamp" and w.location_key = a.location_key"""
+
+
 def _types(names: list[str]) -> str:
     return ", ".join(f"'{n}'" for n in names)
 
 
 _FIRST = 'row_number() over (partition by "timestamp", location_key order by event_id)'
+_LAST = 'row_number() over (partition by "timestamp", location_key order by observed_at desc)'
 _CONDITION_ROWS = ", ".join(f"({c}, '{d}', '{g}', {s})" for c, d, g, s in lookups.WEATHER_CONDITIONS)
 _STATUS_ROWS = ", ".join(f"({_in(row)})" for row in
                          [lookups.UNKNOWN_AQI, *[band[1:] for band in lookups.AQI_BANDS]])
@@ -182,6 +192,8 @@ weather_raw as (
   from base where event_type in ({_types(q.events.WEATHER_EVENTS)})),
 air as (select * from air_raw qualify {_FIRST} = 1),
 weather as (select * from weather_raw qualify {_FIRST} = 1),
+air_last as (select * from air_raw qualify {_LAST} = 1),
+weather_last as (select * from weather_raw qualify {_LAST} = 1),
 air_fact as (
   select *, {_STATUS_KEY} as status_key, {_select(_AIR_EXTRA)},
          {_calendar('"timestamp"')["time_key"]} as time_key,
@@ -200,12 +212,8 @@ site as (
          user_id % 3 = 0 as is_coastal, {_ZONE} as climate_zone,
          case when latitude >= 0 then 'Northern' else 'Southern' end as hemisphere
   from base),
-harmonized as (
-  select coalesce(w."timestamp", a."timestamp") as "timestamp",
-         coalesce(w.location_key, a.location_key) as location_key,
-         {", ".join("w." + n for n in WEATHER_FEATURES)}, {", ".join("a." + n for n in AIR_FEATURES)}
-  from weather w full outer join air a
-    on w."timestamp" = a."timestamp" and w.location_key = a.location_key),
+harmonized as ({_outer("weather", "air")}),
+harmonized_current as ({_outer("weather_last", "air_last")}),
 conditions(condition_key, description, category, severity_level) as (values {_CONDITION_ROWS}),
 statuses(status_key, aqi_category, health_implications, cautionary_statement, color_code) as (
   values {_STATUS_ROWS}),
@@ -351,14 +359,19 @@ def _counts(tables: dict[str, str]) -> str:
                               for name, source in tables.items())
 
 
-_STATEMENTS = {
-    "harmonized": f"""
+def _features(table: str) -> str:
+    return f"""
 select h."timestamp", h.location_key, {_rounded(WEATHER_FEATURES)}, {_rounded(AIR_FEATURES)},
        {_pick(["year", "month", "hour", "day_of_week", "is_weekend", "season", "is_holiday"],
               'h."timestamp"')},
        p.latitude, p.longitude, p.elevation, p.climate_zone, round({_DENSITY}, 6) as air_density,
        round({_DEW}, 6) as dew_point
-from harmonized h join site p on h.location_key = p.location_key""",
+from {table} h join site p on h.location_key = p.location_key"""
+
+
+_STATEMENTS = {
+    "harmonized": _features("harmonized"),
+    "harmonized_current": _features("harmonized_current"),
     "harmonized_outer": f'select "timestamp", location_key, {_rounded(WEATHER_FEATURES)}, '
                         f"{_rounded(AIR_FEATURES)} from harmonized",
     "harmonized_derived": f"select event_id, round({_DENSITY}, 6) as air_density, "

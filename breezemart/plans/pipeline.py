@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,7 +11,7 @@ from breezemart.operators.lags import pick_chunk
 from breezemart.operators.merge import latest_per_key
 from breezemart.operators.quality import Rules, check, judge, observed
 from breezemart.plans import dims, facts
-from breezemart.plans.harmonized import harmonize
+from breezemart.plans.harmonized import KEYS, harmonize
 from breezemart.schemas import READING_KEYS, measures_of
 from breezemart.sources.readers import between
 from breezemart.sources.writers import write_partitioned, write_table
@@ -30,6 +31,14 @@ NOT_NULL = {
     "HarmonizedData": ["timestamp", "location_key", "year", "month"],
 }
 
+# Row order inside the files of a stored table.
+CLUSTER = {
+    "TimeDim": ["full_date", "hour"],
+    "AirQualityFact": ["location_key", "status_key", "timestamp"],
+    "WeatherFact": ["location_key", "severity_key", "timestamp"],
+    "HarmonizedData": ["location_key", "timestamp"],
+}
+
 
 def reading_rules(kind: str, threshold: float = 10.0) -> Rules:
     return Rules(f"raw_{kind}", measured=measures_of(kind), required=["timestamp"],
@@ -43,16 +52,30 @@ def clean(readings: DataFrame) -> DataFrame:
                           ["timestamp", "location_key"], [])
 
 
-def stage(readings: DataFrame, path: str, rules: Rules) -> DataFrame:
-    """Write the checked readings once and read them back.
+def stage(readings: DataFrame, path: str, rules: Rules, table: str) -> DataFrame:
+    """Write the checked readings once, bucketed by the outer join's keys, and read them back.
 
     Everything later scans this columnar copy instead of parsing files and reducing repeats
-    again, and losing an executor costs no recomputation. Null counts ride along with the write.
+    again, losing an executor costs no recomputation, and the outer join needs no shuffle: the
+    reduction has left the rows hashed by these keys into as many parts as there are buckets.
+    Null counts ride along with the write.
     """
+    spark = readings.sparkSession
     watched, observation = observed(readings, rules)
-    write_table(watched, path)
+    (watched.write.mode("overwrite").bucketBy(_buckets(spark), *KEYS).option("path", path)
+     .saveAsTable(table))
     judge(observation.get, readings, rules)
-    return readings.sparkSession.read.parquet(path)
+    return spark.table(table)
+
+
+def _buckets(spark: SparkSession) -> int:
+    """As many buckets as shuffle partitions, or the largest part of that Spark allows.
+
+    A divisor keeps every shuffle partition inside one bucket.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return next(parts // k for k in range(-(-parts // most), parts + 1) if parts % k == 0)
 
 
 def run_batch(air: DataFrame, weather: DataFrame, out: str, start: datetime.datetime | None = None,
@@ -66,12 +89,22 @@ def run_batch(air: DataFrame, weather: DataFrame, out: str, start: datetime.date
     """
     spark: SparkSession = air.sparkSession
     paths = {name: f"{out}/{name}" for name in [*DIMENSIONS, *FACTS.values(), HARMONIZED]}
-    readings = {}
-    for kind, raw in (("air_quality", air), ("weather", weather)):
-        cut = clean(between(raw, start, end))
-        readings[kind] = stage(cut, f"{out}/staging/{kind}", reading_rules(kind, threshold))
+    names = {kind: f"breezemart_{kind}_{uuid.uuid4().hex[:12]}" for kind in FACTS}
+    try:
+        readings = {}
+        for kind, raw in (("air_quality", air), ("weather", weather)):
+            readings[kind] = stage(clean(between(raw, start, end)), f"{out}/staging/{kind}",
+                                   reading_rules(kind, threshold), names[kind])
+        _build(readings["air_quality"], readings["weather"], paths, start, end, sites, batch_id)
+    finally:
+        for name in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return paths
 
-    air, weather = readings["air_quality"], readings["weather"]
+
+def _build(air: DataFrame, weather: DataFrame, paths: dict[str, str], start, end,
+           sites: DataFrame | None, batch_id: str) -> None:
+    spark = air.sparkSession
     positions = air.select("latitude", "longitude").union(weather.select("latitude", "longitude"))
     built = {
         "TimeDim": dims.time_dimension(air, weather, start, end),
@@ -83,26 +116,25 @@ def run_batch(air: DataFrame, weather: DataFrame, out: str, start: datetime.date
     }
     for name, table in built.items():
         if name == "TimeDim":
-            write_partitioned(table, paths[name], ["year", "month"])
+            write_partitioned(table, paths[name], cluster=CLUSTER[name])
         else:
             write_table(table, paths[name])
 
-    for kind, name in FACTS.items():
-        fact = facts.FACT_BUILDERS[kind](readings[kind], chunk=pick_chunk(readings[kind]))
-        _store(facts.processed(fact, batch_id), paths[name], name)
+    for kind, readings in (("air_quality", air), ("weather", weather)):
+        fact = facts.FACT_BUILDERS[kind](readings, chunk=pick_chunk(readings))
+        _store(facts.processed(fact, batch_id), paths[FACTS[kind]], FACTS[kind])
 
     location = spark.read.parquet(paths["LocationDim"])
     _store(harmonize(air, weather, location), paths[HARMONIZED], HARMONIZED)
     for name in ("TimeDim", "LocationDim"):
         check(spark.read.parquet(paths[name]), Rules(name, [], not_null=NOT_NULL[name]))
-    return paths
 
 
 def _store(table: DataFrame, path: str, name: str) -> None:
     """Write by year and month; the NOT NULL columns are counted during the write."""
     rules = Rules(name, measured=[], not_null=NOT_NULL[name])
     watched, observation = observed(table, rules)
-    write_partitioned(watched, path)
+    write_partitioned(watched, path, cluster=CLUSTER[name])
     judge(observation.get, table, rules)
 
 

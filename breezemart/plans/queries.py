@@ -16,9 +16,10 @@ from breezemart.functions import cleaning as C
 from breezemart.functions import measures as M
 from breezemart.operators import arrays, joins, merge, quality
 from breezemart.plans import dims, facts, pipeline
-from breezemart.plans.harmonized import AIR_FEATURES, KEYS, WEATHER_FEATURES, harmonize
+from breezemart.plans.harmonized import (
+    AIR_FEATURES, KEYS, WEATHER_FEATURES, harmonize, on_the_hour)
 from breezemart.schemas import READING_KEYS, measures_of
-from breezemart.session import pin_utc, workspace
+from breezemart.session import pin_utc, staged, workspace
 from breezemart.sources import event_readings as events
 from breezemart.sources import readers, writers
 from breezemart.streaming import live, messages, run
@@ -65,9 +66,10 @@ def _weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.hourly_readings(spark, sf_dir, "weather")
 
 
-def _location(spark: SparkSession, sf_dir: str, extras: bool = True) -> DataFrame:
+def _location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The location dimension as a written table, the way the batch job joins it."""
     sites = events.stations(spark, sf_dir)
-    return dims.location_dimension(sites, sites, extras)
+    return staged(dims.location_dimension(sites, sites), "LocationDim")
 
 
 # --- features, facts, dimensions ---------------------------------------------------------------
@@ -77,6 +79,16 @@ def harmonized(spark, sf_dir):
     return harmonize(_air(spark, sf_dir), _weather(spark, sf_dir), _location(spark, sf_dir))
 
 
+@query
+def harmonized_current(spark, sf_dir):
+    """Current readings come at any minute: cut to the hour, the last of an hour kept."""
+    sides = {}
+    for kind in ("air_quality", "weather"):
+        rows = events.raw_readings(spark, sf_dir, kind).withColumn("timestamp", F.col("observed_at"))
+        sides[kind] = merge.latest_per_key(on_the_hour(rows), KEYS, [F.col("observed_at")])
+    return harmonize(sides["air_quality"], sides["weather"], _location(spark, sf_dir))
+
+
 @query
 def harmonized_outer(spark, sf_dir):
     weather = _weather(spark, sf_dir).select(*KEYS, *WEATHER_FEATURES)
@@ -209,7 +221,8 @@ def star_join(spark, sf_dir):
         "condition_key", "description", "category", "travel_impact")
     season = dims.season_dimension(spark).select("season_key", "season_name")
     severity = dims.severity_dimension(spark).select("severity_key", "severity_name", "alert_level")
-    time_dim = dims.time_dimension(air, weather).select("timestamp", "day_name", "is_holiday")
+    time_dim = staged(dims.time_dimension(air, weather), "TimeDim").select(
+        "timestamp", "day_name", "is_holiday")
     place = _location(spark, sf_dir).select("location_key", "city", "climate_zone")
     joined = joins.star_join(fact, place, time_dim, {
         "condition_key": condition, "season_key": season, "severity_key": severity})
@@ -225,7 +238,8 @@ def star_join_air(spark, sf_dir):
     fact = facts.air_quality_facts(air, derived=False)
     status = dims.air_quality_status_dimension(air).select(
         "status_key", "aqi_category", "color_code", "risk_level")
-    time_dim = dims.time_dimension(air, weather).select("timestamp", "season", "week_of_year")
+    time_dim = staged(dims.time_dimension(air, weather), "TimeDim").select(
+        "timestamp", "season", "week_of_year")
     place = _location(spark, sf_dir).select("location_key", "city", "hemisphere")
     joined = joins.star_join(fact, place, time_dim, {"status_key": status})
     return joined.select("time_key", "location_key", "us_aqi", "aqi_category", "color_code",

@@ -5,20 +5,34 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app: str = "breezemart", master: str | None = None, **conf: str) -> SparkSession:
+SHUFFLE_BYTES_PER_TASK = 256 * 1024 * 1024
+FEWEST_SHUFFLE_TASKS = 200
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions for an input size: 256 MB each, so that a sort fits a task's memory.
+
+    100 TB gives 409,600. Adaptive execution joins small ones later; it cannot cut up aggregations.
+    """
+    return max(FEWEST_SHUFFLE_TASKS, -(-input_bytes // SHUFFLE_BYTES_PER_TASK))
+
+
+def build_session(app: str = "breezemart", master: str | None = None,
+                  input_bytes: int | None = None, **conf: str) -> SparkSession:
     """A session with the settings the engine counts on; `conf` overrides them."""
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.broadcastTimeout": "600",
         "spark.ui.enabled": "false",
     }
+    if input_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     builder = SparkSession.builder.appName(app)
     if master:
@@ -49,3 +63,13 @@ def workspace(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="breezemart-")
         context.setCheckpointDir(root)
     return f"{root.rstrip('/')}/breezemart/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """`df` written once to the working folder and read back.
+
+    Joins against it then plan with its real size, in place of a guess from its inputs.
+    """
+    path = workspace(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

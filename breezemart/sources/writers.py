@@ -23,15 +23,18 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                      mode: str = "overwrite", whole_table: bool = True) -> str:
+                      mode: str = "overwrite", whole_table: bool = True,
+                      cluster: list[str] | None = None) -> str:
     """Parquet in one folder per partition value; year, month and date are derived when absent.
 
-    With `whole_table=False` an overwrite replaces only the partitions that occur in `df`.
+    `cluster` columns order the rows inside each file. With `whole_table=False` an overwrite
+    replaces only the partitions that occur in `df`.
     """
     folders = partition_by or ["year", "month"]
     absent = {name: DERIVABLE[name]("timestamp") for name in folders if name not in df.columns}
     laid_out = df.withColumns(absent) if absent else df
     (laid_out.hint("rebalance", *[F.col(name) for name in folders])
+     .sortWithinPartitions(*folders, *(cluster or []))
      .write.mode(mode).partitionBy(*folders)
      .option("partitionOverwriteMode", "static" if whole_table else "dynamic").parquet(path))
     return path

@@ -1,0 +1,40 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
+
+from breezemart.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session("tests", "local[4]", **{
+        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g",
+        "spark.ui.showConsoleProgress": "false"})
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def conf(spark):
+    """Set session options for one test."""
+    before = {}
+
+    def change(**options):
+        for key, value in options.items():
+            key = key.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
