@@ -20,9 +20,9 @@ def iso_text(ts: str) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
 
 
-def local_to_utc(ts: str, zone) -> Column:
-    """`zone` is a name or a column holding one name per row."""
-    return F.to_utc_timestamp(F.col(ts), zone)
+def to_utc(ts: Column, zone: str | None) -> Column:
+    """A local time of `zone` as UTC; without a zone the time is UTC already."""
+    return ts if zone is None else F.to_utc_timestamp(ts, zone)
 
 
 def whole_number(text: str) -> Column:

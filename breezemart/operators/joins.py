@@ -1,8 +1,8 @@
 """Fact-to-dimension joins.
 
-Every dimension join here is a plain equi join. Dimensions with a fixed size (condition lookup,
-status, season, severity) carry a broadcast hint. Time and location grow with the data and are
-given as written tables, so Spark checks their real size: broadcast below
+Every dimension join here is a plain equi join. Dimensions with a fixed size (status, season,
+severity) carry a broadcast hint. Time, location and weather codes come from the data, so they are
+given as written tables and Spark checks their real size: broadcast below
 `spark.sql.autoBroadcastJoinThreshold`, else a sort-merge join of two plain shuffles, in which
 adaptive execution cuts a hot key's rows into several tasks (the fact is always the side that may
 be cut).
@@ -33,13 +33,18 @@ def outer_by_hour(weather: DataFrame, air: DataFrame) -> DataFrame:
     return weather.join(air, ["timestamp", "location_key"], "full_outer")
 
 
-def star_join(fact: DataFrame, location: DataFrame, time: DataFrame,
-              fixed: dict[str, DataFrame]) -> DataFrame:
-    """The fact with all its dimensions; `fixed` maps key column to a fixed-size dimension."""
+def star_join(fact: DataFrame, fixed: dict[str, DataFrame],
+              written: dict[str, DataFrame]) -> DataFrame:
+    """The fact with all its dimensions, each given under its key column.
+
+    `fixed` dimensions have a fixed size, `written` ones grow with the data.
+    """
     joined = fact
     for key, dimension in fixed.items():
         joined = joined.join(F.broadcast(dimension), key, "left")
-    return joined.join(time, "timestamp", "left").join(location, "location_key", "left")
+    for key, dimension in written.items():
+        joined = joined.join(dimension, key, "left")
+    return joined
 
 
 def orphans(fact: DataFrame, dimension: DataFrame, key: str, fact_name: str,

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import datetime
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from breezemart.operators.lags import pick_chunk
@@ -114,20 +118,33 @@ def _build(air: DataFrame, weather: DataFrame, paths: dict[str, str], start, end
         "SeasonDim": dims.season_dimension(spark),
         "SeverityDim": dims.severity_dimension(spark),
     }
-    for name, table in built.items():
+
+    def write_dimension(name: str) -> None:
         if name == "TimeDim":
-            write_partitioned(table, paths[name], cluster=CLUSTER[name])
+            write_partitioned(built[name], paths[name], cluster=CLUSTER[name])
         else:
-            write_table(table, paths[name])
+            write_table(built[name], paths[name])
+        check(spark.read.parquet(paths[name]), Rules(name, [], not_null=NOT_NULL.get(name, [])))
 
-    for kind, readings in (("air_quality", air), ("weather", weather)):
+    def write_fact(kind: str, readings: DataFrame) -> None:
         fact = facts.FACT_BUILDERS[kind](readings, chunk=pick_chunk(readings))
         _store(facts.processed(fact, batch_id), paths[FACTS[kind]], FACTS[kind])
 
-    location = spark.read.parquet(paths["LocationDim"])
-    _store(harmonize(air, weather, location), paths[HARMONIZED], HARMONIZED)
-    for name in ("TimeDim", "LocationDim"):
-        check(spark.read.parquet(paths[name]), Rules(name, [], not_null=NOT_NULL[name]))
+    def write_features() -> None:
+        location = spark.read.parquet(paths["LocationDim"])
+        _store(harmonize(air, weather, location), paths[HARMONIZED], HARMONIZED)
+
+    _together(spark, [partial(write_dimension, name) for name in DIMENSIONS])
+    _together(spark, [partial(write_fact, "air_quality", air),
+                      partial(write_fact, "weather", weather), write_features])
+
+
+def _together(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
+    """Independent Spark jobs at the same time, so that one's last tasks leave no core idle."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(inherit(job)) for job in jobs]:
+            done.result()
 
 
 def _store(table: DataFrame, path: str, name: str) -> None:

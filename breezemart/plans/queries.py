@@ -217,15 +217,16 @@ def join_time_dim(spark, sf_dir):
 def star_join(spark, sf_dir):
     air, weather = _air(spark, sf_dir), _weather(spark, sf_dir)
     fact = facts.weather_facts(weather, derived=False)
-    condition = dims.weather_condition_dimension(weather).select(
+    condition = staged(dims.weather_condition_dimension(weather), "WeatherConditionDim").select(
         "condition_key", "description", "category", "travel_impact")
     season = dims.season_dimension(spark).select("season_key", "season_name")
     severity = dims.severity_dimension(spark).select("severity_key", "severity_name", "alert_level")
     time_dim = staged(dims.time_dimension(air, weather), "TimeDim").select(
         "timestamp", "day_name", "is_holiday")
     place = _location(spark, sf_dir).select("location_key", "city", "climate_zone")
-    joined = joins.star_join(fact, place, time_dim, {
-        "condition_key": condition, "season_key": season, "severity_key": severity})
+    joined = joins.star_join(
+        fact, {"season_key": season, "severity_key": severity},
+        {"condition_key": condition, "timestamp": time_dim, "location_key": place})
     return joined.select("time_key", "location_key", "temperature_2m", "condition_key",
                          "description", "category", "travel_impact", "season_name",
                          "severity_name", "alert_level", "day_name", "is_holiday", "city",
@@ -241,7 +242,8 @@ def star_join_air(spark, sf_dir):
     time_dim = staged(dims.time_dimension(air, weather), "TimeDim").select(
         "timestamp", "season", "week_of_year")
     place = _location(spark, sf_dir).select("location_key", "city", "hemisphere")
-    joined = joins.star_join(fact, place, time_dim, {"status_key": status})
+    joined = joins.star_join(fact, {"status_key": status},
+                             {"timestamp": time_dim, "location_key": place})
     return joined.select("time_key", "location_key", "us_aqi", "aqi_category", "color_code",
                          "risk_level", "season", "week_of_year", "city", "hemisphere")
 

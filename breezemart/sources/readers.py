@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breezemart.functions.cleaning import parse_timestamp
+from breezemart.functions.cleaning import parse_timestamp, to_utc
 from breezemart.functions.keys import location_key
 from breezemart.schemas import READING_KEYS, envelope_schema, file_schema, measures_of
 
@@ -49,11 +49,11 @@ def read_documents(spark: SparkSession, path: str, kind: str, multi_line: bool =
             .option("multiLine", multi_line).json(path))
 
 
-def current_readings(documents: DataFrame, kind: str) -> DataFrame:
-    """The current conditions of message documents as flat readings."""
+def current_readings(documents: DataFrame, kind: str, zone: str | None = None) -> DataFrame:
+    """The current conditions of message documents as flat readings; `zone` as for messages."""
     flat = documents.select(
         "metadata.location.*",
-        parse_timestamp(F.col("current_conditions.timestamp")).alias("timestamp"),
+        to_utc(parse_timestamp(F.col("current_conditions.timestamp")), zone).alias("timestamp"),
         "current_conditions.values.*")
     return as_readings(flat, kind)
 

@@ -60,6 +60,10 @@ def range_name(prefix: str, first: datetime.date, last: datetime.date) -> str:
     return f"{prefix}_{first:%Y%m%d}_{last:%Y%m%d}"
 
 
+def stamped_name(prefix: str, moment: datetime.datetime) -> str:
+    return f"{prefix}_{moment:%Y%m%d_%H%M%S}"
+
+
 def write_csv(readings: DataFrame, path: str, kind: str) -> str:
     """History export: `time` first, measures, and the place."""
     (readings.select(iso_text("timestamp").alias("time"), *measures_of(kind), "latitude", "longitude")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breezemart.functions.cleaning import parse_timestamp
+from breezemart.functions.cleaning import parse_timestamp, to_utc
 from breezemart.functions.keys import location_key
 from breezemart.schemas import CORRUPT, READING_KEYS, envelope_schema, measures_of
 
@@ -42,11 +42,12 @@ def kind_of_topic(topic: str, topics: dict[str, str]) -> str:
     return "air_quality" if topic == topics["air_quality"] else "weather"
 
 
-def parse_messages(raw: DataFrame, kind: str) -> DataFrame:
+def parse_messages(raw: DataFrame, kind: str, zone: str | None = None) -> DataFrame:
     """Decode `value` into flat readings, with `original_data` and `error` for rejected ones.
 
     A message is rejected when it is no JSON document or names no time or place; `error` is null
-    otherwise. Works on streams and on bounded frames alike.
+    otherwise. Times are taken as UTC unless `zone` names the local time they are in. Works on
+    streams and on bounded frames alike.
     """
     text = F.col("value").cast("string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
@@ -55,7 +56,7 @@ def parse_messages(raw: DataFrame, kind: str) -> DataFrame:
     place, now = "doc.metadata.location", "doc.current_conditions"
     flat = document.select(
         "original_data", F.col(f"doc.{CORRUPT}").alias(CORRUPT),
-        parse_timestamp(F.col(f"{now}.timestamp")).alias("timestamp"),
+        to_utc(parse_timestamp(F.col(f"{now}.timestamp")), zone).alias("timestamp"),
         F.col(f"{place}.latitude").alias("latitude"),
         F.col(f"{place}.longitude").alias("longitude"),
         *[_measure(f"{now}.values.{name}", name) for name in measures_of(kind)])

@@ -98,9 +98,10 @@ def batch_processor(out: str, stream: str, run_id: str, threshold: float | None
     return process
 
 
-def live_readings(raw: DataFrame, kind: str, delay: str = "10 minutes") -> DataFrame:
+def live_readings(raw: DataFrame, kind: str, delay: str = "10 minutes",
+                  zone: str | None = None) -> DataFrame:
     """Parsed stream: accepted readings without repeats and with earlier values, rejected as is."""
-    parsed = parse_messages(raw, kind)
+    parsed = parse_messages(raw, kind, zone)
     good = with_previous(drop_repeats(accepted(parsed), delay), kind)
     bad = parsed.filter(F.col("error").isNotNull())
     return good.unionByName(bad, allowMissingColumns=True)
@@ -115,12 +116,15 @@ def start_query(df: DataFrame, process: Callable[[DataFrame, int], None], name:
 
 
 def start_streams(spark: SparkSession, locations: dict[str, str], out: str, run_id: str = "stream",
-                  threshold: float | None = None, once: bool = False,
+                  threshold: float | None = None, once: bool = False, zone: str | None = None,
                   **source) -> dict[str, StreamingQuery]:
-    """One query per reading kind, each with its own checkpoint; `locations` maps kind to source."""
+    """One query per reading kind, each with its own checkpoint; `locations` maps kind to source.
+
+    `source` arguments go to `read_messages`.
+    """
     queries = {}
     for kind, location in locations.items():
-        live = live_readings(read_messages(spark, location, **source), kind)
+        live = live_readings(read_messages(spark, location, **source), kind, zone=zone)
         queries[kind] = start_query(live, batch_processor(out, kind, run_id, threshold), kind,
                                     f"{out}/checkpoints/{kind}", once)
     return queries

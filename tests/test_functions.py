@@ -122,7 +122,7 @@ def test_tolerant_values(spark):
 def test_local_times(spark):
     frame = spark.sql("select timestamp '2025-01-19 21:15:00' as t, bigint(1737321300) as e")
     row = frame.select(cleaning.iso_text("t").alias("iso"),
-                       F.date_format(cleaning.local_to_utc("t", "America/New_York"), "dd HH:mm").alias("utc"),
+                       F.date_format(cleaning.to_utc(F.col("t"), "America/New_York"), "dd HH:mm").alias("utc"),
                        F.date_format(cleaning.epoch_to_timestamp("e"), "dd HH:mm").alias("epoch")).first()
     assert tuple(row) == ("2025-01-19T21:15:00", "20 02:15", "19 21:15")
 

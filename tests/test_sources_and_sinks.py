@@ -48,6 +48,9 @@ def test_documents(spark, tmp_path):
         readers.read_documents(spark, str(path), "air_quality"), "air_quality").first()
     assert row.us_aqi == 55 and row.dust is None and row.longitude == -74.006
     assert row.timestamp.microsecond == 952519
+    local = readers.current_readings(readers.read_documents(spark, str(path), "air_quality"),
+                                     "air_quality", zone="America/New_York").first()
+    assert local.timestamp - row.timestamp == datetime.timedelta(hours=5)
 
 
 def test_parse_tells_why_a_message_is_rejected(spark):
@@ -168,6 +171,8 @@ def test_clustered_files_have_tight_ranges(spark, tmp_path):
 def test_export_name():
     first, last = datetime.date(2024, 7, 22), datetime.date(2025, 1, 18)
     assert writers.range_name("air_quality", first, last) == "air_quality_20240722_20250118"
+    moment = datetime.datetime(2025, 1, 19, 21, 22, 14)
+    assert writers.stamped_name("weather_current", moment) == "weather_current_20250119_212214"
 
 
 def test_workspace_is_under_the_named_folder(spark, tmp_path, conf):
