@@ -32,7 +32,9 @@ def row_lags(df: DataFrame, value: str, steps: dict[str, int], key: str = "locat
     by_chunk = [key, "_chunk"]
     in_chunk = Window.partitionBy(*by_chunk).orderBy(order)
 
-    cut = df.withColumn("_chunk", F.date_trunc(chunk, order))
+    # Not nullable, so that both branches below keep one plan under them and share its shuffle.
+    start = F.coalesce(F.date_trunc(chunk, order), F.lit("1900-01-01").cast("timestamp"))
+    cut = df.withColumn("_chunk", start)
     rows = cut.withColumns({
         "_row": F.row_number().over(in_chunk),
         **{name: F.lag(value, step).over(in_chunk) for name, step in steps.items()},

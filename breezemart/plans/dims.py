@@ -40,7 +40,7 @@ def location_dimension(positions: DataFrame, sites: DataFrame | None = None,
     Places no site table knows get 'Unknown' names and null numbers.
     """
     places = (positions.select("latitude", "longitude").dropna().distinct()
-              .withColumn("location_key", location_key("latitude", "longitude")))
+              .withColumn("location_key", location_key("latitude", "longitude", known=True)))
     texts = ["city", "region", "country", "continent", "timezone", "population_density",
              "urban_density"]
     others = ["elevation", "is_coastal"]
@@ -49,7 +49,8 @@ def location_dimension(positions: DataFrame, sites: DataFrame | None = None,
         known = known.withColumns({"elevation": F.lit(None).cast("double"),
                                    "is_coastal": F.lit(None).cast("boolean")})
     else:
-        described = sites.withColumn("location_key", location_key("latitude", "longitude"))
+        described = sites.dropna(subset=["latitude", "longitude"]).withColumn(
+            "location_key", location_key("latitude", "longitude", known=True))
         known = places.join(described.select("location_key", *texts, *others), "location_key", "left")
     named = {name: F.coalesce(F.col(name), F.lit("Unknown")).alias(name) for name in texts}
     base = ["location_key", "latitude", "longitude", named["city"], named["region"],

@@ -53,13 +53,19 @@ WEATHER_SQL = {
 }
 
 
+def _six(expression: str) -> str:
+    """Six decimals, by the arithmetic the queries use."""
+    million = "cast(1000000 as double)"
+    return f"floor(({expression}) * {million} + cast(0.5 as double)) / {million}"
+
+
 def _select(formulas: dict[str, str]) -> str:
     return ", ".join(f"{expression} as {name}" for name, expression in formulas.items())
 
 
 def _rounded(names: list[str], prefix: str = "", whole: tuple[str, ...] = ("us_aqi",)) -> str:
     """Doubles at six decimals; `whole` columns are integers and stay."""
-    return ", ".join(f"{prefix}{n}" if n in whole else f"round({prefix}{n}, 6) as {n}"
+    return ", ".join(f"{prefix}{n}" if n in whole else f"{_six(prefix + n)} as {n}"
                      for n in names)
 
 
@@ -142,7 +148,7 @@ _DEW = f"{_T} - ((100 - {_RH}) / {_num(5.0)})"
 
 
 def _rounded_formulas(formulas: dict[str, str]) -> str:
-    return ", ".join(f"round({e}, 6) as {n}" for n, e in formulas.items())
+    return ", ".join(f"{_six(e)} as {n}" for n, e in formulas.items())
 
 
 def _change(name: str, column: str, back: int) -> str:
@@ -265,8 +271,8 @@ _WEATHER_FACT_EXTRA = (
 
 def _single(names: list[str]) -> str:
     """What a single-precision file keeps of a measure."""
-    return ", ".join(n if n == "us_aqi" else f"round(cast(cast({n} as float) as double), 6) as {n}"
-                     for n in names)
+    kept = {n: _six(f"cast(cast({n} as float) as double)") for n in names}
+    return ", ".join(n if n == "us_aqi" else f"{kept[n]} as {n}" for n in names)
 
 
 def _pick(names: list[str], ts: str = '"timestamp"') -> str:
@@ -276,11 +282,11 @@ def _pick(names: list[str], ts: str = '"timestamp"') -> str:
 
 def _profile(table: str, columns: dict[str, str]) -> str:
     nulls = " + ".join(f"count(*) filter (where {e} is null)" for e in columns.values())
-    mean = f"round(100.0::double * ({nulls}) / (count(*) * {len(columns)}), 6)"
+    mean = _six(f"100.0::double * ({nulls}) / (count(*) * {len(columns)})")
     return " union all ".join(
         f"select '{n}' as column_name, count(*) as n_rows, "
         f"count(*) filter (where {e} is null) as null_count, "
-        f"round(100.0::double * count(*) filter (where {e} is null) / count(*), 6) as null_pct, "
+        + _six(f"100.0::double * count(*) filter (where {e} is null) / count(*)") + " as null_pct, "
         f"{mean} as mean_null_pct from {table}" for n, e in columns.items())
 
 
@@ -364,8 +370,8 @@ def _features(table: str) -> str:
 select h."timestamp", h.location_key, {_rounded(WEATHER_FEATURES)}, {_rounded(AIR_FEATURES)},
        {_pick(["year", "month", "hour", "day_of_week", "is_weekend", "season", "is_holiday"],
               'h."timestamp"')},
-       p.latitude, p.longitude, p.elevation, p.climate_zone, round({_DENSITY}, 6) as air_density,
-       round({_DEW}, 6) as dew_point
+       p.latitude, p.longitude, p.elevation, p.climate_zone, {_six(_DENSITY)} as air_density,
+       {_six(_DEW)} as dew_point
 from {table} h join site p on h.location_key = p.location_key"""
 
 
@@ -374,8 +380,8 @@ _STATEMENTS = {
     "harmonized_current": _features("harmonized_current"),
     "harmonized_outer": f'select "timestamp", location_key, {_rounded(WEATHER_FEATURES)}, '
                         f"{_rounded(AIR_FEATURES)} from harmonized",
-    "harmonized_derived": f"select event_id, round({_DENSITY}, 6) as air_density, "
-                          f"round({_DEW}, 6) as dew_point from weather_raw",
+    "harmonized_derived": f"select event_id, {_six(_DENSITY)} as air_density, "
+                          f"{_six(_DEW)} as dew_point from weather_raw",
     "fact_air_quality": f"select {_AIR_FACT}, {_AIR_FACT_EXTRA} from air_fact",
     "fact_weather": f"select {_WEATHER_FACT}, {_WEATHER_FACT_EXTRA} from weather_fact",
     "facts_without_derived": _facts_without_derived(),
@@ -465,7 +471,7 @@ left join (select *, cast("timestamp" as date) as day,
   on d.latitude = w.latitude and d.longitude = w.longitude and d.day = w.day
      and d.place = w.place""",
     "name_by_position": " union all ".join(
-        f"select event_id, '{name}' as variable, round({column}, 6) as value from air_raw"
+        f"select event_id, '{name}' as variable, {_six(column)} as value from air_raw"
         for name, column in (("pm10", "pm10"), ("pm2_5", "pm2_5"), ("unknown_variable_2", "ozone"),
                              ("unknown_variable_3", "dust"))),
     "history_window": f"""
@@ -492,7 +498,7 @@ select {_AIR_FACT}, {", ".join(_MONTHS)} from air_fact
 where "timestamp" between {_START} and {_END}""",
     "sink_harmonized": f"""
 select h."timestamp", h.location_key, {_pick(["year", "month", "season"], 'h."timestamp"')},
-       p.latitude, p.elevation, round({_DEW}, 6) as dew_point, us_aqi
+       p.latitude, p.elevation, {_six(_DEW)} as dew_point, us_aqi
 from harmonized h join site p on h.location_key = p.location_key""",
     "layout_clustered": f"""
 select {_WEATHER_FACT}, cast("timestamp" as date) as date from weather_fact

@@ -32,7 +32,7 @@ def observations(spark: SparkSession, sf_dir: str, event_types: list[str]) -> Da
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     shift = F.make_dt_interval(days=(F.col("user_id") % 24 * 31).cast("int"))
-    placed = (events.filter(F.col("event_type").isin(event_types))
+    placed = (events.filter(F.col("event_type").isin(event_types) & F.col("user_id").isNotNull())
               .select("event_id", "event_type",
                       (F.col("ts") + shift).cast("timestamp").alias("observed_at"),
                       latitude().alias("latitude"), longitude().alias("longitude"),
@@ -40,13 +40,13 @@ def observations(spark: SparkSession, sf_dir: str, event_types: list[str]) -> Da
                       F.col("value").alias("v")))
     return placed.select("event_id", "event_type", "observed_at",
                          F.date_trunc("hour", "observed_at").alias("timestamp"),
-                         location_key("latitude", "longitude").alias("location_key"),
+                         location_key("latitude", "longitude", known=True).alias("location_key"),
                          "latitude", "longitude", "k", "v")
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A site table: one row per station, with made-up names and heights."""
-    users = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id").distinct()
+    users = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id").dropna().distinct()
     return users.select(
         latitude().alias("latitude"), longitude().alias("longitude"),
         F.concat(F.lit("Station "), F.col("user_id").cast("string")).alias("city"),
@@ -115,13 +115,15 @@ def raw_readings(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 def hourly_readings(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """One reading per station and hour: that of the first event.
 
-    A minimum over (event id, values) is combined in the map tasks, and grouping by (timestamp,
-    location_key) leaves rows where the outer join wants them.
+    Event ids are unique, so both minima are of one event. They are combined in the map tasks and
+    hashed (plain buffers), and grouping by (timestamp, location_key) leaves rows where the outer
+    join wants them.
     """
     seen = observations(spark, sf_dir, EVENT_TYPES[kind])
-    first = F.min(F.struct("event_id", "latitude", "longitude", "k", "v")).alias("_first")
-    return _measured(seen.groupBy("timestamp", "location_key").agg(first)
-                     .select("timestamp", "location_key", "_first.*"), kind)
+    first = seen.groupBy("timestamp", "location_key").agg(
+        F.min("latitude").alias("latitude"), F.min("longitude").alias("longitude"),
+        F.min_by("k", "event_id").alias("k"), F.min_by("v", "event_id").alias("v"))
+    return _measured(first, kind)
 
 
 def _measured(seen: DataFrame, kind: str, *also: str) -> DataFrame:
