@@ -1,11 +1,13 @@
 """Row lags over time series whose keys may be very uneven in size.
 
-A window over `location_key` alone puts a station's whole history into one task. Here each
-history is cut into time chunks, every chunk is its own window, and the first rows of a chunk get
-what they miss from the last rows of the chunks before it:
-
-1. lag inside (key, chunk);
-2. the last `depth` rows of every chunk, cut down before the shuffle by the rank filter;
+A window over `location_key` alone puts a station's whole history into one task. That is right for
+ordinary histories (hourly readings are 8,784 rows a year), and wrong for one that holds a third
+of all rows. So histories of more than `max_rows` rows are cut into time chunks, every chunk is
+its own window, and the first rows of a chunk get what they miss from the chunks before it:
+
+1. lag inside (key, chunk); an ordinary history is a single chunk;
+2. for cut histories, the last `depth` rows of every chunk, thinned before the shuffle by the rank
+   filter;
 3. per key, over one row per chunk, the last `depth` rows before each chunk. Every chunk present
    holds a row, so the `depth` chunks before it always suffice, however large the gaps;
 4. join that short array back on (key, chunk), which the rows are already laid out by.
@@ -16,30 +18,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK_UNITS = ["month", "day", "hour", "minute"]
+MAX_ROWS = 5_000_000
 
 
 def row_lags(df: DataFrame, value: str, steps: dict[str, int], key: str = "location_key",
-             order: str = "timestamp", chunk: str = "month") -> DataFrame:
+             order: str = "timestamp", max_rows: int = MAX_ROWS) -> DataFrame:
     """Add a column per entry of `steps`: the value that many rows earlier, per key by time.
 
-    `chunk` bounds the rows one task sorts; the result does not depend on it. Rows must have a
-    key and a time, and times must be unique per key for the result to be unique.
+    `max_rows` is about what one task sorts of one key; the result does not depend on it. Times
+    must be unique per key for the result to be unique.
     """
-    if chunk not in CHUNK_UNITS:
-        raise ValueError(f"chunk must be one of {CHUNK_UNITS}")
     depth = max(steps.values())
     by_chunk = [key, "_chunk"]
     in_chunk = Window.partitionBy(*by_chunk).orderBy(order)
 
-    # Not nullable, so that both branches below keep one plan under them and share its shuffle.
-    start = F.coalesce(F.date_trunc(chunk, order), F.lit("1900-01-01").cast("timestamp"))
-    cut = df.withColumn("_chunk", start)
+    # At most rows / max_rows keys, so the broadcast stays small: two million keys for 10^13 rows.
+    heavy = F.broadcast(_heavy_keys(df, key, order, max_rows))
+    chunk = F.expr(f"(unix_micros({order}) - _first) div _width")
+    cut = df.join(heavy, key, "left").withColumn("_chunk", F.coalesce(chunk, F.lit(0)))
     rows = cut.withColumns({
         "_row": F.row_number().over(in_chunk),
         **{name: F.lag(value, step).over(in_chunk) for name, step in steps.items()},
     })
-    carried = _rows_before_chunk(cut.select(*by_chunk, order, value), value, depth, key, order)
+    carried = _rows_before_chunk(cut.filter(F.col("_width").isNotNull())
+                                 .select(*by_chunk, order, value), value, depth, key, order)
     rows = rows.join(carried, by_chunk, "left")
 
     def lagged(name: str, step: int):
@@ -48,7 +50,21 @@ def row_lags(df: DataFrame, value: str, steps: dict[str, int], key: str = "locat
         return F.when(F.col("_row") > step, F.col(name)).otherwise(before)
 
     return (rows.withColumns({name: lagged(name, step) for name, step in steps.items()})
-            .drop("_chunk", "_row", "_before"))
+            .drop("_chunk", "_row", "_before", "_first", "_width"))
+
+
+def _heavy_keys(df: DataFrame, key: str, order: str, max_rows: int) -> DataFrame:
+    """Keys with more than `max_rows` rows, with their first time and chunk width in microseconds.
+
+    The width aims at half of `max_rows` per chunk for evenly spaced rows.
+    """
+    micros = F.unix_micros(order)
+    sizes = df.groupBy(key).agg(F.count("*").alias("_rows"), F.min(micros).alias("_first"),
+                                F.max(micros).alias("_last"))
+    span = (F.col("_last") - F.col("_first")).cast("double")
+    width = (span * F.lit(float(max_rows)) / (F.col("_rows") * F.lit(2.0))).cast("bigint")
+    return (sizes.filter(F.col("_rows") > max_rows)
+            .select(key, "_first", F.greatest(width, F.lit(1)).alias("_width")))
 
 
 def _rows_before_chunk(cut: DataFrame, value: str, depth: int, key: str, order: str) -> DataFrame:
@@ -63,17 +79,3 @@ def _rows_before_chunk(cut: DataFrame, value: str, depth: int, key: str, order:
     before = F.flatten("_ends")
     newest = F.slice(before, F.greatest(F.size(before) - depth + 1, F.lit(1)), depth)
     return ends.select(key, "_chunk", F.transform(newest, lambda row: row[value]).alias("_before"))
-
-
-def pick_chunk(df: DataFrame, key: str = "location_key", order: str = "timestamp",
-               max_rows: int = 2_000_000) -> str:
-    """The longest chunk unit whose fullest (key, chunk) stays within `max_rows`.
-
-    One small aggregation per unit tried; counts are combined before they are shuffled.
-    """
-    for unit in CHUNK_UNITS:
-        fullest = (df.groupBy(key, F.date_trunc(unit, order)).count()
-                   .agg(F.max("count")).first()[0])
-        if fullest is None or fullest <= max_rows:
-            return unit
-    return CHUNK_UNITS[-1]

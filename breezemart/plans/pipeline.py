@@ -11,7 +11,6 @@ from functools import partial
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from breezemart.operators.lags import pick_chunk
 from breezemart.operators.merge import latest_per_key
 from breezemart.operators.quality import Rules, check, judge, observed
 from breezemart.plans import dims, facts
@@ -127,7 +126,7 @@ def _build(air: DataFrame, weather: DataFrame, paths: dict[str, str], start, end
         check(spark.read.parquet(paths[name]), Rules(name, [], not_null=NOT_NULL.get(name, [])))
 
     def write_fact(kind: str, readings: DataFrame) -> None:
-        fact = facts.FACT_BUILDERS[kind](readings, chunk=pick_chunk(readings))
+        fact = facts.FACT_BUILDERS[kind](readings)
         _store(facts.processed(fact, batch_id), paths[FACTS[kind]], FACTS[kind])
 
     def write_features() -> None:

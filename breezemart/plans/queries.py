@@ -126,14 +126,13 @@ def facts_without_derived(spark, sf_dir):
 
 @query
 def aqi_change(spark, sf_dir):
-    """Day chunks, so that most lags cross chunk borders."""
-    fact = facts.air_quality_facts(_air(spark, sf_dir), chunk="day")
+    fact = facts.air_quality_facts(_air(spark, sf_dir))
     return fact.select("timestamp", "location_key", "us_aqi", "aqi_change_1h", "aqi_change_24h")
 
 
 @query
 def temp_change(spark, sf_dir):
-    fact = facts.weather_facts(_weather(spark, sf_dir), chunk="day")
+    fact = facts.weather_facts(_weather(spark, sf_dir))
     return fact.select("timestamp", "location_key", "temperature_2m", "temp_change_1h",
                        "temp_change_24h")
 

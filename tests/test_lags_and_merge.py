@@ -4,10 +4,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from breezemart.operators.lags import CHUNK_UNITS, pick_chunk, row_lags
+from breezemart.operators.lags import _heavy_keys, row_lags
 from breezemart.operators.merge import latest_per_key, merge_batch_and_stream, tumbling_window
 from breezemart.plans import facts
 from breezemart.schemas import AIR_MEASURES
+from breezemart.sources import event_readings as events
 
 START = datetime.datetime(2024, 1, 1)
 STEPS = {"back_1": 1, "back_24": 24}
@@ -35,31 +36,35 @@ def brute_force(rows):
     return expected
 
 
-@pytest.mark.parametrize("chunk", CHUNK_UNITS)
-def test_lags_equal_brute_force_for_any_chunk(spark, chunk):
+@pytest.mark.parametrize("max_rows", [10, 100, 1000, 5_000_000])
+def test_lags_equal_brute_force_however_they_are_cut(spark, max_rows):
     rows = uneven_series()
     frame = spark.createDataFrame(rows, "location_key string, timestamp timestamp, value int")
-    found = row_lags(frame.repartition(5), "value", STEPS, chunk=chunk).collect()
+    found = row_lags(frame.repartition(5), "value", STEPS, max_rows=max_rows).collect()
     assert {(r.location_key, r.timestamp): (r.back_1, r.back_24) for r in found} == brute_force(rows)
     assert len(found) == len(rows)
 
 
-def test_chunk_follows_the_fullest_group(spark):
+def test_only_long_histories_are_cut(spark):
     frame = spark.createDataFrame(uneven_series(), "location_key string, timestamp timestamp, value int")
-    assert pick_chunk(frame, max_rows=5000) == "month"
-    assert pick_chunk(frame, max_rows=200) == "day"
-    assert pick_chunk(frame, max_rows=10) == "hour"
-    assert pick_chunk(frame.limit(0)) == "month"
+    heavy = _heavy_keys(frame, "location_key", "timestamp", 1000).collect()
+    assert [r.location_key for r in heavy] == ["hot"]
+    chunks = 3000 * 10 * 60 * 1_000_000 / heavy[0]._width
+    assert 5 <= chunks <= 7  # half of max_rows each
+    assert _heavy_keys(frame, "location_key", "timestamp", 5000).count() == 0
 
 
-def test_no_window_spans_a_whole_history(spark):
-    """Rows are never sorted by location alone, only one row per chunk is."""
-    frame = spark.createDataFrame(uneven_series(), "location_key string, timestamp timestamp, value int")
-    plan = row_lags(frame, "value", STEPS)._jdf.queryExecution().optimizedPlan().toString()
-    whole = [line for line in plan.splitlines()
-             if "Window [" in line and line.rstrip().endswith("ASC NULLS FIRST]")
-             and "[location_key" in line.rsplit("], [", 2)[-2] and "_chunk" not in line.rsplit("], [", 2)[-2]]
-    assert all("collect_list" in line for line in whole)
+def test_one_instant_cannot_be_cut_but_is_whole(spark):
+    frame = spark.range(50).select(F.lit("a").alias("location_key"), F.lit(START).alias("timestamp"),
+                                   F.col("id").alias("value"))
+    assert row_lags(frame, "value", STEPS, max_rows=10).count() == 50
+
+
+def test_facts_do_not_depend_on_the_cut(spark, sf_dir):
+    for kind, build in facts.FACT_BUILDERS.items():
+        readings = events.hourly_readings(spark, sf_dir, kind)
+        whole, cut = build(readings), build(readings, max_rows=7)
+        assert whole.exceptAll(cut).count() == 0 and cut.exceptAll(whole).count() == 0
 
 
 def test_rows_without_time_or_place_are_no_facts(spark):
