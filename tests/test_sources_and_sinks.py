@@ -1,5 +1,6 @@
 import datetime
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -158,7 +159,8 @@ def test_full_month_is_written_by_several_tasks(spark, tmp_path, conf):
     assert len(files) > 4 and spark.read.parquet(path).count() == 200_000
 
 
-def test_clustered_files_have_tight_ranges(spark, tmp_path):
+def test_clustered_files_have_tight_ranges(spark, tmp_path, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")  # so little data is one file else
     rows = spark.range(4000).select((F.col("id") % 40).alias("location_key"),
                                     F.timestamp_seconds(F.lit(1704067200) + F.col("id")).alias("timestamp"))
     path = writers.write_clustered(rows, str(tmp_path / "t"), "date", ["location_key"])
@@ -175,10 +177,20 @@ def test_export_name():
     assert writers.stamped_name("weather_current", moment) == "weather_current_20250119_212214"
 
 
-def test_workspace_is_under_the_named_folder(spark, tmp_path, conf):
-    conf(spark__checkpoint__dir=str(tmp_path))
-    assert workspace(spark, "x").startswith(f"{tmp_path}/breezemart/x-")
-    assert workspace(spark, "x") != workspace(spark, "x")
+def cluster(master, checkpoint_dir=None):
+    """As much of a session as the working folder asks for; the real setting is fixed at start."""
+    settings = {"spark.checkpoint.dir": checkpoint_dir}
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: settings[key] or default),
+                           sparkContext=context)
+
+
+def test_workspace_is_under_the_named_folder():
+    named = cluster("yarn", "hdfs:///shared/")
+    assert workspace(named, "x").startswith("hdfs:///shared/breezemart/x-")
+    assert workspace(named, "x") != workspace(named, "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workspace(cluster("yarn"), "x")
 
 
 def test_shuffle_partitions_follow_the_input():

@@ -85,9 +85,10 @@ def test_repeats_and_late_rows_are_dropped(spark, folders):
     source, out = folders
     land(source, 0, [message(0), message(0), message(1)])
     land(source, 1, [message(1), message(10)])  # a repeat within the watermark
-    land(source, 2, [message(2), message(11)])  # hour 2 is late by then
+    land(source, 2, [message(11)])
+    land(source, 3, [message(2), message(12)])  # hour 2 is late: drops start a batch after the move
     found = drain(spark, source, out)
-    assert sorted(r.timestamp.hour for r in found.select("timestamp").collect()) == [0, 1, 10, 11]
+    assert sorted(r.timestamp.hour for r in found.select("timestamp").collect()) == [0, 1, 10, 11, 12]
 
 
 def test_metrics_before_and_after(spark, folders):
