@@ -526,8 +526,8 @@ select cast(null as timestamp) as "timestamp", cast(null as bigint) as location_
     "stream_foreach_batch": "select time_key, location_key, condition_key, "
                             "round(temperature_2m, 6) as temperature_2m, "
                             "round(temp_change_1h, 6) as temp_change_1h from weather_fact",
-    "pipeline_batch": _counts(_COUNTS),
-    "pipeline_stream": "select 'streaming_air_quality' as table_name, count(*) as n_rows from air "
+    "batch_tables": _counts(_COUNTS),
+    "stream_tables": "select 'streaming_air_quality' as table_name, count(*) as n_rows from air "
                        "union all select 'streaming_weather', count(*) from weather union all "
                        "select 'dead_letter/air_quality', 2 union all "
                        "select 'dead_letter/weather', 2",

@@ -619,7 +619,7 @@ def _row_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 @query
-def pipeline_batch(spark, sf_dir):
+def batch_tables(spark, sf_dir):
     paths = pipeline.run_batch(
         *[readers.as_readings(events.raw_readings(spark, sf_dir, kind), kind)
           for kind in ("air_quality", "weather")],
@@ -628,7 +628,7 @@ def pipeline_batch(spark, sf_dir):
 
 
 @query
-def pipeline_stream(spark, sf_dir):
+def stream_tables(spark, sf_dir):
     out = _run_streams(spark, sf_dir, ["air_quality", "weather"])
     tables = {f"{folder}{kind}": f"{out}/{folder}{kind}" for kind in ("air_quality", "weather")
               for folder in ("streaming_", "dead_letter/")}
