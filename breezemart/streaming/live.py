@@ -12,7 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from breezemart.plans.facts import LAG_STEPS, LAGGED
 
-STATE = "stamps array<timestamp>, held array<double>"
+STATE = "nanos array<bigint>, held array<double>"  # numbers know no local time
 
 
 def drop_repeats(readings: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -36,8 +36,9 @@ def with_previous(readings: DataFrame, kind: str) -> DataFrame:
 
     def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(parts), ignore_index=True)
-        stamps, held = state.get if state.exists else ([], [])
-        past = pd.DataFrame({"timestamp": pd.to_datetime(pd.Series(stamps, dtype="object")),
+        new["timestamp"] = new["timestamp"].astype("datetime64[ns]")
+        nanos, held = state.get if state.exists else ([], [])
+        past = pd.DataFrame({"timestamp": pd.Series(nanos, dtype="int64").astype("datetime64[ns]"),
                              value: pd.Series(held, dtype="float64")})
         known = pd.concat([past[["timestamp", value]], new[["timestamp", value]].astype(
             {value: "float64"})], keys=["past", "new"]).sort_values("timestamp", kind="stable")
@@ -45,7 +46,7 @@ def with_previous(readings: DataFrame, kind: str) -> DataFrame:
             new[name] = known[value].shift(back).loc["new"]
         kept = known.tail(depth)
         state.update((
-            [stamp.to_pydatetime() for stamp in kept["timestamp"]],
+            kept["timestamp"].astype("int64").tolist(),
             [None if pd.isna(v) else float(v) for v in kept[value]],
         ))
         yield new

@@ -1,8 +1,12 @@
 import os
 import sys
+import time
 
 import pytest
 
+os.environ["TZ"] = "UTC"  # collected timestamps come in Python's local time
+time.tzset()
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
