@@ -1,0 +1,87 @@
+"""Rendezvous shards and exact dedup against plain Python."""
+
+import hashlib
+import math
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import xxhash
+
+from breezemart.llm.exact_dedup import exact_dedup
+from breezemart.llm.sharding import shard
+
+
+def best(key, weights):
+    def bid(j):
+        seed = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+        h = xxhash.xxh64_intdigest(struct.pack("<i", j), seed)
+        return math.log(((h >> 11) + 0.5) * 2.0**-53) / weights[j]
+
+    return max(range(len(weights)), key=bid)
+
+
+def check_shards(rows, texts, weights):
+    seen = defaultdict(list)
+    for r in rows:
+        assert r.shard == best(r.doc_id, weights) and r.law == "key"
+        assert r.grown_shard in (r.shard, len(weights))
+        assert r.grown_shard == best(r.doc_id, [*weights, 1.0])
+        seen[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in seen.values())
+    want = Counter((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in texts)
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in rows) == want
+
+
+def test_shards_of_documents(documents):
+    texts = [(r.doc_id, r.text) for r in documents.collect()]
+    rows = shard(documents, [1.0] * 24).collect()
+    check_shards(rows, texts, [1.0] * 24)
+    assert sum(r.grown_shard == 24 for r in rows) < len(rows) * 0.12
+
+
+def test_weighted_shards(spark):
+    docs = spark.range(6000).selectExpr("id as doc_id", "string(id) as text")
+    rows = shard(docs, [1.0, 2.0, 3.0]).collect()
+    check_shards(rows, [(i, str(i)) for i in range(6000)], [1.0, 2.0, 3.0])
+    counts = Counter(r.shard for r in rows)
+    assert all(abs(counts[j] - 1000 * (j + 1)) < 150 for j in range(3))
+
+
+def test_shards_of_odd_rows(edge, empty):
+    check_shards(shard(edge, [1.0] * 5).collect(), [(r.doc_id, r.text) for r in edge.collect()], [1.0] * 5)
+    assert shard(empty, [1.0] * 5).count() == 0
+
+
+def lower(text):
+    return (text or "").encode().lower()
+
+
+def check_exact(rows, texts):
+    groups = defaultdict(list)
+    for i, t in texts:
+        groups[lower(t)].append(i)
+    want = Counter()
+    for t, ids in groups.items():
+        top = max((i for i in ids if i is not None), default=None)
+        for i in ids:
+            want[i, top, len(ids), hashlib.sha256(t).hexdigest()] += 1
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in rows) == want
+    stay = [r for r in rows if r.kept]
+    assert len(stay) == len(groups) and all(r.doc_id == r.keep_id for r in stay)
+
+
+def test_exact_dedup(documents, edge, empty):
+    texts = [(r.doc_id, r.text) for r in documents.collect()]
+    for fan_in in (2, 16):
+        check_exact(exact_dedup(documents.repartition(7), fan_in).collect(), texts)
+    check_exact(exact_dedup(edge).collect(), [(r.doc_id, r.text) for r in edge.collect()])
+    assert exact_dedup(empty).count() == 0
+
+
+def test_a_hot_text(spark):
+    docs = spark.range(3000, numPartitions=9).selectExpr(
+        "id as doc_id", "if(id % 3 = 0, 'HOT text', concat('text ', id)) as text")
+    rows = exact_dedup(docs, 2).collect()
+    check_exact(rows, [(r.doc_id, r.text) for r in docs.collect()])
+    assert max(r.group_size for r in rows) == 1000
