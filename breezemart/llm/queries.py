@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breezemart.llm import exact_dedup, mixing, packing, sharding
+from breezemart.llm import embeddings, exact_dedup, mixing, near_dedup, packing, sharding, toxicity
 from breezemart.llm.shared import table
 from breezemart.llm.tokens import vocabulary
 
@@ -29,6 +29,11 @@ def op1_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
+@query
+def op3_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("run", "at")
@@ -39,11 +44,22 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_prob_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+@query
+def op9_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE["op4_exact_dedup"] = f"""
@@ -99,3 +115,23 @@ mixed as (
 """
 
 ORACLE["op5_source_mix"] = f"with {MIX} select * from mixed"
+
+ORACLE["op3_projection_forest"] = """
+with recursive v as (
+  select vec_id, label, embedding::double[] as e,
+         sqrt(list_sum(list_transform(embedding::double[], lambda x: x * x))) as norm
+  from embeddings where label is not null),
+good as (select * from v where norm > 0 and isfinite(norm)),
+link as (
+  select a.vec_id as a, b.vec_id as b from good a join good b on a.label = b.label and a.vec_id <> b.vec_id
+  where list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93),
+reach as (
+  select vec_id as node, vec_id as other from good
+  union
+  select reach.node, link.b from reach join link on reach.other = link.a),
+c as (select node, min(other) as component_id from reach group by 1),
+n as (select a, count(*) as n_links from link group by 1)
+select e.vec_id, coalesce(n_links, 0)::bigint as n_links, coalesce(component_id, e.vec_id) as component_id,
+       e.vec_id = coalesce(component_id, e.vec_id) as kept
+from embeddings e left join c on c.node = e.vec_id left join n on n.a = e.vec_id
+"""
