@@ -19,26 +19,25 @@ FAN_IN = 16
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     run, seen = TaskContext.get().partitionId(), 0
     for batch in batches:
-        texts = [(t or b"").lower() for t in batch.column(1).cast(pa.binary()).to_pylist()]
+        texts = [(t or b"").lower() for t in batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()]
         n = len(texts)
         yield pa.RecordBatch.from_arrays([
-            batch.column(0), pa.array([run] * n, pa.int32()),
+            *batch.columns[:-1], pa.array([run] * n, pa.int32()),
             pa.array(range(seen, seen + n), pa.int64()),
             pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()),
             pa.array([len(t) for t in texts], pa.int64()),
-        ], names=["doc_id", "run", "at", "digest", "size"])
+        ], names=[*batch.schema.names[:-1], "run", "at", "digest", "size"])
         seen += n
 
 
-def digest_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, run (the input partition), at (place in it), SHA-256 and byte length of each text
+def digest_rows(docs: DataFrame, carry: list[str] = ()) -> DataFrame:
+    """doc_id, the columns of `carry`, run (the input partition), at (place in it), SHA-256 and byte length of each text
     with A-Z lower-cased. Written to the shared folder: run and at name a row from here on."""
-    schema = T.StructType([
-        T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("run", T.IntegerType()),
-        T.StructField("at", T.LongType()), T.StructField("digest", T.BinaryType()),
-        T.StructField("size", T.LongType())])
-    return staged(docs.select("doc_id", F.col("text").cast("string"))
-                  .mapInArrow(_digests, schema), "digests")
+    rows = docs.select("doc_id", *[F.col(c).alias(f"carry_{c}") for c in carry], F.col("text").cast("string"))
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("run", T.IntegerType()),
+                           T.StructField("at", T.LongType()), T.StructField("digest", T.BinaryType()),
+                           T.StructField("size", T.LongType())])
+    return staged(rows.mapInArrow(_digests, schema), "digests")
 
 
 def merge_runs(rows: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
@@ -63,21 +62,22 @@ def merge_runs(rows: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
             return staged(level.drop("run"), "digest-groups")
 
 
-def exact_dedup(docs: DataFrame, fan_in: int = FAN_IN) -> DataFrame:
+def exact_dedup(docs: DataFrame, fan_in: int = FAN_IN, carry: list[str] = ()) -> DataFrame:
     """Every row of `docs` (doc_id, text) with its group of equal texts.
 
     Texts are equal when identical after lower-casing A-Z; a null text counts as empty. Returns
     doc_id, keep_id (the largest doc_id of the group), group_size, kept, text_sha256 (of the
-    normalised text), and run and at, which name the row. Equality is that of SHA-256 and byte
-    length, verified at every merge.
+    normalised text) and the columns of `carry`. Equality is that of SHA-256 and byte length, verified
+    at every merge.
 
     Of rows that share the largest doc_id exactly one is kept, the last in reading order. A null
     doc_id is smaller than any other. Other columns are not looked at. An empty table gives no rows.
     """
-    rows = digest_rows(docs)
+    rows = digest_rows(docs, carry)
     groups = merge_runs(rows, fan_in).select(
         F.col("digest").alias("_digest"), F.col("size").alias("_size"), "keep", "n")
     return (rows.join(groups, (F.col("digest") == F.col("_digest")) & (F.col("size") == F.col("_size")))
             .select("doc_id", F.col("keep.doc_id").alias("keep_id"), F.col("n").alias("group_size"),
                     ((F.col("run") == F.col("keep.run")) & (F.col("at") == F.col("keep.at"))).alias("kept"),
-                    F.lower(F.hex("digest")).alias("text_sha256"), "run", "at"))
+                    F.lower(F.hex("digest")).alias("text_sha256"),
+                    *[F.col(f"carry_{c}").alias(c) for c in carry]))

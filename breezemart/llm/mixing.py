@@ -114,7 +114,18 @@ def mix(docs: DataFrame, weights: list[float] = (1, 2, 3), most: float = 3.0, sh
         & (F.col("_so_far") - F.col("_rest") <= F.col("_rest") - (F.col("_so_far") - size)))
     inside = (met.where(F.col("_bin") == F.col("_edge")).withColumn("_so_far", so_far)
               .withColumn("_chosen", near).drop("_so_far"))
-    taken = size * (F.col("_epochs") + F.col("_chosen").cast("long"))
+    times = F.col("_epochs") + F.col("_chosen").cast("long")
     return apart.unionByName(inside).select(
-        "doc_id", "size", "source_size", "target", taken.alias("taken"),
+        "doc_id", "size", "source_size", "target", (size * times).alias("taken"),
         *[F.col(f"_carry_{c}").alias(c) for c in carry])
+
+
+def mixed_rows(docs: DataFrame, weights: list[float] = (1, 2, 3), most: float = 3.0) -> DataFrame:
+    """The rows of `docs` (all columns), each as often as the mix takes it; rows without words go."""
+    own = [c for c in docs.columns if c != "doc_id"]
+    taken = mix(docs.select("doc_id", "text", "source", F.struct(*own).alias("kept_columns")), weights, most,
+                carry=["kept_columns"])
+    times = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0).cast("int")
+    return taken.withColumn("copies", F.array_repeat(F.lit(1), times)).where(F.size("copies") > 0).select(
+        "doc_id", "kept_columns", F.explode("copies")).select(
+        *[F.col(c) if c == "doc_id" else F.col("kept_columns")[c].alias(c) for c in docs.columns])

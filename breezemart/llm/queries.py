@@ -36,7 +36,7 @@ def op3_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("run", "at")
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
 @query
