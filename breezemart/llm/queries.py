@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breezemart.llm import embeddings, exact_dedup, mixing, near_dedup, packing, sharding, toxicity
+from breezemart.llm import embeddings, exact_dedup, mixing, near_dedup, packing, pii, sharding, toxicity
 from breezemart.llm.shared import table
 from breezemart.llm.tokens import vocabulary
 
@@ -60,6 +60,11 @@ def op9_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op10_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(table(spark, sf_dir, "documents"))
+
+
 NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE["op4_exact_dedup"] = f"""

@@ -1,0 +1,84 @@
+"""Fixed patterns against Python's own matches; contexts on a planted corpus."""
+
+import hashlib
+import random
+import re
+
+from breezemart.llm.pii import find_pii
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def stands(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    return {"email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in value.split(".")),
+            "card": 12 <= len(digits) <= 19 and luhn(digits), "phone": 9 <= len(digits) <= 15}[kind]
+
+
+def plain(text):
+    found = [(m.start(), k, kind, m.end()) for k, (kind, p) in enumerate(PLAIN.items())
+             for m in re.finditer(p, text or "") if stands(kind, m[0])]
+    return [f"{kind}:{a}:{b}" for a, _, kind, b in sorted(found)]
+
+
+def check(docs):
+    rows = {(r.doc_id, r.text): None for r in docs.collect()}
+    found = find_pii(docs).collect()
+    assert len(found) == docs.count()
+    by_id = {}
+    for r in found:
+        by_id.setdefault(r.doc_id, []).append(r)
+    for i, text in rows:
+        base = plain(text)
+        want = hashlib.sha256(",".join(base).encode()).hexdigest()
+        own = [r for r in by_id[i] if r.base_sha256 == want]
+        assert own, (i, base, by_id[i])
+        for r in own:
+            assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(b.startswith(k + ":") for b in base) for k in PLAIN]
+            assert set(base) <= set(filter(None, r.spans.split(",")))
+    return found
+
+
+def test_documents(documents):
+    found = check(documents)
+    assert sum(r.n_email + r.n_ip + r.n_card + r.n_phone for r in found) > 0
+
+
+def test_odd_texts(spark, edge, empty):
+    rng = random.Random(9)
+    pieces = ["a@b.c", "@", ".", "1.2.3.4", "300.1.1.1", "0001.2.3.255", "4111 1111 1111 1111", "4111-1111-1111-1112",
+              "+1 (988) 555-2485", "+12", "++1234567890", "é", "👩‍🚀", " ", "\n", "-", "x", "12", "a.b%c@d-e.f.g_h@i.j",
+              "5", "0", "7" * 30, "1.1.1.1.2.3.4.5", "+4 ", "(", "@@", "a@b", "a@b."]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 25))) for _ in range(1500)]
+    texts += ["9" * 60_000, "a" * 60_000, "1 " * 40_000, "a.b@" * 20_000, "1." * 30_000, "+1 " * 30_000,
+              "x@y.z " * 20_000]
+    check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4))
+    check(edge)
+    assert find_pii(empty).count() == 0
+
+
+def test_contexts_reveal_unseen_identifiers(spark):
+    rng = random.Random(2)
+    docs = []
+    for i in range(60):
+        ip = ".".join(str(rng.randrange(256)) for _ in range(4))
+        docs.append(f"Reach host: {ip} today. Call of item{i} and version {i}.")
+    docs.append("Reach host: srv-17x, then version 9.")
+    docs.append("Of the item77 only.")
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r for r in find_pii(frame).collect()}
+    assert found[60].spans == "ip:12:19" and found[60].n_ip == 0
+    assert found[61].spans == "" and all(found[i].spans.count(",") == 0 for i in range(60))
