@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breezemart.llm import embeddings, exact_dedup, mixing, near_dedup, packing, pii, sharding, toxicity
+from breezemart.llm import embeddings, exact_dedup, line_dedup, mixing, near_dedup, packing, pii, sharding, toxicity
 from breezemart.llm.shared import table
 from breezemart.llm.tokens import vocabulary
 
@@ -44,6 +44,11 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_deletion_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_prob_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
