@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breezemart.llm import embeddings, exact_dedup, line_dedup, mixing, near_dedup, packing, pii, sharding, toxicity
+from breezemart.llm import embeddings, exact_dedup, line_dedup, mixing, near_dedup, packing, pii, range_coder, sharding, toxicity
 from breezemart.llm.shared import table
 from breezemart.llm.tokens import vocabulary
 
@@ -29,6 +29,11 @@ def op1_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
+@query
+def op2_range_coded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return range_coder.coded_ids(table(spark, sf_dir, "documents"), vocabulary())
+
+
 @query
 def op3_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_embeddings(table(spark, sf_dir, "embeddings"))
