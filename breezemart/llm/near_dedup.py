@@ -19,9 +19,13 @@ WORDS, LEAST = 5, 0.8
 #: 25 bands of 5 registers miss a pair of similarity 0.8 with probability (1 - 0.8^5)^25 = 5e-5.
 BANDS, ROWS = 25, 5
 #: Words a worker remembers the hash of, and shingles sketched at once.
-CACHE_WORDS, SLICE = 300_000, 1_000_000
+CACHE_WORDS, SLICE = 300_000, 400_000
 #: Passes in which each bucket is compared with one member before all that is left is compared.
 HUB_ROUNDS = 2
+#: Buckets up to this size are compared as pairs of rows, larger ones block against block.
+PAIRED = 64
+#: Bytes of shingles in a block of either side, and blocks that a worker reads at once.
+NEAR_BYTES, FAR_BYTES, BLOCKS_READ = 128 * 1024, 256 * 1024, 32
 
 _U = np.uint64
 
@@ -163,16 +167,69 @@ def probability_jaccard(a: np.ndarray, v: np.ndarray, b: np.ndarray, w: np.ndarr
     return float((1 / (v_above / v_in + w_below / w_in)).sum())
 
 
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def of(items: bytes, counts: bytes):
-        items = np.frombuffer(items, "<u8")
-        return items, np.frombuffer(counts, "<u4") if counts else np.ones(len(items))
+def _unpack(items: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    items = np.frombuffer(items, "<u8")
+    return items, np.frombuffer(counts, "<u4") if counts else np.ones(len(items))
 
-    for batch in batches:
-        found = [probability_jaccard(*of(*row[:2]), *of(*row[2:]))
-                 for row in zip(*(c.to_pylist() for c in batch.columns[2:]))]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.float64())],
-                                         names=["a", "b", "similarity"])
+
+def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in (whole.slice(i, 500) for i in range(0, whole.num_rows, 500)):
+            found = [probability_jaccard(*_unpack(*row[:2]), *_unpack(*row[2:]))
+                     for row in zip(*(c.to_pylist() for c in batch.columns[2:]))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.float64())],
+                                             names=["a", "b", "similarity"])
+
+
+def _alike(near: list[dict], far: list[dict], bucket: int, least: float) -> Iterator[tuple[int, int]]:
+    """Links between two blocks of one bucket, for pairs of different parts that have met in no earlier
+    band. The share of a document's shingles, by weight, that another one has is never below their
+    similarity, so the similarity itself is worked out only where that share is `least` or more."""
+    shapes = [_unpack(f["items"], f["counts"]) for f in far]
+    items = np.concatenate([i for i, _ in shapes])
+    weight = np.concatenate([c / c.sum() for _, c in shapes])
+    starts = np.concatenate([[0], np.cumsum([len(i) for i, _ in shapes])[:-1]])
+    bands = np.array([f["bands"] for f in far])
+    parts = np.array([f["part"] for f in far])
+    for one in near:
+        own, counts = _unpack(one["items"], one["counts"])
+        same = bands == np.array(one["bands"])
+        first = bands[np.arange(len(far)), same.argmax(axis=1)] == bucket
+        at = np.minimum(np.searchsorted(own, items), len(own) - 1)
+        share = np.add.reduceat(np.where(own[at] == items, weight, 0.0), starts)
+        for k in np.flatnonzero(first & (parts != one["part"]) & (share >= least - 1e-9)):
+            if probability_jaccard(own, counts, *shapes[k]) >= least:
+                yield one["class"], far[k]["class"]
+
+
+def _block_links(members: DataFrame, minor: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
+    """a, b: links between `minor` (bucket, class, part) and `members` of the same buckets. Both sides are
+    cut into blocks of bounded size and every block of one meets every block of the other, so a
+    large bucket is spread over many tasks and gives rows for links only."""
+    spark = members.sparkSession
+
+    def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
+        bound = rows.join(vectors, "class")
+        sizes = bound.groupBy("bucket").agg(F.ceil(F.sum(F.octet_length("items") + 200) / size).alias("_blocks"))
+        entry = F.struct("class", "part", "bands", "items", "counts")
+        return staged(bound.join(sizes, "bucket").withColumn("_block", F.pmod(F.xxhash64("class"), F.col("_blocks")))
+                      .groupBy("bucket", "_block").agg(F.collect_list(entry).alias(name)).drop("_block"), f"{name}-blocks")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                bucket, near, far = (batch.column(c)[row].as_py() for c in ("bucket", "near", "far"))
+                links = list(_alike(near, far, bucket, least))
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    met = blocks(minor, NEAR_BYTES, "near").join(blocks(members, FAR_BYTES, "far"), "bucket")
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(BLOCKS_READ))
+    try:
+        return staged(met.mapInArrow(compare, "a long, b long").distinct(), "block-links")
+    finally:
+        spark.conf.set(setting, before)
 
 
 def _verify(pairs: DataFrame, vectors: DataFrame, name: str) -> DataFrame:
@@ -206,7 +263,7 @@ def near_dedup(docs: DataFrame, least: float = LEAST, carry: list[str] = ()) ->
     Equal word sequences are one node, found by digest, so copies cost no pairs. Nodes that share a
     band meet in a bucket. First each member is compared with one member of its bucket, a different
     one in each bucket, and what is found alike is joined; then, exactly, every member outside its
-    bucket's largest part is compared with all members of other parts. Members of one part need no
+    bucket's largest part is compared with all members of other parts, in large buckets block by block. Members of one part need no
     comparison, since the class is the same either way. Only documents that share a band with
     another text have their shingles shuffled.
 
@@ -228,12 +285,12 @@ def near_dedup(docs: DataFrame, least: float = LEAST, carry: list[str] = ()) ->
     crowded = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket")
     members = staged(entries.join(crowded, "bucket").select("bucket", "class"), "members")
     wanted = staged(members.select("class").distinct().join(nodes, "class").select(
-        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("class"), F.col("digest").alias("_digest")), "wanted")
+        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("class"), "bands", F.col("digest").alias("_digest")), "wanted")
     texts = docs.select("doc_id", F.xxhash64(text).alias("mark"), text.alias("text"))
     own = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))).select("text")
     shapes = own.mapInArrow(_vectors, "digest binary, items binary, counts binary").groupBy("digest").agg(
         F.first("items").alias("items"), F.first("counts").alias("counts"))
-    vectors = staged(wanted.join(shapes, F.col("digest") == F.col("_digest")).select("class", "items", "counts"), "vectors")
+    vectors = staged(wanted.join(shapes, F.col("digest") == F.col("_digest")).select("class", "bands", "items", "counts"), "vectors")
 
     members = members.withColumn("part", F.col("class"))
     seen = None
@@ -245,11 +302,15 @@ def near_dedup(docs: DataFrame, least: float = LEAST, carry: list[str] = ()) ->
                 F.col("class").alias("a"), F.col("hub.class").alias("b"))
         else:
             sizes = members.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
-            largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("top"), F.count(F.lit(1)).alias("parts"))
-            minor = members.join(largest.where("parts > 1"), "bucket").where(F.col("part") != F.col("top.part")).select(
-                "bucket", F.col("class").alias("a"), F.col("part").alias("_part"))
-            meet = staged(minor, "minor").join(members, "bucket").where(F.col("part") != F.col("_part")).select(
+            largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("top"), F.count(F.lit(1)).alias("parts"),
+                                                  (F.sum("n") <= PAIRED).alias("paired"))
+            open_members = staged(members.join(largest.where("parts > 1"), "bucket"), "open-members")
+            minor = open_members.where(F.col("part") != F.col("top.part"))
+            small = minor.where("paired").select("bucket", F.col("class").alias("a"), F.col("part").alias("_part"))
+            meet = small.join(open_members.where("paired"), "bucket").where(F.col("part") != F.col("_part")).select(
                 "a", F.col("class").alias("b"))
+            large = _block_links(open_members.where("not paired").select("bucket", "class", "part"),
+                                 minor.where("not paired").select("bucket", "class", "part"), vectors, least)
         pairs = _ordered(meet)
         if seen is not None:
             pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
@@ -259,7 +320,7 @@ def near_dedup(docs: DataFrame, least: float = LEAST, carry: list[str] = ()) ->
         if step < HUB_ROUNDS:
             members = _joined(members, edges, f"round-{step}")
 
-    parts = components(edges, "classes").select(F.col("node").alias("class"), "component")
+    parts = components(edges.union(large), "classes").select(F.col("node").alias("class"), "component")
     whole = nodes.join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
     low = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("class").alias("row"))
     ends = whole.groupBy("component").agg(F.min(low).alias("low"), F.sum("n").alias("class_size"))

@@ -91,6 +91,22 @@ def test_classes_against_all_pairs(spark):
     assert all(r.class_size == sum(c == r.class_id for c in want.values()) for r in rows.values())
 
 
+def test_a_large_bucket_is_compared_in_blocks(spark, monkeypatch):
+    rng = random.Random(12)
+    base, docs = text(rng, 60), []
+    for _ in range(140):  # two changed words keep most above 0.8 of the first text, three do not
+        copy = list(base)
+        for _ in range(rng.choice([1, 2, 3])):
+            copy[rng.randrange(len(copy))] = f"new{rng.randrange(10**6)}"
+        docs.append(" ".join(copy * rng.choice([1, 1, 1, 3])))
+    monkeypatch.setattr(near, "PAIRED", 8)
+    monkeypatch.setattr(near, "NEAR_BYTES", 3000)
+    monkeypatch.setattr(near, "FAR_BYTES", 8000)
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    links = [(i, j) for i in range(len(docs)) for j in range(i) if plain_similarity(docs[i], docs[j]) >= 0.8]
+    assert {r.doc_id: r.class_id for r in near.near_dedup(frame).collect()} == smallest(range(len(docs)), links)
+
+
 def test_odd_documents(edge, empty):
     rows = near.near_dedup(edge, carry=["source", "run"]).collect()
     assert len(rows) == edge.count() and {r.class_id for r in rows if r.doc_id in (1, 2)} == {1}
