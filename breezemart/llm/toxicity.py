@@ -218,7 +218,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         (F.length("text") > 0) & (fold(F.col("doc_id")) != 0))
 
     def of(learnt: Column) -> DataFrame:
-        return rows.where(learnt).join(known.where(learnt), "doc_id")
+        # the same plan at every size: labels grow with the documents, so neither side is broadcast
+        return rows.where(learnt).join(known.where(learnt).hint("merge"), "doc_id")
 
     counts = count_grams(of(fold(F.col("doc_id")) < 4)).toPandas().sort_values("gram")
     codes, ordinary, toxic = (counts[c].to_numpy(np.int64) for c in ("gram", "ordinary", "toxic"))
