@@ -182,8 +182,8 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _alike(near: list[dict], far: list[dict], bucket: int, least: float) -> Iterator[tuple[int, int]]:
-    """Links between two blocks of one bucket, for pairs of different parts that have met in no earlier
-    band. The share of a document's shingles, by weight, that another one has is never below their
+    """(class, part): members of one block and the parts of the other that they link with, for pairs of
+    different parts that have met in no earlier band. The share of a document's shingles, by weight, that another one has is never below their
     similarity, so the similarity itself is worked out only where that share is `least` or more."""
     shapes = [_unpack(f["items"], f["counts"]) for f in far]
     items = np.concatenate([i for i, _ in shapes])
@@ -197,23 +197,29 @@ def _alike(near: list[dict], far: list[dict], bucket: int, least: float) -> Iter
         first = bands[np.arange(len(far)), same.argmax(axis=1)] == bucket
         at = np.minimum(np.searchsorted(own, items), len(own) - 1)
         share = np.add.reduceat(np.where(own[at] == items, weight, 0.0), starts)
+        linked = set()
         for k in np.flatnonzero(first & (parts != one["part"]) & (share >= least - 1e-9)):
-            if probability_jaccard(own, counts, *shapes[k]) >= least:
-                yield one["class"], far[k]["class"]
+            part = int(parts[k])
+            if part not in linked and probability_jaccard(own, counts, *shapes[k]) >= least:
+                linked.add(part)
+                yield one["class"], part
 
 
 def _block_links(members: DataFrame, minor: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
-    """a, b: links between `minor` (bucket, class, part) and `members` of the same buckets. Both sides are
-    cut into blocks of bounded size and every block of one meets every block of the other, so a
-    large bucket is spread over many tasks and gives rows for links only."""
+    """a, b: links between `minor` (bucket, class, part) and the parts of `members` of the same buckets (a
+    part is named by one of its classes). Both sides are cut into blocks of bounded size and every
+    block of one meets every block of the other, so a large bucket is spread over many tasks and gives
+    one row for each part that a member links with. The shingles move twice: to their block and
+    to the blocks they meet."""
     spark = members.sparkSession
 
     def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
-        bound = rows.join(vectors, "class")
-        sizes = bound.groupBy("bucket").agg(F.ceil(F.sum(F.octet_length("items") + 200) / size).alias("_blocks"))
+        heavy = vectors.select("class", (F.octet_length("items") + 200).alias("_bytes"))
+        sizes = rows.join(heavy, "class").groupBy("bucket").agg(F.ceil(F.sum("_bytes") / size).alias("_blocks"))
         entry = F.struct("class", "part", "bands", "items", "counts")
-        return staged(bound.join(sizes, "bucket").withColumn("_block", F.pmod(F.xxhash64("class"), F.col("_blocks")))
-                      .groupBy("bucket", "_block").agg(F.collect_list(entry).alias(name)).drop("_block"), f"{name}-blocks")
+        return staged(rows.join(sizes, "bucket").withColumn("_block", F.pmod(F.xxhash64("class"), F.col("_blocks")))
+                      .join(vectors, "class").groupBy("bucket", "_block").agg(F.collect_list(entry).alias(name))
+                      .drop("_block"), f"{name}-blocks")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

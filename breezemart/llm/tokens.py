@@ -8,8 +8,9 @@ import re
 import numpy as np
 
 #: Entries of a worker's cache, and the longest word it holds; both bound its memory.
-CACHE_WORDS, CACHE_CHARS = 200_000, 40
+CACHE_WORDS, CACHE_CHARS = 900_000, 40
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 
 
 def vocabulary() -> str:
@@ -18,6 +19,26 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _clean(word: str) -> bool:
+    return bool(word) and not word[0].isspace() and not word[-1].isspace()
+
+
+def _cut(piece: str) -> list[str]:
+    """Parts of a space and a word that the byte-level pre-tokenizer always keeps apart: lines, and
+    Latin letters from the ASCII punctuation after them (an apostrophe can belong to letters)."""
+    if plain := _PLAIN(piece, 1):
+        body, tail = plain.groups()
+        return [" " + body, tail] if tail else [piece]
+    lines = piece[1:].split("\n")
+    if len(lines) == 1 or not all(map(_clean, lines)):
+        return [piece]
+    parts = _cut(" " + lines[0])
+    for line in lines[1:]:
+        plain = _PLAIN(line)
+        parts += ["\n", *([x for x in plain.groups() if x] if plain else [line])]
+    return parts
+
+
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit integers, equal to those of the whole text.
 
@@ -33,10 +54,39 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.words: dict[str, bytes] = {}
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        self.parts: dict[str, bytes] = {}
+        self.line_end = self._whole("\n")
+
+    def _whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(ids, "<u4").tobytes()
+
+    def _learn(self, parts: list[str]) -> None:
+        """Encode parts in one call, a line each: a line end between two non-spaces is an id of its
+        own, and so is one before a space and a non-space."""
+        plain = [p for p in parts if "\n" not in p and not p[-1].isspace() and not p[:2].isspace()]
+        ids = np.frombuffer(self._whole("\n".join(plain)), "<u4")
+        ends = np.flatnonzero(ids == np.frombuffer(self.line_end, "<u4")[0])
+        if len(self.line_end) == 4 and len(ends) == len(plain) - 1:
+            raw, edges = ids.tobytes(), [-1, *ends.tolist(), len(ids)]
+            self.parts.update((p, raw[4 * a + 4:4 * b]) for p, a, b in zip(plain, edges, edges[1:]))
+        for p in parts:
+            if p not in self.parts:
+                self.parts[p] = self._whole(p)
+
+    def _words(self, words: set[str]) -> dict[str, bytes]:
+        cuts = {w: _cut(" " + w) for w in words}
+        if len(self.parts) > CACHE_WORDS:
+            self.parts.clear()
+        parts = self.parts
+        new = {p for cut in cuts.values() for p in cut if p not in parts}
+        if new:
+            self._learn(list(new))
+        known = {w: b"".join([parts[p] for p in cut]) for w, cut in cuts.items()}
+        for p in new:
+            if len(p) > CACHE_CHARS:
+                del parts[p]
+        return known
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -45,20 +95,19 @@ class Encoder:
         get = self.words.get
         out = [get(w) for w in words]
         if None in out:
-            new = list({w for w, ids in zip(words, out) if ids is None})
-            if not all(w and not w[0].isspace() and not w[-1].isspace() for w in new):
+            new = {w for w, ids in zip(words, out) if ids is None}
+            if not all([_PLAIN(w) or _clean(w) for w in new]):
                 first, *words = _CUT.split(text)
                 out = [get(w) for w in words]
-                new = list({w for w, ids in zip(words, out) if ids is None})
-            known = dict(zip(new, self._ids([f" {w}" for w in new])))
+                new = {w for w, ids in zip(words, out) if ids is None}
+            known = self._words(new)
             out = [known[w] if ids is None else ids for w, ids in zip(words, out)]
             if len(self.words) > CACHE_WORDS:
                 self.words.clear()
-            self.words.update((w, ids) for w, ids in known.items()
-                              if len(w) <= CACHE_CHARS and not w[0].isspace() and not w[-1].isspace())
+            self.words.update({w: ids for w, ids in known.items() if len(w) <= CACHE_CHARS and _clean(w)})
         if first and first[-1].isspace() and words:  # the cut must lie between two non-spaces
-            return self._ids([text])[0]
-        return b"".join([*self._ids([first]), *out])
+            return self._whole(text)
+        return b"".join([self._whole(first) if first else b"", *out])
 
 
 _encoders: dict[str, Encoder] = {}
