@@ -32,7 +32,7 @@ def whole_number(text: str) -> Column:
 
 
 def code_or_default(code: str, default: int = -1) -> Column:
-    return F.coalesce(F.col(code).cast("int"), F.lit(default))
+    return F.coalesce(F.col(code).try_cast("int"), F.lit(default))
 
 
 def two_decimals(name: str) -> Column:

@@ -19,7 +19,7 @@ def location_key(latitude: str, longitude: str, known: bool = False) -> Column:
 
 
 def time_key(ts) -> Column:
-    """yyyyMMddHH as an integer, by arithmetic (no text formatting per row)."""
+    """yyyyMMddHH as an integer, by arithmetic (no text formatting per row); null after 2147."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return (F.year(ts) * 1000000 + F.month(ts) * 10000 + F.dayofmonth(ts) * 100
-            + F.hour(ts)).cast("int")
+    return (F.year(ts).cast("long") * 1000000 + F.month(ts) * 10000 + F.dayofmonth(ts) * 100
+            + F.hour(ts)).try_cast("int")

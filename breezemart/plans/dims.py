@@ -62,7 +62,7 @@ def location_dimension(positions: DataFrame, sites: DataFrame | None = None,
 
 def weather_condition_dimension(weather: DataFrame, extras: bool = True) -> DataFrame:
     """One row per distinct weather code; codes outside the table are Unknown, level -1."""
-    codes = (weather.select(F.col("weather_code").cast("int").alias("weather_code")).distinct()
+    codes = (weather.select(F.col("weather_code").try_cast("int").alias("weather_code")).distinct()
              .withColumn("condition_key", F.col("weather_code")))
     found = codes.join(F.broadcast(condition_table(weather.sparkSession)), "condition_key", "left")
     description, category, level = UNKNOWN_CONDITION

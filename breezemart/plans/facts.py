@@ -87,6 +87,6 @@ def _weather(readings: DataFrame, derived: bool) -> DataFrame:
     } if derived else {}
     return readings.select(
         time_key("timestamp").alias("time_key"), "location_key",
-        F.col("weather_code").cast("int").alias("condition_key"), severity.alias("severity_key"),
+        F.col("weather_code").try_cast("int").alias("condition_key"), severity.alias("severity_key"),
         season_key("timestamp").alias("season_key"), "timestamp", *WEATHER_FACT_MEASURES,
         *[column.alias(name) for name, column in extra.items()])

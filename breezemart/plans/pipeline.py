@@ -74,11 +74,13 @@ def stage(readings: DataFrame, path: str, rules: Rules, table: str) -> DataFrame
 def _buckets(spark: SparkSession) -> int:
     """As many buckets as shuffle partitions, or the largest part of that Spark allows.
 
-    A divisor keeps every shuffle partition inside one bucket.
+    A divisor keeps every shuffle partition inside one bucket. Where the largest is under half of
+    what Spark allows, as for a prime number of partitions, all that Spark allows are taken.
     """
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
-    return next(parts // k for k in range(-(-parts // most), parts + 1) if parts % k == 0)
+    even = next(parts // k for k in range(-(-parts // most), parts + 1) if parts % k == 0)
+    return even if 2 * even >= min(parts, most) else most
 
 
 def run_batch(air: DataFrame, weather: DataFrame, out: str, start: datetime.datetime | None = None,

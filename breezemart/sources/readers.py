@@ -36,7 +36,7 @@ def as_readings(df: DataFrame, kind: str) -> DataFrame:
     def measure(name: str):
         target = "int" if name == "us_aqi" else "double"
         column = F.col(name) if name in df.columns else F.lit(None)
-        return column.cast(target).alias(name)
+        return column.try_cast(target).alias(name)
 
     placed = df if "location_key" in df.columns else df.withColumn(
         "location_key", location_key("latitude", "longitude"))

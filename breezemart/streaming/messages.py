@@ -9,24 +9,24 @@ from breezemart.functions.cleaning import parse_timestamp, to_utc
 from breezemart.functions.keys import location_key
 from breezemart.schemas import CORRUPT, READING_KEYS, envelope_schema, measures_of
 
-RECORDS_PER_TRIGGER = 10_000
-
 
 def read_messages(spark: SparkSession, location: str, source: str = "text",
                   servers: str | None = None, per_trigger: int | None = None) -> DataFrame:
     """A stream with the message text in `value`.
 
-    `source="kafka"` subscribes to the topic `location` from the latest offsets, tolerates lost
-    data and takes at most `per_trigger` records (10,000) at a time; it needs the Kafka
-    connector. `source="text"` reads files of one message per line, `per_trigger` files at a time.
+    `source="kafka"` subscribes to the topic `location` from the latest offsets, stops where data
+    was lost, and takes `per_trigger` records at a time, without it all there are; it needs the
+    Kafka connector. `source="text"` reads files of one message per line, `per_trigger` files at a time.
     """
     if source == "kafka":
         options = {
             "kafka.bootstrap.servers": servers, "subscribe": location, "startingOffsets": "latest",
-            "failOnDataLoss": "false", "maxOffsetsPerTrigger": per_trigger or RECORDS_PER_TRIGGER,
+            "failOnDataLoss": "true",
             "kafka.request.timeout.ms": "60000", "kafka.session.timeout.ms": "30000",
             "kafka.heartbeat.interval.ms": "10000",
         }
+        if per_trigger:
+            options["maxOffsetsPerTrigger"] = per_trigger
         return (spark.readStream.format("kafka").options(**options).load()
                 .select(F.col("value").cast("string").alias("value")))
     if source == "text":
@@ -70,7 +70,7 @@ def parse_messages(raw: DataFrame, kind: str, zone: str | None = None) -> DataFr
 
 
 def _measure(path: str, name: str):
-    return F.col(path).cast("int" if name == "us_aqi" else "double").alias(name)
+    return F.col(path).try_cast("int" if name == "us_aqi" else "double").alias(name)
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

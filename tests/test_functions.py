@@ -168,3 +168,23 @@ def test_time_range_is_half_open(spark):
     assert sorted(r.hour for r in rows) == [0, 1, 2]
     assert dims.time_dimension(none, none, end, start).count() == 0
     assert dims.time_dimension(none, none, start, None).count() == 0
+
+
+def test_values_that_do_not_fit_become_null(spark):
+    from breezemart.functions.cleaning import code_or_default
+    from breezemart.functions.keys import time_key
+    from breezemart.sources.readers import as_readings
+
+    row = spark.sql("select timestamp'9999-12-31 05:00:00' as timestamp, 1.0d as latitude, 2.0d as longitude, "
+                    "'s' as source, 1e12d as us_aqi, double('NaN') as weather_code")
+    assert row.select(time_key("timestamp")).first()[0] is None
+    assert row.select(code_or_default("us_aqi")).first()[0] == -1
+    assert as_readings(row, "air_quality").first().us_aqi is None
+
+
+def test_bucket_counts_do_not_hang_on_divisors(spark, conf):
+    from breezemart.plans.pipeline import _buckets
+
+    for parts in (11, 13, 22, 97, 200, 211):
+        conf(spark__sql__shuffle__partitions=str(parts), spark__sql__sources__bucketing__maxBuckets="10")
+        assert 5 <= _buckets(spark) <= 10
