@@ -1,16 +1,15 @@
 """Row lags over time series whose keys may be very uneven in size.
 
-A window over `location_key` alone puts a station's whole history into one task. That is right for
-ordinary histories (hourly readings are 8,784 rows a year), and wrong for one that holds a third
-of all rows. So histories of more than `max_rows` rows are cut into time chunks, every chunk is
-its own window, and the first rows of a chunk get what they miss from the chunks before it:
-
-1. lag inside (key, chunk); an ordinary history is a single chunk;
-2. for cut histories, the last `depth` rows of every chunk, thinned before the shuffle by the rank
-   filter;
-3. per key, over one row per chunk, the last `depth` rows before each chunk. Every chunk present
-   holds a row, so the `depth` chunks before it always suffice, however large the gaps;
-4. join that short array back on (key, chunk), which the rows are already laid out by.
+A window over the key alone puts a station's whole history into one task, wrong for one that holds
+a third of all rows. So there is one plan for every station, however its rows lie in time:
+
+1. rows are range-partitioned by (key, time) into parts of about equal size and written, so that
+   every later step sees the same parts; a long history spans many parts, a part holds many short ones;
+2. lag inside (key, part);
+3. the last `depth` rows of every (key, part), thinned before the shuffle by the rank filter;
+4. per key, over one row per part, the last `depth` rows before each part. Every part listed holds
+   a row of the key, so `depth` parts always suffice; a key has at most as many as there are parts;
+5. join that short array back on (key, part), which the rows are already laid out by.
 """
 
 from __future__ import annotations
@@ -18,31 +17,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_ROWS = 5_000_000
+from breezemart.session import staged
 
 
 def row_lags(df: DataFrame, value: str, steps: dict[str, int], key: str = "location_key",
-             order: str = "timestamp", max_rows: int = MAX_ROWS) -> DataFrame:
+             order: str = "timestamp") -> DataFrame:
     """Add a column per entry of `steps`: the value that many rows earlier, per key by time.
 
-    `max_rows` is about what one task sorts of one key; the result does not depend on it. Times
-    must be unique per key for the result to be unique.
+    The result does not depend on the number of parts. Times must be unique per key for the result
+    to be unique; rows of one instant share a part.
     """
     depth = max(steps.values())
-    by_chunk = [key, "_chunk"]
-    in_chunk = Window.partitionBy(*by_chunk).orderBy(order)
+    by_part = [key, "_part"]
+    in_part = Window.partitionBy(*by_part).orderBy(order)
 
-    # At most rows / max_rows keys, so the broadcast stays small: two million keys for 10^13 rows.
-    heavy = F.broadcast(_heavy_keys(df, key, order, max_rows))
-    chunk = F.expr(f"(unix_micros({order}) - _first) div _width")
-    cut = df.join(heavy, key, "left").withColumn("_chunk", F.coalesce(chunk, F.lit(0)))
+    cut = staged(df.repartitionByRange(key, order).withColumn("_part", F.spark_partition_id()),
+                 "lag-parts")
     rows = cut.withColumns({
-        "_row": F.row_number().over(in_chunk),
-        **{name: F.lag(value, step).over(in_chunk) for name, step in steps.items()},
+        "_row": F.row_number().over(in_part),
+        **{name: F.lag(value, step).over(in_part) for name, step in steps.items()},
     })
-    carried = _rows_before_chunk(cut.filter(F.col("_width").isNotNull())
-                                 .select(*by_chunk, order, value), value, depth, key, order)
-    rows = rows.join(carried, by_chunk, "left")
+    carried = _rows_before_part(cut.select(*by_part, order, value), value, depth, key, order)
+    rows = rows.join(carried, by_part, "left")
 
     def lagged(name: str, step: int):
         missing = F.lit(step) - F.col("_row")
@@ -50,32 +46,18 @@ def row_lags(df: DataFrame, value: str, steps: dict[str, int], key: str = "locat
         return F.when(F.col("_row") > step, F.col(name)).otherwise(before)
 
     return (rows.withColumns({name: lagged(name, step) for name, step in steps.items()})
-            .drop("_chunk", "_row", "_before", "_first", "_width"))
-
-
-def _heavy_keys(df: DataFrame, key: str, order: str, max_rows: int) -> DataFrame:
-    """Keys with more than `max_rows` rows, with their first time and chunk width in microseconds.
-
-    The width aims at half of `max_rows` per chunk for evenly spaced rows.
-    """
-    micros = F.unix_micros(order)
-    sizes = df.groupBy(key).agg(F.count("*").alias("_rows"), F.min(micros).alias("_first"),
-                                F.max(micros).alias("_last"))
-    span = (F.col("_last") - F.col("_first")).cast("double")
-    width = (span * F.lit(float(max_rows)) / (F.col("_rows") * F.lit(2.0))).cast("bigint")
-    return (sizes.filter(F.col("_rows") > max_rows)
-            .select(key, "_first", F.greatest(width, F.lit(1)).alias("_width")))
+            .drop("_part", "_row", "_before"))
 
 
-def _rows_before_chunk(cut: DataFrame, value: str, depth: int, key: str, order: str) -> DataFrame:
-    """(key, _chunk, _before): up to `depth` values before the chunk, oldest first."""
-    newest_first = Window.partitionBy(key, "_chunk").orderBy(F.desc(order))
+def _rows_before_part(cut: DataFrame, value: str, depth: int, key: str, order: str) -> DataFrame:
+    """(key, _part, _before): up to `depth` values before the part, oldest first."""
+    newest_first = Window.partitionBy(key, "_part").orderBy(F.desc(order))
     ends = (cut.withColumn("_back", F.row_number().over(newest_first))
             .filter(F.col("_back") <= depth)
-            .groupBy(key, "_chunk")
+            .groupBy(key, "_part")
             .agg(F.sort_array(F.collect_list(F.struct(order, value))).alias("_end")))
-    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(-depth, -1)
+    earlier = Window.partitionBy(key).orderBy("_part").rowsBetween(-depth, -1)
     ends = ends.withColumn("_ends", F.collect_list("_end").over(earlier))
     before = F.flatten("_ends")
     newest = F.slice(before, F.greatest(F.size(before) - depth + 1, F.lit(1)), depth)
-    return ends.select(key, "_chunk", F.transform(newest, lambda row: row[value]).alias("_before"))
+    return ends.select(key, "_part", F.transform(newest, lambda row: row[value]).alias("_before"))

@@ -9,7 +9,7 @@ from breezemart.functions import measures as M
 from breezemart.functions.calendar import season_key
 from breezemart.functions.categories import aqi_status_key, severity_key, visibility_category
 from breezemart.functions.keys import time_key
-from breezemart.operators.lags import MAX_ROWS, row_lags
+from breezemart.operators.lags import row_lags
 
 # Measures stored in each fact, in table order.
 AIR_FACT_MEASURES = ["pm2_5", "pm10", "carbon_monoxide", "nitrogen_dioxide", "sulphur_dioxide",
@@ -24,20 +24,19 @@ LAG_STEPS = {"_previous_1": 1, "_previous_24": 24}
 LAGGED = {"air_quality": "us_aqi", "weather": "temperature_2m"}
 
 
-def air_quality_facts(air: DataFrame, derived: bool = True, max_rows: int = MAX_ROWS) -> DataFrame:
+def air_quality_facts(air: DataFrame, derived: bool = True) -> DataFrame:
     """Air-quality fact; `derived` adds trends, ratios and indices.
 
     The *_24h change is 24 rows back, which is 24 hours only where no hour is missing. Rows
     without a timestamp or place are no facts (the warehouse keys are NOT NULL). Where the input
     already holds the earlier values (a stream keeps them as state), they are used as they are.
-    `max_rows`: see `row_lags`.
     """
-    return _air(_with_previous(air, "air_quality", max_rows) if derived else _keyed(air), derived)
+    return _air(_with_previous(air, "air_quality") if derived else _keyed(air), derived)
 
 
-def weather_facts(weather: DataFrame, derived: bool = True, max_rows: int = MAX_ROWS) -> DataFrame:
+def weather_facts(weather: DataFrame, derived: bool = True) -> DataFrame:
     """Weather fact; `derived` adds trends, comfort measures and severity flags."""
-    return _weather(_with_previous(weather, "weather", max_rows) if derived else _keyed(weather), derived)
+    return _weather(_with_previous(weather, "weather") if derived else _keyed(weather), derived)
 
 
 FACT_BUILDERS = {"air_quality": air_quality_facts, "weather": weather_facts}
@@ -53,10 +52,10 @@ def _keyed(readings: DataFrame) -> DataFrame:
     return readings.filter(F.col("timestamp").isNotNull() & F.col("location_key").isNotNull())
 
 
-def _with_previous(readings: DataFrame, kind: str, max_rows: int) -> DataFrame:
+def _with_previous(readings: DataFrame, kind: str) -> DataFrame:
     if set(LAG_STEPS) <= set(readings.columns):
         return _keyed(readings)
-    return row_lags(_keyed(readings), LAGGED[kind], LAG_STEPS, max_rows=max_rows)
+    return row_lags(_keyed(readings), LAGGED[kind], LAG_STEPS)
 
 
 def _air(readings: DataFrame, derived: bool) -> DataFrame:

@@ -4,10 +4,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from breezemart.operators.lags import _heavy_keys, row_lags
+from breezemart.operators import lags
+from breezemart.operators.lags import row_lags
 from breezemart.operators.merge import latest_per_key, merge_batch_and_stream, tumbling_window
 from breezemart.plans import facts
 from breezemart.schemas import AIR_MEASURES
+from breezemart.session import staged
 from breezemart.sources import event_readings as events
 
 START = datetime.datetime(2024, 1, 1)
@@ -36,34 +38,48 @@ def brute_force(rows):
     return expected
 
 
-@pytest.mark.parametrize("max_rows", [10, 100, 1000, 5_000_000])
-def test_lags_equal_brute_force_however_they_are_cut(spark, max_rows):
+@pytest.fixture
+def parts(conf):
+    """Cut lags into that many parts, empty ones included."""
+    return lambda n: conf(spark__sql__shuffle__partitions=str(n),
+                          spark__sql__adaptive__coalescePartitions__enabled="false")
+
+
+@pytest.mark.parametrize("n", [1, 3, 40, 400])
+def test_lags_equal_brute_force_however_they_are_cut(spark, parts, n):
+    parts(n)
     rows = uneven_series()
     frame = spark.createDataFrame(rows, "location_key string, timestamp timestamp, value int")
-    found = row_lags(frame.repartition(5), "value", STEPS, max_rows=max_rows).collect()
+    found = row_lags(frame.repartition(5), "value", STEPS).collect()
     assert {(r.location_key, r.timestamp): (r.back_1, r.back_24) for r in found} == brute_force(rows)
     assert len(found) == len(rows)
 
 
-def test_only_long_histories_are_cut(spark):
-    frame = spark.createDataFrame(uneven_series(), "location_key string, timestamp timestamp, value int")
-    heavy = _heavy_keys(frame, "location_key", "timestamp", 1000).collect()
-    assert [r.location_key for r in heavy] == ["hot"]
-    chunks = 3000 * 10 * 60 * 1_000_000 / heavy[0]._width
-    assert 5 <= chunks <= 7  # half of max_rows each
-    assert _heavy_keys(frame, "location_key", "timestamp", 5000).count() == 0
+def test_a_station_with_nearly_all_rows_in_one_day_is_cut_evenly(spark, parts, monkeypatch):
+    parts(10)
+    kept = []
+    monkeypatch.setattr(lags, "staged", lambda df, name: kept.append(staged(df, name)) or kept[-1])
+    second = F.when(F.col("id") < 9900, F.col("id") * 8).otherwise(F.col("id") * 100_000)
+    frame = spark.range(10_000).select(F.lit("hot").alias("location_key"), F.col("id").alias("value"),
+                                       F.timestamp_seconds(second).alias("timestamp"))
+    found = row_lags(frame, "value", STEPS)
+    assert max(r["count"] for r in kept[0].groupBy("_part").count().collect()) <= 2000
+    assert found.where("back_1 = value - 1 and (back_24 = value - 24 or value < 24)").count() == 9999
 
 
-def test_one_instant_cannot_be_cut_but_is_whole(spark):
+def test_one_instant_cannot_be_cut_but_is_whole(spark, parts):
+    parts(7)
     frame = spark.range(50).select(F.lit("a").alias("location_key"), F.lit(START).alias("timestamp"),
                                    F.col("id").alias("value"))
-    assert row_lags(frame, "value", STEPS, max_rows=10).count() == 50
+    assert row_lags(frame, "value", STEPS).count() == 50
 
 
-def test_facts_do_not_depend_on_the_cut(spark, sf_dir):
+def test_facts_do_not_depend_on_the_cut(spark, sf_dir, parts):
     for kind, build in facts.FACT_BUILDERS.items():
         readings = events.hourly_readings(spark, sf_dir, kind)
-        whole, cut = build(readings), build(readings, max_rows=7)
+        whole = build(readings)
+        parts(50)
+        cut = build(readings)
         assert whole.exceptAll(cut).count() == 0 and cut.exceptAll(whole).count() == 0
 
 
