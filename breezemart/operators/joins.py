@@ -49,11 +49,11 @@ def star_join(fact: DataFrame, fixed: dict[str, DataFrame],
 
 def orphans(fact: DataFrame, dimension: DataFrame, key: str, fact_name: str,
             dimension_name: str) -> DataFrame:
-    """One row: how many fact rows point to no dimension row.
+    """One row: how many fact rows point to no dimension row, those without a key included.
 
     Fact keys are counted first, so the anti join sees each key once.
     """
-    used = fact.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
+    used = fact.groupBy(key).agg(F.count("*").alias("_rows"))
     return (used.join(dimension.select(key), key, "left_anti")
             .agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("orphan_rows"))
             .select(F.lit(fact_name).alias("fact"), F.lit(dimension_name).alias("dimension"),

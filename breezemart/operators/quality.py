@@ -24,6 +24,7 @@ class Rules:
     measured: list[str]
     required: list[str] = field(default_factory=list)
     not_null: list[str] = field(default_factory=list)
+    unique: list[str] = field(default_factory=list)
     threshold: float = 10.0
 
 
@@ -66,8 +67,11 @@ def observed(df: DataFrame, rules: Rules) -> tuple[DataFrame, Observation]:
 
 
 def check(df: DataFrame, rules: Rules) -> dict[str, float]:
-    """Run the gate with one aggregate; returns null % per column or raises."""
+    """Run the gate with one aggregate, and one more where `unique` columns may hold no value twice;
+    returns null % per column or raises."""
     _require(df, rules)
+    if rules.unique and not df.groupBy(*rules.unique).count().where("count > 1").isEmpty():
+        raise DataQualityError(f"{rules.table}: {', '.join(rules.unique)} repeats")
     return judge(df.agg(*_counts(_checked(df, rules))).first(), df, rules)
 
 
@@ -94,7 +98,7 @@ def _checked(df: DataFrame, rules: Rules) -> list[str]:
 
 
 def _require(df: DataFrame, rules: Rules) -> None:
-    needed = dict.fromkeys([*rules.required, *rules.measured, *rules.not_null])
+    needed = dict.fromkeys([*rules.required, *rules.measured, *rules.not_null, *rules.unique])
     missing = [name for name in needed if name not in df.columns]
     if missing:
         raise DataQualityError(f"{rules.table}: missing columns {missing}")

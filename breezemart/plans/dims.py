@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from breezemart.functions.calendar import BASE_COLUMNS, EXTRA_COLUMNS, calendar_columns
 from breezemart.functions.categories import aqi_status_key, climate_zone, hemisphere
+from breezemart.functions.cleaning import code_or_default
 from breezemart.functions.keys import location_key
 from breezemart.lookups import (
     LOW_SIGHT_CATEGORIES, PRECIPITATION_CATEGORIES, SEASONS, SEVERITIES, UNKNOWN_CONDITION,
     condition_table, status_table)
+from breezemart.operators.merge import latest_per_key
 
 
 def time_dimension(air: DataFrame, weather: DataFrame, start: datetime.datetime | None = None,
@@ -35,12 +37,16 @@ def _hours(spark: SparkSession, start: datetime.datetime, end: datetime.datetime
 
 def location_dimension(positions: DataFrame, sites: DataFrame | None = None,
                        extras: bool = True) -> DataFrame:
-    """One row per (latitude, longitude) of `positions`, with what `sites` knows about it.
+    """One row per location key of `positions`, with what `sites` knows about it.
 
-    Places no site table knows get 'Unknown' names and null numbers.
+    Of positions that share a key (they agree in four decimals) the smallest stands for all; of site
+    rows that share one, the one with the greatest values. Places no site table knows get 'Unknown'
+    names and null numbers.
     """
     places = (positions.select("latitude", "longitude").dropna().distinct()
-              .withColumn("location_key", location_key("latitude", "longitude", known=True)))
+              .groupBy(location_key("latitude", "longitude", known=True).alias("location_key"))
+              .agg(F.min(F.struct("latitude", "longitude")).alias("_at"))
+              .select("location_key", "_at.latitude", "_at.longitude"))
     texts = ["city", "region", "country", "continent", "timezone", "population_density",
              "urban_density"]
     others = ["elevation", "is_coastal"]
@@ -51,7 +57,8 @@ def location_dimension(positions: DataFrame, sites: DataFrame | None = None,
     else:
         described = sites.dropna(subset=["latitude", "longitude"]).withColumn(
             "location_key", location_key("latitude", "longitude", known=True))
-        known = places.join(described.select("location_key", *texts, *others), "location_key", "left")
+        described = latest_per_key(described.select("location_key", *texts, *others), ["location_key"], [])
+        known = places.join(described, "location_key", "left")
     named = {name: F.coalesce(F.col(name), F.lit("Unknown")).alias(name) for name in texts}
     base = ["location_key", "latitude", "longitude", named["city"], named["region"],
             climate_zone("latitude").alias("climate_zone"), "elevation"]
@@ -61,8 +68,11 @@ def location_dimension(positions: DataFrame, sites: DataFrame | None = None,
 
 
 def weather_condition_dimension(weather: DataFrame, extras: bool = True) -> DataFrame:
-    """One row per distinct weather code; codes outside the table are Unknown, level -1."""
-    codes = (weather.select(F.col("weather_code").try_cast("int").alias("weather_code")).distinct()
+    """One row per distinct weather code; codes outside the table are Unknown, level -1.
+
+    A missing code is -1, so it has a row that facts can point to.
+    """
+    codes = (weather.select(code_or_default("weather_code").alias("weather_code")).distinct()
              .withColumn("condition_key", F.col("weather_code")))
     found = codes.join(F.broadcast(condition_table(weather.sparkSession)), "condition_key", "left")
     description, category, level = UNKNOWN_CONDITION

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from breezemart.functions import measures as M
 from breezemart.functions.calendar import season_key
 from breezemart.functions.categories import aqi_status_key, severity_key, visibility_category
+from breezemart.functions.cleaning import code_or_default
 from breezemart.functions.keys import time_key
 from breezemart.operators.lags import row_lags
 
@@ -86,6 +87,6 @@ def _weather(readings: DataFrame, derived: bool) -> DataFrame:
     } if derived else {}
     return readings.select(
         time_key("timestamp").alias("time_key"), "location_key",
-        F.col("weather_code").try_cast("int").alias("condition_key"), severity.alias("severity_key"),
+        code_or_default("weather_code").alias("condition_key"), severity.alias("severity_key"),
         season_key("timestamp").alias("season_key"), "timestamp", *WEATHER_FACT_MEASURES,
         *[column.alias(name) for name, column in extra.items()])

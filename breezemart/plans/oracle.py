@@ -206,7 +206,7 @@ air_fact as (
          {_change("aqi_change_1h", "us_aqi", 1)}, {_change("aqi_change_24h", "us_aqi", 24)}
   from air),
 weather_fact as (
-  select *, cast(weather_code as integer) as condition_key, {_SEVERITY} as severity_key,
+  select *, cast(coalesce(weather_code, -1) as integer) as condition_key, {_SEVERITY} as severity_key,
          {_SEASON_KEY} as season_key, {_select(_WEATHER_EXTRA)},
          {_calendar('"timestamp"')["time_key"]} as time_key, {_SIGHT} as visibility_category,
          {_change("temp_change_1h", "temperature_2m", 1)},
@@ -233,7 +233,7 @@ condition_dim as (
   select code as condition_key, code as weather_code,
          coalesce(description, 'Unknown') as description, coalesce(category, 'Unknown') as category,
          cast(coalesce(severity_level, -1) as integer) as severity_level
-  from (select distinct cast(weather_code as integer) as code from weather_raw)
+  from (select distinct cast(coalesce(weather_code, -1) as integer) as code from weather_raw)
   left join conditions on code = condition_key),
 condition_full as (
   select *, category in ('Rain', 'Snow', 'Drizzle') as is_precipitation,
@@ -292,7 +292,7 @@ def _profile(table: str, columns: dict[str, str]) -> str:
 
 def _orphan(fact: str, key: str, dimension: str, names: tuple[str, str]) -> str:
     return (f"select '{names[0]}' as fact, '{names[1]}' as dimension, count(*) as orphan_rows "
-            f"from {fact} where {key} is not null and {key} not in "
+            f"from {fact} where {key} is null or {key} not in "
             f"(select {key} from {dimension} where {key} is not null)")
 
 

@@ -1,4 +1,8 @@
-"""The batch job: readings to a staged, checked copy, then dimensions, facts and features."""
+"""The batch job: readings to a staged, checked copy, then dimensions, facts and features.
+
+All tables of a run are built and judged in a folder of that run; only then do they take the places
+of the last run's, so a run that fails leaves those as they were.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +14,7 @@ from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from breezemart.operators.merge import latest_per_key
 from breezemart.operators.quality import Rules, check, judge, observed
@@ -29,11 +34,22 @@ NOT_NULL = {
     "TimeDim": ["time_key", "full_date", "year", "quarter", "month", "day", "hour", "day_of_week",
                 "is_weekend", "is_holiday"],
     "LocationDim": ["location_key", "latitude", "longitude", "city", "region", "climate_zone"],
+    "WeatherConditionDim": ["condition_key", "weather_code", "description", "category",
+                            "severity_level"],
+    "AirQualityStatusDim": ["status_key", "aqi_category", "health_implications",
+                            "cautionary_statement", "color_code"],
+    "SeasonDim": ["season_key", "season_name", "start_month", "end_month"],
+    "SeverityDim": ["severity_key", "severity_level", "severity_name", "description",
+                    "recommended_actions", "alert_level"],
     "AirQualityFact": ["timestamp", "location_key", "status_key"],
-    "WeatherFact": ["timestamp", "location_key", "severity_key", "season_key"],
+    "WeatherFact": ["timestamp", "location_key", "condition_key", "severity_key", "season_key"],
     "HarmonizedData": ["timestamp", "location_key", "year", "month"],
 }
 
+# What a row of a dimension is known by. The time dimension has one per minute as readings have.
+UNIQUE = {"TimeDim": "timestamp", "LocationDim": "location_key", "WeatherConditionDim": "condition_key",
+          "AirQualityStatusDim": "status_key", "SeasonDim": "season_key", "SeverityDim": "severity_key"}
+
 # Row order inside the files of a stored table.
 CLUSTER = {
     "TimeDim": ["full_date", "hour"],
@@ -44,28 +60,33 @@ CLUSTER = {
 
 
 def reading_rules(kind: str, threshold: float = 10.0) -> Rules:
-    return Rules(f"raw_{kind}", measured=measures_of(kind), required=["timestamp"],
+    return Rules(f"raw_{kind}", measured=["timestamp", "location_key", *measures_of(kind)],
                  threshold=threshold)
 
 
-def clean(readings: DataFrame) -> DataFrame:
-    """One reading per (timestamp, location); rows without either are left out."""
+def clean(readings: DataFrame, arrival: str = "ingestion_timestamp") -> DataFrame:
+    """One reading per (timestamp, location); rows without either are left out.
+
+    The latest `arrival` stays, where the readings have that column. Without it, and between equal
+    ones, a hash of the row decides: repeatable, and no bias to high or low values.
+    """
     keyed = readings.select(*READING_KEYS, *[c for c in readings.columns if c not in READING_KEYS])
-    return latest_per_key(keyed.dropna(subset=["timestamp", "location_key"]),
-                          ["timestamp", "location_key"], [])
+    drawn = F.xxhash64(*keyed.columns)
+    rank = [F.col(arrival), drawn] if arrival in keyed.columns else [drawn]
+    return latest_per_key(keyed.dropna(subset=KEYS), KEYS, rank)
 
 
 def stage(readings: DataFrame, path: str, rules: Rules, table: str) -> DataFrame:
-    """Write the checked readings once, bucketed by the outer join's keys, and read them back.
+    """Clean and write the readings once, bucketed by the outer join's keys, and read them back.
 
     Everything later scans this columnar copy instead of parsing files and reducing repeats
     again, losing an executor costs no recomputation, and the outer join needs no shuffle: the
     reduction has left the rows hashed by these keys into as many parts as there are buckets.
-    Null counts ride along with the write.
+    Null counts ride along with the write; they are of the readings as they came, before cleaning.
     """
     spark = readings.sparkSession
     watched, observation = observed(readings, rules)
-    (watched.write.mode("overwrite").bucketBy(_buckets(spark), *KEYS).option("path", path)
+    (clean(watched).write.mode("overwrite").bucketBy(_buckets(spark), *KEYS).option("path", path)
      .saveAsTable(table))
     judge(observation.get, readings, rules)
     return spark.table(table)
@@ -86,7 +107,7 @@ def _buckets(spark: SparkSession) -> int:
 def run_batch(air: DataFrame, weather: DataFrame, out: str, start: datetime.datetime | None = None,
               end: datetime.datetime | None = None, sites: DataFrame | None = None,
               batch_id: str = "batch", threshold: float = 10.0) -> dict[str, str]:
-    """Build all nine tables under `out`; returns table name to path.
+    """Build all nine tables, judge them, then put them under `out`; returns table name to path.
 
     `start` and `end` filter the readings and extend the time dimension, both only if both are
     given. Dimensions are written before the tables that join them, so those joins plan with the
@@ -94,19 +115,45 @@ def run_batch(air: DataFrame, weather: DataFrame, out: str, start: datetime.date
     """
     spark: SparkSession = air.sparkSession
     paths = {name: f"{out}/{name}" for name in [*DIMENSIONS, *FACTS.values(), HARMONIZED]}
-    names = {kind: f"breezemart_{kind}_{uuid.uuid4().hex[:12]}" for kind in FACTS}
+    run_id = uuid.uuid4().hex[:12]
+    folder = f"{out}/_run-{run_id}"
+    built = {name: f"{folder}/{name}" for name in paths}
+    names = {kind: f"breezemart_{kind}_{run_id}" for kind in FACTS}
     try:
         readings = {}
         for kind, raw in (("air_quality", air), ("weather", weather)):
-            readings[kind] = stage(clean(between(raw, start, end)), f"{out}/staging/{kind}",
+            readings[kind] = stage(between(raw, start, end), f"{folder}/staging/{kind}",
                                    reading_rules(kind, threshold), names[kind])
-        _build(readings["air_quality"], readings["weather"], paths, start, end, sites, batch_id)
+        _build(readings["air_quality"], readings["weather"], built, start, end, sites, batch_id)
+        for name, path in paths.items():
+            _replace(spark, built[name], path)
     finally:
         for name in names.values():
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _remove(spark, folder)
     return paths
 
 
+def _folder(spark: SparkSession, path: str):
+    """The file system a path is on, and the path, as Spark itself resolves them."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, found = _folder(spark, path)
+    files.delete(found, True)
+
+
+def _replace(spark: SparkSession, built: str, path: str) -> None:
+    """Move a finished table to `path`, in place of what is there."""
+    files, source = _folder(spark, built)
+    _remove(spark, path)
+    if not files.rename(source, _folder(spark, path)[1]):
+        raise OSError(f"{built} cannot be moved to {path}")
+    spark.catalog.refreshByPath(path)
+
+
 def _build(air: DataFrame, weather: DataFrame, paths: dict[str, str], start, end,
            sites: DataFrame | None, batch_id: str) -> None:
     spark = air.sparkSession
@@ -125,7 +172,8 @@ def _build(air: DataFrame, weather: DataFrame, paths: dict[str, str], start, end
             write_partitioned(built[name], paths[name], cluster=CLUSTER[name])
         else:
             write_table(built[name], paths[name])
-        check(spark.read.parquet(paths[name]), Rules(name, [], not_null=NOT_NULL.get(name, [])))
+        check(spark.read.parquet(paths[name]), Rules(name, [], not_null=NOT_NULL[name],
+                                                     unique=[UNIQUE[name]]))
 
     def write_fact(kind: str, readings: DataFrame) -> None:
         fact = facts.FACT_BUILDERS[kind](readings)

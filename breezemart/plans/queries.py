@@ -40,7 +40,7 @@ def comparable(df: DataFrame) -> DataFrame:
     """Zone-less timestamps and doubles of six decimals, as any engine would print them.
 
     The decimals are cut by plain arithmetic: `round` goes through decimals and costs more than
-    the queries do.
+    the queries do. Values from a billion on, infinite ones and NaN stay as they are.
     """
     def plain(field: T.StructField):
         column = F.col(f"`{field.name}`")
@@ -48,7 +48,8 @@ def comparable(df: DataFrame) -> DataFrame:
             return column.cast("timestamp_ntz").alias(field.name)
         if isinstance(field.dataType, T.DoubleType):
             units = F.floor(column * F.lit(1e6) + F.lit(0.5)).cast("double")
-            return (units / F.lit(1e6)).alias(field.name)
+            kept = F.when(F.abs(column) < 1e9, units / F.lit(1e6)).otherwise(column)
+            return kept.alias(field.name)
         return column
 
     return df.select(*[plain(field) for field in df.schema.fields])

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from breezemart.operators import joins
-from breezemart.operators.quality import DataQualityError, Rules
+from breezemart.operators.quality import DataQualityError, Rules, check
 from breezemart.plans import dims, facts, pipeline
 from breezemart.plans.harmonized import harmonize
+from breezemart.plans.queries import comparable
 from breezemart.sources import event_readings as events
 from breezemart.sources import readers
 
@@ -57,6 +58,48 @@ def test_batch_job_stops_on_bad_readings(raw, tmp_path):
         pipeline.run_batch(air, raw[1], out=str(tmp_path / "out"))
 
 
+def test_a_failed_run_leaves_the_last_tables(spark, raw, tmp_path):
+    out = str(tmp_path / "out")
+    paths = pipeline.run_batch(*raw, out=out, batch_id="good", threshold=20.0)
+    site = raw[0].select("latitude", "longitude").first()
+    half = raw[0].withColumn("us_aqi", F.when(F.hash("timestamp", "pm10") % 2 == 0, F.col("us_aqi")))
+    with pytest.raises(DataQualityError, match="us_aqi is null"):
+        pipeline.run_batch(half.union(raw[0].where(F.col("latitude") == site.latitude)), raw[1], out=out,
+                           batch_id="bad", threshold=20.0)
+    fact = spark.read.parquet(paths["WeatherFact"])
+    assert [r[0] for r in fact.select("etl_batch_id").distinct().collect()] == ["good"]
+    assert fact.where("condition_key is null").isEmpty()
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == sorted(paths)
+
+
+def test_cleaning_keeps_the_latest_arrival_and_is_not_drawn_to_high_values(spark):
+    hour = datetime.datetime(2024, 1, 1)
+    rows = [(hour, place, 1.0, 2.0, float(value), hour + datetime.timedelta(days=10 - value))
+            for place in range(200) for value in (0, 1)]
+    frame = spark.createDataFrame(rows, "timestamp timestamp, location_key bigint, latitude double, "
+                                        "longitude double, pm10 double, ingestion_timestamp timestamp")
+    assert pipeline.clean(frame).agg(F.sum("pm10")).first()[0] == 0
+    drawn = pipeline.clean(frame.drop("ingestion_timestamp")).agg(F.count("*"), F.sum("pm10")).first()
+    assert drawn[0] == 200 and 60 <= drawn[1] <= 140
+
+
+def test_places_and_sites_that_share_a_key_are_one_row(spark):
+    spots = spark.createDataFrame([(40.71281, -74.006), (40.71279, -74.006), (1.0, 2.0)],
+                                  "latitude double, longitude double")
+    texts = ["city", "region", "country", "continent", "timezone", "population_density", "urban_density"]
+    sites = spots.limit(2).union(spots.limit(2)).select("*", *[F.lit("x").alias(t) for t in texts],
+                                                        F.lit(1.0).alias("elevation"), F.lit(True).alias("is_coastal"))
+    places = dims.location_dimension(spots, sites).collect()
+    assert sorted((r.latitude, r.city) for r in places) == [(1.0, "Unknown"), (40.71279, "x")]
+    with pytest.raises(DataQualityError, match="city repeats"):
+        check(spots.withColumn("city", F.lit("x")), Rules("LocationDim", [], unique=["city"]))
+
+
+def test_values_that_need_no_cut_stay(spark):
+    frame = spark.sql("select explode(array(1e13, double('NaN'), double('Infinity'), -3e9, 1.5D)) as x")
+    assert [str(r.x) for r in comparable(frame).collect()] == ["10000000000000.0", "nan", "inf", "-3000000000.0", "1.5"]
+
+
 def test_job_modes():
     calls = []
     parts = dict(batch=lambda: calls.append("batch"), stream=lambda: calls.append("stream"))
@@ -128,7 +171,7 @@ def test_bucketed_staging_joins_without_a_shuffle(spark, sf_dir, raw, tmp_path,
          spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
     staged = []
     for kind, readings in zip(("air_quality", "weather"), raw):
-        staged.append(pipeline.stage(pipeline.clean(readings), str(tmp_path / kind),
+        staged.append(pipeline.stage(readings, str(tmp_path / kind),
                                      Rules(kind, []), f"staged_{kind}"))
     location = dims.location_dimension(staged[0])
     plan = plan_of(harmonize(*staged, location))
