@@ -138,7 +138,7 @@ def test_condition_dimension_covers_all_codes(spark):
     assert found[73].is_precipitation and not found[73].is_severe
     assert not found[67].is_precipitation and found[67].travel_impact == "High"
     assert found[99].visibility_impact == "High" and found[99].travel_impact == "Severe"
-    for code in (4, None):
+    for code in (4, -1):
         assert (found[code].category, found[code].severity_level) == ("Unknown", -1)
 
 
