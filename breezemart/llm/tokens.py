@@ -43,8 +43,8 @@ class Encoder:
     """Ids of a text as little-endian unsigned 32-bit integers, equal to those of the whole text.
 
     The byte-level pre-tokenizer never joins what a single space between two non-spaces divides, so
-    a text is cut there, and each word with the space before it is encoded once per worker. Strings
-    of special tokens count as ordinary text.
+    a text is cut there, and each word with the space before it is encoded once per worker. A text
+    that holds an added token of the file, such as <|endoftext|>, is encoded whole.
     """
 
     def __init__(self, path: str):
@@ -52,7 +52,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.line_end = self._whole("\n")
@@ -91,6 +91,8 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if any(token in text for token in self.added):
+            return self._whole(text)
         first, *words = text.split(" ")
         get = self.words.get
         out = [get(w) for w in words]
