@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from breezemart.llm.shared import staged
 
-#: Shorter lines are repeats only when equal: at one edit nearly all of them would be alike.
-LEAST_CHARS = 20
+#: Code points of the shortest line that is compared within one edit: all but empty lines are.
+LEAST_CHARS = 1
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -29,7 +29,7 @@ def _ends(line: Column, length: Column) -> Column:
                 F.xxhash64(F.right(line, size), size, F.lit("end"))]
 
     mine, shorter = F.floor((length - 1) / 2).cast("int"), F.floor((length - 2) / 2).cast("int")
-    return F.when(length >= LEAST_CHARS, F.array_distinct(F.array(*of(mine), *of(shorter))))
+    return F.array_distinct(F.array(*of(mine), *of(shorter)))
 
 
 def deletion_hashes(line: str) -> np.ndarray:
@@ -66,8 +66,8 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def line_repeats(docs: DataFrame) -> DataFrame:
     """Every row of `docs` (doc_id, text) with the lines of it that repeat an earlier one.
 
-    A line is a repeat when an earlier line, by doc_id and place, is equal to it or, for lines of
-    `LEAST_CHARS` code points or more, at most one inserted, deleted or replaced code point away.
+    A line is a repeat when an earlier line, by doc_id and place, is equal to it or at most one
+    inserted, deleted or replaced code point away, however short the lines are.
     Returns doc_id, n_lines, n_dropped and dropped_lines (their places from 0, ascending, comma-
     joined). Blank lines never count as repeats.
 
@@ -91,7 +91,7 @@ def line_repeats(docs: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "line", "mark")).alias("first")
     distinct = staged(rows.where("not blank").groupBy("h", "g", "n").agg(first, F.first("ends").alias("ends")), "distinct-lines")
 
-    ends = distinct.where("ends is not null").select("h", "g", "n", F.explode("ends").alias("end"))
+    ends = distinct.select("h", "g", "n", F.explode("ends").alias("end"))
     shared = ends.groupBy("end").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("end")
     close = ends.join(shared, "end").select("h", "g", "n").distinct()
     close = staged(close.join(distinct.drop("ends"), ["h", "g", "n"])
