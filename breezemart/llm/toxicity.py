@@ -1,15 +1,20 @@
-"""Toxicity by class-conditional Kneser-Ney models over folded UTF-8 symbols."""
+"""Toxicity by class-conditional Kneser-Ney models over words.
+
+`fit` and `toxicity` work on the word grams of `word_grams`. The functions over folded UTF-8 symbols
+(up to `features`) enter no result any more; only tests of theirs call them.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from breezemart.llm import word_grams
+from breezemart.llm.shared import staged
 
 BITS, ORDER, DISCOUNT = 5, 5, 0.75
 #: Symbols of the passage whose ratio counts beside that of the whole text.
@@ -113,37 +118,6 @@ def kneser_ney(codes: np.ndarray, counts: np.ndarray, order: int) -> np.ndarray:
     return (np.maximum(counts - DISCOUNT, 0) + DISCOUNT * types * below) / _within(codes, counts)
 
 
-class Ratios:
-    """Log ratio of the toxic and the ordinary model for every gram.
-
-    Each class model discounts its own counts and backs off to the Kneser-Ney model of both classes
-    together, so an expression that a class has hardly seen moves the ratio little. Kept sparse
-    for the way to the workers, at most 2 ** (`BITS` * `ORDER`) entries whatever the corpus.
-    """
-
-    def __init__(self, codes: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray):
-        shared = kneser_ney(codes, ordinary + toxic, ORDER)
-        logs, rests = [], []
-        for own in (ordinary, toxic):
-            total = _within(codes, own)
-            types = _within(codes, (own > 0).astype(float))
-            rest = np.where(total > 0, DISCOUNT * types / np.maximum(total, 1), 1.0)
-            logs.append(np.log(np.maximum(own - DISCOUNT, 0) / np.maximum(total, 1) + rest * shared))
-            rests.append(np.log(rest))
-        first = np.flatnonzero(np.diff(codes >> BITS, prepend=-1))
-        self.codes = codes.astype(np.int32)
-        self.values = (logs[1] - logs[0]).astype(np.float32)
-        self.contexts = (codes[first] >> BITS).astype(np.int32)
-        self.backoff = (rests[1] - rests[0])[first].astype(np.float32)
-
-    def dense(self) -> np.ndarray:
-        context = np.zeros(2 ** (BITS * (ORDER - 1)), np.float32)
-        context[self.contexts] = self.backoff
-        table = np.repeat(context, 2**BITS)
-        table[self.codes] = self.values
-        return table
-
-
 def features(table: np.ndarray, texts: list[bytes]) -> np.ndarray:
     """Per text the log ratio per symbol, and that of its most toxic passage of `PASSAGE` symbols
     (a shorter text is filled up with neutral ones); zeros for an empty text."""
@@ -174,29 +148,16 @@ def calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> np.ndarray:
     return w
 
 
-_tables: dict[int, np.ndarray] = {}
-
-
 class Model:
-    """A fitted scorer; `score` works on the workers through a broadcast of the ratios."""
+    """A fitted scorer: the written table of ratios and the weights of the two features."""
 
-    def __init__(self, ratios, weights: list[float] | None, prior: float):
-        self.ratios, self.weights, self.prior = ratios, weights, prior
+    def __init__(self, table: DataFrame | None, weights: list[float] | None, prior: float):
+        self.table, self.weights, self.prior = table, weights, prior
 
-    def features(self, texts: list[bytes]) -> np.ndarray:
-        if self.ratios.value is None:
-            return np.zeros((len(texts), 2))
-        key = id(self.ratios.value)
-        if key not in _tables:
-            _tables.clear()
-            _tables[key] = self.ratios.value.dense()
-        return features(_tables[key], texts)
-
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        if self.weights is None:
-            return np.full(len(texts), self.prior)
-        raw = self.features(texts) @ np.array(self.weights[:-1]) + self.weights[-1]
-        return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
+    def score(self) -> Column:
+        """Of the columns whole and peak."""
+        raw = F.col("whole") * self.weights[0] + F.col("peak") * self.weights[1] + F.lit(self.weights[2])
+        return 1 / (1 + F.exp(-F.greatest(F.least(raw, F.lit(30.0)), F.lit(-30.0))))
 
 
 def fold(doc_id: Column) -> Column:
@@ -206,12 +167,11 @@ def fold(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from the labelled rows of folds 1 to 4 (crc32 of doc_id modulo 5).
 
-    The counts cover every labelled row of folds 1 to 3. The logistic weights of the two ratios are
-    fitted on fold 4, which the counts have not seen, on at most `CALIBRATION_ROWS` rows by the order
-    of a hash of doc_id. A doc_id with several labels is toxic if any says so; rows without a label
-    or a text teach nothing.
+    The logistic weights of the two ratios are fitted on fold 4 with counts of folds 1 to 3, on at most
+    `CALIBRATION_ROWS` rows by the order of a hash of doc_id; the ratios kept then come from the counts of
+    every labelled row of folds 1 to 4. A doc_id with several labels is toxic if any says so; rows without
+    a label or a text teach nothing.
     """
-    spark = docs.sparkSession
     known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id")
              .agg(F.max("toxic").alias("toxic")).where(fold(F.col("doc_id")) != 0))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(
@@ -221,34 +181,25 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         # the same plan at every size: labels grow with the documents, so neither side is broadcast
         return rows.where(learnt).join(known.where(learnt).hint("merge"), "doc_id")
 
-    counts = count_grams(of(fold(F.col("doc_id")) < 4)).toPandas().sort_values("gram")
-    codes, ordinary, toxic = (counts[c].to_numpy(np.int64) for c in ("gram", "ordinary", "toxic"))
-    if not ordinary.any() or not toxic.any():
-        return Model(spark.sparkContext.broadcast(None), None, float(bool(toxic.any())))
-    model = Model(spark.sparkContext.broadcast(Ratios(codes, ordinary, toxic)), None, 0.0)
-
-    def measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            x = model.features([t.encode() for t in frame["text"]])
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "whole": x[:, 0], "passage": x[:, 1],
-                                "toxic": frame["toxic"].astype(float)})
-
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *[
-        T.StructField(c, T.DoubleType()) for c in ("whole", "passage", "toxic")]])
-    seen = (of(fold(F.col("doc_id")) == 4).mapInPandas(measure, schema)
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "whole").limit(CALIBRATION_ROWS).toPandas())
-    if seen["toxic"].nunique() < 2:
-        weights = [0.0, 60.0, -6.0]
-    else:
-        weights = calibrate(seen[["whole", "passage"]].to_numpy(), seen["toxic"].to_numpy()).tolist()
-    return Model(model.ratios, weights, 0.0)
+    later = fold(F.col("doc_id")) == 4
+    counts = staged(word_grams.count(of(F.lit(True)).select("toxic", later.alias("later"), "text")), "word-grams")
+    n0, n1, n2, n3 = (bool(x) for x in counts.agg(*[F.sum(f"n{i}") for i in range(4)]).first())
+    if not n0 + n2 or not n1 + n3:
+        return Model(None, None, float(n1 + n3 > 0))
+    weights = [0.0, 1.6, -9.0]
+    if n0 and n1 and n2 and n3:
+        early = word_grams.ratios(counts, F.col("n0"), F.col("n1"))
+        seen = (word_grams.scored(of(later).select("doc_id", "toxic", "text"), early)
+                .orderBy(F.xxhash64("doc_id"), "doc_id", "whole").limit(CALIBRATION_ROWS).toPandas())
+        weights = calibrate(seen[["whole", "peak"]].to_numpy(), seen["toxic"].to_numpy(float)).tolist()
+    return Model(word_grams.ratios(counts, F.col("n0") + F.col("n2"), F.col("n1") + F.col("n3")), weights, 0.0)
 
 
 def toxicity(docs: DataFrame, model: Model, carry: list[str] = ()) -> DataFrame:
     """Every row of `docs` (doc_id, text) with held_out, score, predicted and the columns of `carry`.
 
-    Only the text enters the score: the length-normalised log-likelihood ratio of the toxic and the
-    ordinary model over the whole text and over its most toxic passage. A null or empty text has
+    Only the text enters the score: the log-likelihood ratio of the toxic and the ordinary model per word of the text and that of its most toxic word,
+    each word read with the two before it. A null or empty text has
     ratio 0 and so the score of the constant alone. A null doc_id is not held out. Without labelled
     rows of both classes all scores are 0, or 1 if only toxic ones are known. An empty table
     gives no rows.
@@ -257,14 +208,9 @@ def toxicity(docs: DataFrame, model: Model, carry: list[str] = ()) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
                        *kept, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            score = model.score(batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))],
-                names=[*batch.schema.names[:-1], "score", "predicted"])
-
-    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("score", T.DoubleType()),
-                           T.StructField("predicted", T.IntegerType())])
-    return rows.mapInArrow(run, schema).select(
-        "doc_id", "held_out", "score", "predicted", *[F.col(f"carry_{c}").alias(c) for c in carry])
+    if model.weights is None:
+        found = rows.withColumn("score", F.lit(model.prior))
+    else:
+        found = word_grams.scored(rows, model.table).withColumn("score", model.score())
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                        *[F.col(f"carry_{c}").alias(c) for c in carry])

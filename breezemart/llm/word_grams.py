@@ -1,0 +1,216 @@
+"""Class-conditional Kneser-Ney models over words, in written tables that grow with the texts."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from breezemart.llm.shared import staged
+
+ORDER, DISCOUNT = 3, 0.75
+#: Code points whose texts are worked on together; a longer text is on its own.
+CHUNK = 4_000_000
+#: Scripts without spaces between words (Thai to Khmer, kana, CJK): each code point is a word.
+_ALONE = "฀-໿က-႟ក-៿぀-ヿ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"
+_WORDS = re.compile(rf"[{_ALONE}]|[^\W{_ALONE}](?:[^\s{_ALONE}]*[^\W{_ALONE}])?|\S").findall
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_START = np.uint64(0xD1B54A32D192ED03)
+_MIX = np.uint64(0xBF58476D1CE4E5B9)
+
+
+def words(text: str) -> list[str]:
+    """Words of a text without case: from a letter or digit to the last one before a space, with the marks between;
+    every other mark is a word, and every code point of a script without spaces."""
+    return _WORDS(text.lower())
+
+
+def keys(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+    """64-bit keys of the 1- to `ORDER`-grams that end at each word, texts after each other with
+    `ORDER` - 1 starts before each, and the lengths of the texts in words."""
+    split = [words(t) for t in texts]
+    lengths = np.array([len(w) for w in split], np.int64)
+    codes, known = pd.factorize(np.array([w for s in split for w in s], object))
+    hashes = pd.util.hash_array(np.asarray(known, object), categorize=False).astype(np.uint64) if len(known) else np.zeros(0, np.uint64)
+    flat = np.full(int(lengths.sum()) + (ORDER - 1) * len(texts), _START, np.uint64)
+    flat[_own(lengths)] = hashes[codes]
+    out, sums = [], np.zeros(len(flat), np.uint64)
+    for k in range(ORDER):
+        sums = sums.copy()
+        moved = np.full(len(flat), _START, np.uint64)
+        moved[k:] = flat[:len(flat) - k]
+        sums = (sums ^ (sums >> np.uint64(31))) * _BASE + moved * _MIX + np.uint64(k + 1)
+        out.append((sums ^ (sums >> np.uint64(29))).view(np.int64))
+    return out, lengths
+
+
+def _own(lengths: np.ndarray) -> np.ndarray:
+    """Places of the words among words and starts."""
+    return np.arange(int(lengths.sum())) + np.repeat((ORDER - 1) * (1 + np.arange(len(lengths))), lengths)
+
+
+def _runs(texts: list[str]) -> Iterator[slice]:
+    start = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > CHUNK:
+            yield slice(start, i)
+            start, size = i, 0
+        size += len(text)
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        column = batch.column(0).to_numpy(zero_copy_only=False)
+        texts = batch.column(1).to_pylist()
+        for run in _runs(texts):
+            found, lengths = keys(texts[run])
+            own = _own(lengths)
+            if not len(own):
+                continue
+            cell = np.repeat(column[run], lengths)
+            for c in range(4):
+                at = own[cell == c]
+                gram, first, n = np.unique(found[ORDER - 1][at], return_index=True, return_counts=True)
+                at = at[first]
+                lower = [pa.array(found[k][at]) for k in range(ORDER - 1)]
+                before = [pa.array(found[k][at - 1]) for k in range(ORDER - 1)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(gram), *lower, *before, *[pa.array(n * (c == i)) for i in range(4)]],
+                    names=_COUNTED)
+
+
+_COUNTED = [f"k{ORDER}", *[f"k{k}" for k in range(1, ORDER)], *[f"c{k + 1}" for k in range(1, ORDER)],
+            *[f"n{i}" for i in range(4)]]
+
+
+def count(labelled: DataFrame) -> DataFrame:
+    """Of every `ORDER`-gram of `labelled` (toxic, later, text): its keys k1 .. of the grams that end with it,
+    c2 .. of their contexts, and how often it stands in texts that are ordinary, toxic (n0, n1), or
+    either of them and later (n2, n3)."""
+    cell = (F.col("toxic") + 2 * F.col("later").cast("int")).cast("int")
+    rows = labelled.select(cell.alias("cell"), "text").mapInArrow(_count, ", ".join(f"{c} long" for c in _COUNTED))
+    return rows.groupBy(f"k{ORDER}").agg(*[F.first(c).alias(c) for c in _COUNTED[1:-4]],
+                                         *[F.sum(c).alias(c) for c in _COUNTED[-4:]])
+
+
+def ratios(counts: DataFrame, ordinary: Column, toxic: Column) -> DataFrame:
+    """The written table key, value: per gram of 1 to `ORDER` words that either class has, the log ratio of its
+    last word in the toxic and the ordinary model.
+
+    Interpolated Kneser-Ney: below `ORDER` a gram counts the different words before it. Each class discounts
+    its own counts and backs off to the model of both classes together, times what its own shorter gram
+    departs from that one's, so that a class of few texts is not told by what it has not seen; single
+    words back off to all known words alike.
+    """
+    grams = {ORDER: counts.select(*_COUNTED[:-4], ordinary.alias("a"), toxic.alias("b"))
+             .where("a + b > 0").withColumn("n", F.col("a") + F.col("b"))}
+
+    def seen(c: str) -> Column:
+        return F.sum((F.col(c) > 0).cast("long"))
+
+    for k in range(ORDER - 1, 0, -1):
+        kept = [*[f"k{j}" for j in range(1, k)], *[f"c{j}" for j in range(2, k + 1)]]
+        grams[k] = grams[k + 1].groupBy(f"k{k}").agg(*[F.first(c).alias(c) for c in kept], seen("a").alias("a"),
+                                                     seen("b").alias("b"), F.count(F.lit(1)).alias("n"))
+
+    def p(c: str, lower: Column) -> Column:
+        own = F.greatest(F.col(c) - F.lit(DISCOUNT), F.lit(0.0)) + F.lit(DISCOUNT) * F.col(f"d{c}") * lower
+        return F.when(F.col(f"t{c}") > 0, own / F.col(f"t{c}")).otherwise(lower)
+
+    sums = [x for c in "abn" for x in (F.sum(c).alias(f"t{c}"), seen(c).alias(f"d{c}"))]
+    even = 1 / F.col("dn")
+    made = [staged(grams[1].crossJoin(F.broadcast(grams[1].agg(*sums))).select(
+        "k1", p("n", even).alias("both"), p("a", even).alias("pa"), p("b", even).alias("pb")), "ratios-1")]
+    for k in range(2, ORDER + 1):
+        below = made[-1].select(f"k{k - 1}", F.col("both").alias("less"), (F.col("pa") / F.col("both")).alias("ra"),
+                                (F.col("pb") / F.col("both")).alias("rb"))
+        met = (grams[k].select(f"k{k}", f"k{k - 1}", f"c{k}", "a", "b", "n").join(grams[k].groupBy(f"c{k}").agg(*sums), f"c{k}")
+               .join(below, f"k{k - 1}").withColumn("both", p("n", F.col("less"))))
+        made.append(staged(met.select(f"k{k}", "both", p("a", F.col("both") * F.col("ra")).alias("pa"),
+                                      p("b", F.col("both") * F.col("rb")).alias("pb")), f"ratios-{k}"))
+    table = None
+    for k, grams_of in enumerate(made, 1):
+        part = grams_of.select(F.col(f"k{k}").alias("key"), F.log(F.col("pb") / F.col("pa")).alias("value"))
+        table = part if table is None else table.unionByName(part)
+    return table
+
+
+def features(texts: list[str], key: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Per text the log ratio per word, and that of its most toxic word, 0 at least; zeros for a text without
+    words. `key` ascends.
+
+    A word is scored by the longest gram ending with it that a labelled text has; one of no labelled text is neutral.
+    """
+    out = np.zeros((len(texts), 2))
+    found, lengths = keys(texts)
+    own = _own(lengths)
+    if not len(own) or not len(key):
+        return out
+    score = np.zeros(len(own))
+    for codes in found:
+        place = np.minimum(np.searchsorted(key, codes[own]), len(key) - 1)
+        score = np.where(key[place] == codes[own], value[place], score)
+    held = np.flatnonzero(lengths)
+    ends = np.cumsum(lengths)
+    starts = (ends - lengths)[held]
+    sums = np.concatenate([[0.0], np.cumsum(score)])
+    out[held, 0] = (sums[ends[held]] - sums[starts]) / lengths[held]
+    out[held, 1] = np.maximum(np.maximum.reduceat(score, starts), 0)
+    return out
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        chunks, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+        for chunk in np.unique(chunks):
+            found, lengths = keys([texts[i] for i in np.flatnonzero(chunks == chunk)])
+            own = _own(lengths)
+            if len(own):
+                seen = np.unique(np.concatenate([f[own] for f in found]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(seen), chunk)), pa.array(seen)], names=["chunk", "key"])
+
+
+def scored(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """`rows`, the last column of which is a text without nulls, with whole and peak (see `features`) for it.
+
+    Texts are dealt to chunks of about `CHUNK` code points and written; the distinct grams of a chunk are
+    joined with `table`, and what they found meets the chunk's texts again.
+    """
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        chunk, size = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            texts, at = batch.column(batch.num_columns - 1), []
+            for n in map(len, texts.to_pylist()):
+                if size and size + n > CHUNK:
+                    chunk, size = chunk + 1, 0
+                size += n
+                at.append(chunk)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), *batch.columns], names=["chunk", *batch.schema.names])
+
+    *others, name = rows.columns
+    of_chunk = T.StructField("chunk", T.LongType())
+    dealt = staged(rows.mapInArrow(deal, T.StructType([of_chunk, *rows.schema.fields])), "chunks")
+    asked = dealt.select("chunk", name).mapInArrow(_keys, "chunk long, key long")
+    answers = asked.join(table.hint("merge"), "key")
+    measured = T.StructType([*rows.schema.fields[:-1], *[T.StructField(c, T.DoubleType()) for c in ("whole", "peak")]])
+
+    def work(texts: pa.Table, found: pa.Table) -> pa.Table:
+        key, first = np.unique(found["key"].to_numpy(), return_index=True)
+        value = found["value"].to_numpy()[first]
+        all_texts, parts = texts[name].to_pylist(), []
+        for run in _runs(all_texts):
+            parts.append(features(all_texts[run], key, value))
+        x = np.concatenate([np.zeros((0, 2)), *parts])
+        return pa.table([*[texts[c] for c in others], pa.array(x[:, 0]), pa.array(x[:, 1])], names=[*others, "whole", "peak"])
+
+    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(work, measured)

@@ -1,0 +1,58 @@
+"""What the fold to 32 byte symbols lost, and keys and counts against plain Python."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from breezemart.llm import toxicity as tox
+from breezemart.llm import word_grams as wg
+
+#: Toxic and harmless words that the folded byte symbols could not tell apart.
+PAIRS = {"cyrillic": ("\u0430\u0431\u0432\u0433", "\u0432\u0433\u0430\u0431"), "digits": ("zor9", "zor4"), "marks": ("zo$r", "zo!r"),
+         "accents": ("zorà", "zorê"), "cjk": ("\u4e00\u4e02\u4e04", "\u4e04\u4e00\u4e02")}
+
+
+@pytest.mark.parametrize("kind", PAIRS)
+def test_words_the_fold_made_equal(kind):
+    bad, calm = PAIRS[kind]
+    assert tox.ALPHABET[list(bad.encode())].tolist() == tox.ALPHABET[list(calm.encode())].tolist()
+    (a, n), (b, m) = wg.keys([bad]), wg.keys([calm])
+    assert set(a[-1][wg._own(n)]) != set(b[-1][wg._own(m)])
+
+
+def test_fit_tells_them_apart(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(600):
+        toxic = int(rng.random() < 0.4)
+        text = [rng.choice(["table", "river", "stone", "walk"]) for _ in range(rng.randint(5, 30))]
+        for bad, calm in PAIRS.values():
+            text[rng.randrange(len(text)):0] = [bad if toxic else calm]
+        rows.append((i, " ".join(text), toxic))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    found = {r.doc_id: r for r in tox.toxicity(docs, tox.fit(docs, labels)).collect()}
+    assert len(found) == len(rows)
+    assert np.mean([found[i].predicted == y for i, _, y in rows if found[i].held_out]) > 0.95
+
+
+def test_counts_of_grams(spark):
+    rows = [("A b a b", 0, False), ("a b c!", 1, True), ("", 1, False), ("\u4e00\u4e02", 0, True), ("a b a b", 0, False)]
+    found = wg.count(spark.createDataFrame(rows, "text string, toxic int, later boolean").repartition(2)).collect()
+    want = Counter()
+    for text, y, later in rows:
+        split = ["", ""] + wg.words(text)
+        want.update((tuple(split[i - 2:i + 1]), y + 2 * later) for i in range(2, len(split)))
+    assert sorted(tuple(r[f"n{i}"] for i in range(4)) for r in found) == sorted(
+        tuple(want[g, i] for i in range(4)) for g in {g for g, _ in want})
+
+
+def test_keys_do_not_depend_on_the_texts_around():
+    texts = ["a b c d", "", "b c d", "x\u4e00y z"]
+    whole, lengths = wg.keys(texts)
+    assert lengths.tolist() == [4, 0, 3, 4]
+    for k in range(wg.ORDER):
+        alone = np.concatenate([(lambda f, n: f[k][wg._own(n)])(*wg.keys([t])) for t in texts])
+        assert whole[k][wg._own(lengths)].tolist() == alone.tolist()
