@@ -60,7 +60,6 @@ def test_targets_stop_at_three_times_the_size(spark):
 
 def test_words_are_encoded_as_in_the_whole_text(documents, edge):
     whole = Tokenizer.from_file(vocabulary())
-    whole.encode_special_tokens = True
     own = Encoder(vocabulary())
     texts = [r.text for r in documents.collect() + edge.collect() if r.text is not None]
     texts += ["", " ", "  ", " a", "a ", "a  b", "\n a", "a\n b", "a \n b", "   x", "it's  it 's", "x　 y",
