@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breezemart.llm import embeddings, exact_dedup, line_dedup, mixing, near_dedup, packing, pii, range_coder, sharding, toxicity
+from breezemart.llm import embeddings, exact_dedup, line_dedup, mixing, near_dedup, packing, pii, prefix_bpe, range_coder, sharding, toxicity
 from breezemart.llm.shared import table
 from breezemart.llm.tokens import vocabulary
 
@@ -75,6 +75,11 @@ def op10_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.digests(prefix_bpe.round_trip(table(spark, sf_dir, "documents"), prefix_bpe.vocabulary()))
+
+
 NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE["op4_exact_dedup"] = f"""
