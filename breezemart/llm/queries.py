@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breezemart.llm import embeddings, exact_dedup, line_dedup, mixing, near_dedup, packing, pii, prefix_bpe, range_coder, sharding, toxicity
+from breezemart.llm import embeddings, exact_dedup, filter_audit, line_dedup, mixing, near_dedup, packing, pii, prefix_bpe, range_coder, sharding, toxicity
 from breezemart.llm.shared import table
 from breezemart.llm.tokens import vocabulary
 
@@ -80,6 +80,11 @@ def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.digests(prefix_bpe.round_trip(table(spark, sf_dir, "documents"), prefix_bpe.vocabulary()))
 
 
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
 NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE["op4_exact_dedup"] = f"""
@@ -155,3 +160,44 @@ select e.vec_id, coalesce(n_links, 0)::bigint as n_links, coalesce(component_id,
        e.vec_id = coalesce(component_id, e.vec_id) as kept
 from embeddings e left join c on c.node = e.vec_id left join n on n.a = e.vec_id
 """
+
+ORACLE["op13_filter_audit"] = r"""
+with marks as (
+  select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by 1),
+d as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+m as (
+  select d.part, coalesce(good, false)::integer as good, coalesce(toxic, false)::integer as toxic,
+         [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+          100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 10 * length(t),
+          regexp_matches(t, '[#$%&*|]'),
+          coalesce(d.doc_id > min(d.doc_id) over (partition by t), false)] as f
+  from d left join marks on d.doc_id = marks.doc_id),
+c as (
+  select part, f, count(*) as n, sum(good) as good, sum(toxic) as toxic, list_sum(f::integer[]) as failed
+  from m group by 1, 2),
+letters(l) as (values ('A'), ('B'), ('C'), ('D'), ('E')),
+orders as (
+  select a.l || b.l || c.l || d.l || e.l as filter_order
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+places as (
+  select filter_order, step::integer as step, substr(filter_order, step, 1) as letter,
+         list_transform(string_split(substr(filter_order, 1, step - 1), ''), lambda x: ascii(x) - 64) as past
+  from orders, range(1, 6) r(step)),
+held as (
+  select part, filter_order, step, letter, n, good, toxic, f[ascii(letter) - 64] as fails, failed,
+         len(list_filter(past, lambda x: x between 1 and 5 and f[x])) > 0 as gone
+  from c, places),
+steps as (
+  select part, filter_order, step, letter,
+         coalesce(sum(n) filter (where not gone and not fails), 0)::bigint as kept,
+         coalesce(sum(n) filter (where not gone and fails), 0)::bigint as removed,
+         coalesce(sum(n) filter (where gone and fails), 0)::bigint as redundant,
+         coalesce(sum(n) filter (where fails and failed = 1), 0)::bigint as unique_fails,
+         coalesce(sum(good) filter (where not gone and fails), 0)::bigint as good_lost,
+         coalesce(sum(toxic) filter (where not gone and fails), 0)::bigint as toxic_lost
+  from held group by all)
+select * exclude (letter), (sum(removed) over (partition by part, letter))::bigint as shapley from steps
+"""
