@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from breezemart.llm import embeddings, exact_dedup, filter_audit, line_dedup, mixing, near_dedup, packing, pii, prefix_bpe, range_coder, sharding, toxicity
+from breezemart.llm import ball_codes, embeddings, exact_dedup, filter_audit, line_dedup, mixing, near_dedup, packing, pii, prefix_bpe, range_coder, sharding, toxicity
 from breezemart.llm.shared import table
 from breezemart.llm.tokens import vocabulary
 
@@ -80,6 +80,14 @@ def op11_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.digests(prefix_bpe.round_trip(table(spark, sf_dir, "documents"), prefix_bpe.vocabulary()))
 
 
+@query
+def op12_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ball_codes.compress(table(spark, sf_dir, "embeddings"))
+    return ball_codes.with_label_errors(found.codes).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(ball_codes.books_digest(found.books)).alias("codebooks_sha256"))
+
+
 @query
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
@@ -201,3 +209,52 @@ steps as (
   from held group by all)
 select * exclude (letter), (sum(removed) over (partition by part, letter))::bigint as shapley from steps
 """
+
+
+def _k_means_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Plain k-means, every entry compared, a pair of steps for each round."""
+    steps = [f"""
+good as (
+  select row_number() over (order by vec_id nulls last, embedding) as r, vec_id, label, embedding
+  from embeddings
+  where embedding is not null and len(embedding) > 0
+    and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+x as materialized (
+  select r, p::integer as p,
+         list_transform(embedding[len(embedding) // {parts} * p + 1 : len(embedding) // {parts} * (p + 1)],
+                        lambda v: floor(4096 * v::double)::bigint) as v
+  from good, range({parts}) t(p)),
+b0 as materialized (select p, (r - 1)::integer as e, v as c from x where r <= {entries})"""]
+
+    def nearest(books: str) -> str:
+        square = "list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint"
+        return (f"select r, x.p, min(({square}, e)) as best, any_value(v) as v "
+                f"from x join {books} b on x.p = b.p group by 1, 2")
+
+    for k in range(rounds):
+        steps.append(f"""
+a{k} as materialized ({nearest(f"b{k}")}),
+s{k} as (
+  select p, e, list(m order by pos) as c
+  from (select p, best[2] as e, pos, floor_div(sum(v[pos])::hugeint, count(*))::bigint as m
+        from a{k}, range(1, (select max(len(v)) from x) + 1) t(pos) group by 1, 2, 3) group by 1, 2),
+b{k + 1} as materialized (
+  select b{k}.p, b{k}.e, coalesce(s{k}.c, b{k}.c) as c from b{k} left join s{k} on b{k}.p = s{k}.p and b{k}.e = s{k}.e)""")
+    last = f"b{rounds}"
+    floor_div = "(({0}) - ((({0}) % ({1})) + ({1})) % ({1})) // ({1})"
+    text = ",".join(steps).replace("floor_div(sum(v[pos])::hugeint, count(*))",
+                                   floor_div.format("sum(v[pos])::hugeint", "count(*)"))
+    return f"""
+with {text},
+final as materialized ({nearest(last)}),
+coded as (
+  select r, string_agg(printf('%02x', best[2]), '' order by p) as code, sum(best[1])::bigint as error
+  from final group by 1),
+digest as (
+  select sha256(string_agg(list_aggregate(c, 'string_agg', ','), ',' order by p, e)) as codebooks_sha256 from {last})
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256
+from coded join good using (r), digest
+"""
+
+
+ORACLE["op12_ball_codes"] = _k_means_sql()

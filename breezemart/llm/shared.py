@@ -38,6 +38,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a working table that nothing reads any more."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
 def numbered(df: DataFrame, group: list[str], chunk: Column, chunks: int, order: list[str],
              name: str) -> DataFrame:
     """`df` with the column `name`: 0, 1, 2 ... within each `group`, by `chunk` and then `order`.
