@@ -34,6 +34,8 @@ REPEAT = 1 << LETTERS.index("E")
 BATCHES = 8
 #: Texts that share a state row on average; the number of rows grows with the table.
 BUCKET_TEXTS = 256
+#: Memory of an executor for state, outside the heap; the rest of the state is on its disk.
+STATE_CACHE_MB = 200
 #: Rows that a task holds back to combine.
 HELD_ROWS = 50_000
 
@@ -141,6 +143,9 @@ def _session(spark: SparkSession) -> SparkSession:
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # one cache for all state parts of an executor; without it each part takes its own
+        "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+        "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": str(STATE_CACHE_MB),
     }
     for key, value in settings.items():
         session.conf.set(key, value)
