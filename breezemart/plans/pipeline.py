@@ -1,7 +1,8 @@
 """The batch job: readings to a staged, checked copy, then dimensions, facts and features.
 
-All tables of a run are built and judged in a folder of that run; only then do they take the places
-of the last run's, so a run that fails leaves those as they were.
+All tables of a run are built and judged in a folder of that run and published as one snapshot
+(`sources.snapshots`), so a run that fails at any step leaves the last one's tables as they were. Rows
+that break a rule go to the table Quarantine of the same snapshot instead of ending the job.
 """
 
 from __future__ import annotations
@@ -16,11 +17,14 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from breezemart.functions.keys import time_key
+from breezemart.operators import quarantine
 from breezemart.operators.merge import latest_per_key
 from breezemart.operators.quality import Rules, check, judge, observed
 from breezemart.plans import dims, facts
 from breezemart.plans.harmonized import KEYS, harmonize
 from breezemart.schemas import READING_KEYS, measures_of
+from breezemart.sources import snapshots
 from breezemart.sources.readers import between
 from breezemart.sources.writers import write_partitioned, write_table
 
@@ -28,6 +32,7 @@ DIMENSIONS = ["TimeDim", "LocationDim", "WeatherConditionDim", "AirQualityStatus
               "SeverityDim"]
 FACTS = {"air_quality": "AirQualityFact", "weather": "WeatherFact"}
 HARMONIZED = "HarmonizedData"
+QUARANTINE = "Quarantine"
 
 # Columns that may not be null in a stored table.
 NOT_NULL = {
@@ -76,86 +81,93 @@ def clean(readings: DataFrame, arrival: str = "ingestion_timestamp") -> DataFram
     return latest_per_key(keyed.dropna(subset=KEYS), KEYS, rank)
 
 
-def stage(readings: DataFrame, path: str, rules: Rules, table: str) -> DataFrame:
+def reading_constraints() -> dict:
+    """What a reading needs to be a row of any table: a place, and a time that has a time key."""
+    return quarantine.not_null(KEYS) | {"time_key must not be null": time_key("timestamp").isNotNull()}
+
+
+def stage(readings: DataFrame, path: str, rules: Rules, table: str, held: str | None = None,
+          batch_id: str = "batch") -> tuple[DataFrame, dict[str, int]]:
     """Clean and write the readings once, bucketed by the outer join's keys, and read them back.
 
     Everything later scans this columnar copy instead of parsing files and reducing repeats
     again, losing an executor costs no recomputation, and the outer join needs no shuffle: the
     reduction has left the rows hashed by these keys into as many parts as there are buckets.
     Null counts ride along with the write; they are of the readings as they came, before cleaning.
-    """
-    spark = readings.sparkSession
-    watched, observation = observed(readings, rules)
-    (clean(watched).write.mode("overwrite").bucketBy(_buckets(spark), *KEYS).option("path", path)
-     .saveAsTable(table))
-    judge(observation.get, readings, rules)
-    return spark.table(table)
-
-
-def _buckets(spark: SparkSession) -> int:
-    """As many buckets as shuffle partitions, or the largest part of that Spark allows.
+    Readings that break `reading_constraints` are appended to the quarantine at `held`.
 
-    A divisor keeps every shuffle partition inside one bucket. Where the largest is under half of
-    what Spark allows, as for a prime number of partitions, all that Spark allows are taken.
+    Also returns how many readings were read, quarantined, left out as repeats and kept.
+    """
+    spark, constraints = readings.sparkSession, reading_constraints()
+    watched, nulls = observed(readings, rules)
+    good, _, observation = quarantine.split(watched, constraints)
+    buckets, spread = _buckets(spark)
+    cleaned = clean(good)
+    if spread:
+        cleaned = cleaned.repartition(buckets, *KEYS)
+    cleaned.write.mode("overwrite").bucketBy(buckets, *KEYS).option("path", path).saveAsTable(table)
+    judge(nulls.get, readings, rules)
+    rows, broken = quarantine.counted(observation, constraints)
+    if broken and held:
+        _, bad, _ = quarantine.split(readings, constraints)
+        quarantine.quarantined(bad, rules.table, batch_id).drop("table").write.mode("append").parquet(
+            f"{held}/table={rules.table}")
+    quarantine.judge_share(rules.table, rows, broken, rules.threshold)
+    kept = spark.table(table).count()
+    gone = sum(broken.values())
+    return spark.table(table), {"read": rows, "quarantined": gone, "repeats": rows - gone - kept, "kept": kept}
+
+
+def _buckets(spark: SparkSession) -> tuple[int, bool]:
+    """The number of buckets, and whether the rows must be dealt out once more to match it.
+
+    As many buckets as shuffle partitions put each partition into one bucket. Where Spark allows
+    fewer, it is the largest power of two allowed, and one more exchange of the reduced rows makes
+    one file a bucket, in place of one for each partition and bucket.
     """
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
-    even = next(parts // k for k in range(-(-parts // most), parts + 1) if parts % k == 0)
-    return even if 2 * even >= min(parts, most) else most
+    return (parts, False) if parts <= most else (1 << (most.bit_length() - 1), True)
 
 
 def run_batch(air: DataFrame, weather: DataFrame, out: str, start: datetime.datetime | None = None,
               end: datetime.datetime | None = None, sites: DataFrame | None = None,
-              batch_id: str = "batch", threshold: float = 10.0) -> dict[str, str]:
-    """Build all nine tables, judge them, then put them under `out`; returns table name to path.
-
-    `start` and `end` filter the readings and extend the time dimension, both only if both are
-    given. Dimensions are written before the tables that join them, so those joins plan with the
-    dimension's real size.
+              batch_id: str = "batch", threshold: float = 10.0, keep: int = snapshots.KEEP) -> dict[str, str]:
+    """Build all nine tables, judge them, then publish them under `out`; returns table name to path.
+
+    The paths, Quarantine among them, are those of the snapshot this run published; `snapshots.read`
+    finds the newest. `start` and `end` filter the readings and extend the time dimension, both only
+    if both are given. Dimensions are written before the tables that join them, so those joins plan
+    with the dimension's real size. `threshold` limits null % per measure and the share of rows in
+    quarantine. The snapshot's notes hold what became of the readings.
     """
     spark: SparkSession = air.sparkSession
-    paths = {name: f"{out}/{name}" for name in [*DIMENSIONS, *FACTS.values(), HARMONIZED]}
     run_id = uuid.uuid4().hex[:12]
-    folder = f"{out}/_run-{run_id}"
-    built = {name: f"{folder}/{name}" for name in paths}
+    folder = snapshots.run_folder(out, run_id)
+    built = {name: f"{folder}/{name}" for name in [*DIMENSIONS, *FACTS.values(), HARMONIZED, QUARANTINE]}
     names = {kind: f"breezemart_{kind}_{run_id}" for kind in FACTS}
+    readings, became = {}, {}
     try:
-        readings = {}
+        # so that the table is there without a broken row, too
+        empty = spark.createDataFrame([], quarantine.SCHEMA).drop("table")
+        empty.coalesce(1).write.parquet(f"{built[QUARANTINE]}/table=none")
         for kind, raw in (("air_quality", air), ("weather", weather)):
-            readings[kind] = stage(between(raw, start, end), f"{folder}/staging/{kind}",
-                                   reading_rules(kind, threshold), names[kind])
-        _build(readings["air_quality"], readings["weather"], built, start, end, sites, batch_id)
-        for name, path in paths.items():
-            _replace(spark, built[name], path)
+            readings[kind], became[kind] = stage(
+                between(raw, start, end), f"{folder}/staging/{kind}", reading_rules(kind, threshold), names[kind],
+                built[QUARANTINE], batch_id)
+        _build(readings["air_quality"], readings["weather"], built, start, end, sites, batch_id, threshold)
+        snapshots.publish(spark, out, run_id, built, {"batch_id": batch_id, "readings": became}, keep)
     finally:
         for name in names.values():
             spark.sql(f"DROP TABLE IF EXISTS {name}")
-        _remove(spark, folder)
-    return paths
-
-
-def _folder(spark: SparkSession, path: str):
-    """The file system a path is on, and the path, as Spark itself resolves them."""
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    files, found = _folder(spark, path)
-    files.delete(found, True)
-
-
-def _replace(spark: SparkSession, built: str, path: str) -> None:
-    """Move a finished table to `path`, in place of what is there."""
-    files, source = _folder(spark, built)
-    _remove(spark, path)
-    if not files.rename(source, _folder(spark, path)[1]):
-        raise OSError(f"{built} cannot be moved to {path}")
-    spark.catalog.refreshByPath(path)
+        # a publication that failed half-way may still have happened: what a manifest names stays
+        done = snapshots.published(spark, out, run_id)
+        snapshots.remove(spark, f"{folder}/staging" if done else folder)
+    return built
 
 
 def _build(air: DataFrame, weather: DataFrame, paths: dict[str, str], start, end,
-           sites: DataFrame | None, batch_id: str) -> None:
+           sites: DataFrame | None, batch_id: str, threshold: float) -> None:
     spark = air.sparkSession
     positions = air.select("latitude", "longitude").union(weather.select("latitude", "longitude"))
     built = {
@@ -167,21 +179,28 @@ def _build(air: DataFrame, weather: DataFrame, paths: dict[str, str], start, end
         "SeverityDim": dims.severity_dimension(spark),
     }
 
+    def store(table: DataFrame, name: str) -> None:
+        """By year and month where the table has a cluster order; its NOT NULL rules split it."""
+        def write(good: DataFrame) -> None:
+            if name in CLUSTER:
+                write_partitioned(good, paths[name], cluster=CLUSTER[name])
+            else:
+                write_table(good, paths[name])
+
+        quarantine.store(table, quarantine.not_null(NOT_NULL[name]), write, paths[QUARANTINE], name, batch_id,
+                         threshold)
+
     def write_dimension(name: str) -> None:
-        if name == "TimeDim":
-            write_partitioned(built[name], paths[name], cluster=CLUSTER[name])
-        else:
-            write_table(built[name], paths[name])
-        check(spark.read.parquet(paths[name]), Rules(name, [], not_null=NOT_NULL[name],
-                                                     unique=[UNIQUE[name]]))
+        store(built[name], name)
+        check(spark.read.parquet(paths[name]), Rules(name, [], unique=[UNIQUE[name]]))
 
     def write_fact(kind: str, readings: DataFrame) -> None:
         fact = facts.FACT_BUILDERS[kind](readings)
-        _store(facts.processed(fact, batch_id), paths[FACTS[kind]], FACTS[kind])
+        store(facts.processed(fact, batch_id), FACTS[kind])
 
     def write_features() -> None:
         location = spark.read.parquet(paths["LocationDim"])
-        _store(harmonize(air, weather, location), paths[HARMONIZED], HARMONIZED)
+        store(harmonize(air, weather, location), HARMONIZED)
 
     _together(spark, [partial(write_dimension, name) for name in DIMENSIONS])
     _together(spark, [partial(write_fact, "air_quality", air),
@@ -196,14 +215,6 @@ def _together(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
             done.result()
 
 
-def _store(table: DataFrame, path: str, name: str) -> None:
-    """Write by year and month; the NOT NULL columns are counted during the write."""
-    rules = Rules(name, measured=[], not_null=NOT_NULL[name])
-    watched, observation = observed(table, rules)
-    write_partitioned(watched, path, cluster=CLUSTER[name])
-    judge(observation.get, table, rules)
-
-
 def run(mode: str, batch=None, stream=None) -> dict:
     """Batch, stream or both; batch always finishes first. The parts are callables."""
     if mode not in ("batch", "stream", "both"):

@@ -25,6 +25,7 @@ DATA_SOURCES = {
 
 READING_KEYS = ["timestamp", "location_key", "latitude", "longitude"]
 CORRUPT = "_corrupt_record"
+ARRIVAL = "ingestion_timestamp"
 
 
 def measures_of(kind: str) -> list[str]:

@@ -10,14 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 SHUFFLE_BYTES_PER_TASK = 256 * 1024 * 1024
 FEWEST_SHUFFLE_TASKS = 200
+MOST_SHUFFLE_TASKS = 32_768
+MOST_SCAN_TASKS = 100_000
+FEWEST_SCAN_BYTES = 128 * 1024 * 1024
 
 
 def shuffle_partitions(input_bytes: int) -> int:
-    """Shuffle partitions for an input size: 256 MB each, so that a sort fits a task's memory.
+    """Shuffle partitions for an input size: 256 MB each, so that a sort fits a task's memory, up to
+    32,768, which 8 TB reach. Beyond, tasks grow, to 3 GB at 100 TB, and sorts spill: the shuffle's
+    blocks number map tasks times reduce tasks, and many small ones cost more than spilling.
 
-    100 TB gives 409,600. Adaptive execution joins small ones later; it cannot cut up aggregations.
+    Adaptive execution joins small partitions later; it cannot cut up aggregations.
     """
-    return max(FEWEST_SHUFFLE_TASKS, -(-input_bytes // SHUFFLE_BYTES_PER_TASK))
+    return min(MOST_SHUFFLE_TASKS, max(FEWEST_SHUFFLE_TASKS, -(-input_bytes // SHUFFLE_BYTES_PER_TASK)))
+
+
+def scan_bytes(input_bytes: int) -> int:
+    """Bytes a scan task reads: 128 MB, and as many as keep a large input under 100,000 tasks."""
+    return max(FEWEST_SCAN_BYTES, -(-input_bytes // MOST_SCAN_TASKS))
 
 
 def build_session(app: str = "breezemart", master: str | None = None,
@@ -33,6 +43,7 @@ def build_session(app: str = "breezemart", master: str | None = None,
     }
     if input_bytes is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
+        settings["spark.sql.files.maxPartitionBytes"] = str(scan_bytes(input_bytes))
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     builder = SparkSession.builder.appName(app)
     if master:

@@ -180,11 +180,3 @@ def test_values_that_do_not_fit_become_null(spark):
     assert row.select(time_key("timestamp")).first()[0] is None
     assert row.select(code_or_default("us_aqi")).first()[0] == -1
     assert as_readings(row, "air_quality").first().us_aqi is None
-
-
-def test_bucket_counts_do_not_hang_on_divisors(spark, conf):
-    from breezemart.plans.pipeline import _buckets
-
-    for parts in (11, 13, 22, 97, 200, 211):
-        conf(spark__sql__shuffle__partitions=str(parts), spark__sql__sources__bucketing__maxBuckets="10")
-        assert 5 <= _buckets(spark) <= 10

@@ -12,7 +12,7 @@ from breezemart.plans import dims, facts, pipeline
 from breezemart.plans.harmonized import harmonize
 from breezemart.plans.queries import comparable
 from breezemart.sources import event_readings as events
-from breezemart.sources import readers
+from breezemart.sources import readers, snapshots
 
 
 def plan_of(frame):
@@ -38,7 +38,8 @@ def test_batch_job(spark, sf_dir, raw, tmp_path):
                                    sites=events.stations(spark, sf_dir), batch_id="b1",
                                    threshold=20.0)  # a few dozen readings only
     tables = {name: spark.read.parquet(path) for name, path in paths.items()}
-    assert set(tables) == {*pipeline.DIMENSIONS, *pipeline.FACTS.values(), pipeline.HARMONIZED}
+    assert set(tables) == {*pipeline.DIMENSIONS, *pipeline.FACTS.values(), pipeline.HARMONIZED, pipeline.QUARANTINE}
+    assert snapshots.paths(spark, out) == paths and snapshots.versions(spark, out) == [1, 2]
     air = raw[0].filter(F.col("timestamp").between(start, end)).select("timestamp", "location_key").distinct()
     assert tables["AirQualityFact"].count() == air.count() > 0
     assert tables["AirQualityFact"].select("etl_batch_id").distinct().first()[0] == "b1"
@@ -66,10 +67,12 @@ def test_a_failed_run_leaves_the_last_tables(spark, raw, tmp_path):
     with pytest.raises(DataQualityError, match="us_aqi is null"):
         pipeline.run_batch(half.union(raw[0].where(F.col("latitude") == site.latitude)), raw[1], out=out,
                            batch_id="bad", threshold=20.0)
-    fact = spark.read.parquet(paths["WeatherFact"])
+    assert snapshots.paths(spark, out) == paths
+    fact = snapshots.read(spark, out)["WeatherFact"]
     assert [r[0] for r in fact.select("etl_batch_id").distinct().collect()] == ["good"]
     assert fact.where("condition_key is null").isEmpty()
-    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == sorted(paths)
+    runs = list((tmp_path / "out" / "_snapshots").iterdir())
+    assert [sorted(p.name for p in run.iterdir() if not p.name.startswith(".")) for run in runs] == [sorted(paths)]
 
 
 def test_cleaning_keeps_the_latest_arrival_and_is_not_drawn_to_high_values(spark):
@@ -172,7 +175,7 @@ def test_bucketed_staging_joins_without_a_shuffle(spark, sf_dir, raw, tmp_path,
     staged = []
     for kind, readings in zip(("air_quality", "weather"), raw):
         staged.append(pipeline.stage(readings, str(tmp_path / kind),
-                                     Rules(kind, []), f"staged_{kind}"))
+                                     Rules(kind, []), f"staged_{kind}")[0])
     location = dims.location_dimension(staged[0])
     plan = plan_of(harmonize(*staged, location))
     outer = plan[plan.index("FullOuter"):]
@@ -182,11 +185,21 @@ def test_bucketed_staging_joins_without_a_shuffle(spark, sf_dir, raw, tmp_path,
         spark.sql(f"DROP TABLE staged_{kind}")
 
 
-def test_bucket_count_divides_the_shuffle_partitions(spark, conf):
+def test_bucket_count_follows_the_shuffle_partitions(spark, conf):
     conf(spark__sql__shuffle__partitions="409600")
-    assert pipeline._buckets(spark) == 81_920
+    assert pipeline._buckets(spark) == (65_536, True)
     conf(spark__sql__shuffle__partitions="200")
-    assert pipeline._buckets(spark) == 200
+    assert pipeline._buckets(spark) == (200, False)
+
+
+@pytest.mark.parametrize("parts", [3, 11, 13, 20])
+def test_staging_writes_a_file_for_each_bucket_at_most(spark, raw, tmp_path, conf, parts):
+    conf(spark__sql__shuffle__partitions=str(parts), spark__sql__sources__bucketing__maxBuckets="10",
+         spark__sql__adaptive__enabled="false")
+    table, _ = pipeline.stage(raw[0], str(tmp_path / "air"), Rules("air", []), f"staged_{parts}")
+    assert len(list((tmp_path / "air").glob("*.parquet"))) <= min(parts, 10)
+    assert table.count() == raw[0].select("timestamp", "location_key").distinct().count()
+    spark.sql(f"DROP TABLE staged_{parts}")
 
 
 def test_outer_join_edges(spark):

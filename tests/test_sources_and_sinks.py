@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from breezemart.operators import arrays
 from breezemart.schemas import AIR_MEASURES, WEATHER_MEASURES
-from breezemart.session import build_session, shuffle_partitions, workspace
+from breezemart.session import build_session, scan_bytes, shuffle_partitions, workspace
 from breezemart.sources import readers, writers
 from breezemart.streaming import messages
 
@@ -194,5 +194,7 @@ def test_workspace_is_under_the_named_folder():
 
 
 def test_shuffle_partitions_follow_the_input():
-    assert shuffle_partitions(10) == 200 and shuffle_partitions(100 * 2**40) == 409_600
+    assert shuffle_partitions(10) == 200 and shuffle_partitions(2**40) == 4096
+    assert shuffle_partitions(100 * 2**40) == 32_768 and scan_bytes(10) == 128 * 2**20
+    assert 100 * 2**40 / scan_bytes(100 * 2**40) <= 100_000
     assert build_session().conf.get("spark.sql.session.timeZone") == "UTC"
