@@ -5,46 +5,38 @@ final only at the end. The stream does not wait: every micro-batch counts its do
 mask of failures, the smallest doc_id of each text is kept as state, and where a smaller one arrives
 the former holder is taken out of its old mask (a count of -1) and put into the one with E.
 
-1. per file, in the scan: mask of A to D and the text's SHA-256; texts go no further;
-2. per task: rows of one text become one candidate (the smallest doc_id of the task) and sums of the
-   others, which repeat it for certain; a text with a third of all rows is a few rows per task;
-3. per bucket of texts: candidates against the state, corrections out;
-4. per micro-batch: corrections summed by (part, mask) and written in a folder of that micro-batch,
-   which a replay replaces. The sum over the folders is the table's count.
+A micro-batch of files is worked on in built-ins alone:
+
+1. in the scan: mask of A to D and the text's SHA-256; texts go no further. The narrow rows, with
+   their labels, are written once;
+2. all rows are counted by (part, mask) as if they repeated a smaller doc_id;
+3. per text the rows of the smallest doc_id of the micro-batch are candidates: a minimum, reduced in
+   the map tasks, so a text with a third of all rows is one row per task;
+4. candidates against the state by the text's digest: those that are not larger than the smallest so
+   far leave E and are added to the state; holders that they beat are taken back into E;
+5. the state only grows by a written level for each micro-batch; a text's holders are its rows with
+   the smallest doc_id over the levels. Levels and changes are folders of the micro-batch, which reads
+   the levels before its own, so a replay replaces what it wrote and gives the same.
+
+The sum over the changes of all micro-batches is the table's count.
 """
 
 from __future__ import annotations
 
 import itertools
-from collections import defaultdict
-from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from breezemart.llm.shared import work_folder
+from breezemart.llm.shared import remove, work_folder
 
 LETTERS = "ABCDE"
 REPEAT = 1 << LETTERS.index("E")
-#: Micro-batches a table is read in, at most: a state row is written again in each that touches it.
+#: Micro-batches a table is read in, at most: each reads the state of those before it.
 BATCHES = 8
-#: Texts that share a state row on average; the number of rows grows with the table.
-BUCKET_TEXTS = 256
-#: Memory of an executor for state, outside the heap; the rest of the state is on its disk.
-STATE_CACHE_MB = 200
-#: Rows that a task holds back to combine.
-HELD_ROWS = 50_000
-
-CANDIDATE, REPEATED, UNNUMBERED = 0, 1, 2
+
 COUNTS = ["n", "good", "toxic"]
-KEYED = ("bucket bigint, digest string, kind int, doc_id bigint, mask int, part string, "
-         "n bigint, good bigint, toxic bigint")
-STATE = ("digest array<string>, least array<bigint>, mask array<int>, part array<string>, "
-         "n array<bigint>, good array<bigint>, toxic array<bigint>")
+HOLDERS = "digest binary, least bigint, mask int, part string, n bigint, good bigint, toxic bigint"
 CHANGES = "part string, mask int, n bigint, good bigint, toxic bigint"
 
 
@@ -59,97 +51,45 @@ def failures(docs: DataFrame) -> DataFrame:
               100 * capitals > 10 * F.length("text").cast("long"), F.col("text").rlike(r"[#$%&*|]")]
     mask = sum(F.when(f, F.lit(1 << i)).otherwise(F.lit(0)) for i, f in enumerate(failed))
     return cut.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"),
-                      F.col("doc_id").isNotNull().alias("known"), "part", F.sha2("text", 256).alias("digest"),
+                      F.col("doc_id").isNotNull().alias("known"), "part", F.unhex(F.sha2("text", 256)).alias("digest"),
                       mask.cast("int").alias("mask"))
 
 
-def _combined(rows: pd.DataFrame) -> pd.DataFrame:
-    """One row per text, part and kind; of the numbered rows of a text only those of the smallest
-    doc_id stay candidates."""
-    numbered = rows["kind"].to_numpy() == CANDIDATE
-    least = rows[numbered].groupby("digest")["doc_id"].transform("min").reindex(rows.index)
-    beaten = numbered & (rows["doc_id"] != least).to_numpy()
-    rows = rows.assign(kind=np.where(beaten, REPEATED, rows["kind"]).astype("int32"),
-                       doc_id=np.where(numbered & ~beaten, rows["doc_id"], 0))
-    return rows.groupby(["bucket", "digest", "kind", "doc_id", "mask", "part"], sort=False, as_index=False)[COUNTS].sum()
-
-
-def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    fields = pa.schema([("bucket", pa.int64()), ("digest", pa.string()), ("kind", pa.int32()), ("doc_id", pa.int64()),
-                        ("mask", pa.int32()), ("part", pa.string()), *[(c, pa.int64()) for c in COUNTS]])
-
-    def out(rows: pd.DataFrame) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pandas(rows[fields.names], fields, preserve_index=False)
-
-    held = None
-    for batch in batches:
-        new = batch.to_pandas()
-        if len(new):
-            held = _combined(new if held is None else pd.concat([held, new], ignore_index=True))
-            if len(held) > HELD_ROWS:
-                yield out(held)
-                held = None
-    if held is not None:
-        yield out(held)
-
-
-def _settle(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Candidates of a bucket against its state: {digest: [least, mask, {part: counts}]}."""
-    held: dict[str, list] = {}
-    if state.exists:
-        for digest, least, mask, part, *counts in zip(*state.get):
-            held.setdefault(digest, [least, mask, {}])[2][part] = counts
-    changes: dict[tuple[str, int], list[int]] = defaultdict(lambda: [0, 0, 0])
-
-    def change(part: str, mask: int, counts: list[int], sign: int = 1) -> None:
-        sums = changes[part, mask]
-        for i, c in enumerate(counts):
-            sums[i] += sign * c
-
-    for frame in frames:
-        columns = [frame[c].tolist() for c in ("digest", "kind", "doc_id", "mask", "part", *COUNTS)]
-        for digest, kind, doc_id, mask, part, *counts in zip(*columns):
-            if kind != CANDIDATE:
-                change(part, mask | REPEAT if kind == REPEATED else mask, counts)
-                continue
-            holder = held.get(digest)
-            if holder is not None and doc_id > holder[0]:
-                change(part, mask | REPEAT, counts)
-                continue
-            if holder is None or doc_id < holder[0]:
-                if holder is not None:  # taken back: the former smallest repeats a smaller one now
-                    for old, sums in holder[2].items():
-                        change(old, mask, sums, -1)
-                        change(old, mask | REPEAT, sums)
-                holder = held[digest] = [doc_id, mask, {}]
-            sums = holder[2].setdefault(part, [0, 0, 0])
-            holder[2][part] = [a + b for a, b in zip(sums, counts)]
-            change(part, mask, counts)
-
-    rows = [(digest, least, mask, part, *counts) for digest, (least, mask, parts) in held.items()
-            for part, counts in parts.items()]
-    if rows:
-        state.update(tuple(map(list, zip(*rows))))
-    found = [(*at, *sums) for at, sums in changes.items() if any(sums)]
-    yield pd.DataFrame(found, columns=["part", "mask", *COUNTS]).astype({"mask": "int32"})
-
-
-def _session(spark: SparkSession) -> SparkSession:
-    """A session of its own, so that the caller's settings stay; the state is on disk, not in memory."""
-    session = spark.newSession()
-    settings = {
-        "spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions"),
-        "spark.sql.session.timeZone": spark.conf.get("spark.sql.session.timeZone"),
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-        # one cache for all state parts of an executor; without it each part takes its own
-        "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-        "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": str(STATE_CACHE_MB),
-    }
-    for key, value in settings.items():
-        session.conf.set(key, value)
-    return session
+def _counted(rows: DataFrame, mask: Column, sign: int = 1) -> DataFrame:
+    return rows.select("part", mask.cast("int").alias("mask"), *[(sign * F.col(c)).alias(c) for c in COUNTS])
+
+
+def _candidates(rows: DataFrame) -> DataFrame:
+    """Per text the rows of its smallest doc_id, summed by part (rows may repeat a doc_id).
+
+    The join is on text and doc_id, so the rows of a common text are spread.
+    """
+    numbered = rows.where("known")
+    least = numbered.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    return (numbered.join(least, ["digest", "doc_id"]).groupBy("digest", F.col("doc_id").alias("least"), "mask", "part")
+            .agg(*[F.sum(c).alias(c) for c in COUNTS]))
+
+
+def settle(rows: DataFrame, levels: list[str], level: str, changes: str) -> None:
+    """One micro-batch: `rows` against the state in `levels`; writes its own `level` and `changes`."""
+    spark = rows.sparkSession
+    plain, repeated = F.col("mask"), F.col("mask").bitwiseOR(F.lit(REPEAT))
+    state = spark.read.schema(HOLDERS).parquet(*levels) if levels else spark.createDataFrame([], HOLDERS)
+    known = state.groupBy("digest").agg(F.min("least").alias("_before"))
+    won = _candidates(rows).join(known, "digest", "left").where("_before is null or least <= _before")
+    won.drop("_before").write.mode("overwrite").parquet(level)
+
+    won = spark.read.schema(HOLDERS).parquet(level)
+    beaten = won.groupBy("digest").agg(F.min("least").alias("_now")).join(known, "digest").where("_now < _before")
+    former = state.join(beaten, "digest").where("least = _before")
+    parts = [_counted(rows, F.when(F.col("known"), repeated).otherwise(plain)),
+             _counted(won, plain), _counted(won, repeated, -1),
+             _counted(former, plain, -1), _counted(former, repeated)]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionAll(part)
+    (union.groupBy("part", "mask").agg(*[F.sum(c).alias(c) for c in COUNTS])
+     .where(" or ".join(f"{c} <> 0" for c in COUNTS)).write.mode("overwrite").parquet(changes))
 
 
 def mask_counts(spark: SparkSession, path: str, labels: DataFrame, batches: int = BATCHES) -> DataFrame:
@@ -160,30 +100,28 @@ def mask_counts(spark: SparkSession, path: str, labels: DataFrame, batches: int
     """
     out = work_folder(spark, "filter-audit")
     table = spark.read.parquet(path)
-    files, buckets = len(table.inputFiles()), max(1, -(-table.count() // BUCKET_TEXTS))
+    files = len(table.inputFiles())
     marked = labels.where("doc_id is not null").groupBy("doc_id").agg(
         F.max(F.when(F.col("quality") == 1, 1).otherwise(0)).cast("long").alias("good"),
         F.max(F.when(F.col("toxic") == 1, 1).otherwise(0)).cast("long").alias("toxic"))
     marked.write.parquet(f"{out}/labels")
 
-    session = _session(spark)
-    marks = session.read.parquet(f"{out}/labels").withColumnRenamed("doc_id", "_labelled")
+    def process(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        marks = session.read.parquet(f"{out}/labels").withColumnRenamed("doc_id", "_labelled")
+        rows = batch.join(marks, F.col("known") & (F.col("doc_id") == F.col("_labelled")), "left").select(
+            "doc_id", "known", "digest", "part", "mask", F.lit(1).cast("long").alias("n"),
+            *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in COUNTS[1:]])
+        own = f"{out}/rows/batch={number}"
+        rows.write.mode("overwrite").parquet(own)
+        settle(session.read.schema(rows.schema).parquet(own), [f"{out}/state/batch={k}" for k in range(number)],
+               f"{out}/state/batch={number}", f"{out}/changes/batch={number}")
+        remove(session, own)
+
     named = f"{path.rstrip('/')[:-1]}[{path.rstrip('/')[-1]}]"  # as a pattern it may also be a single file
-    raw = (session.readStream.schema(table.schema).option("maxFilesPerTrigger", max(1, -(-files // batches)))
+    raw = (spark.readStream.schema(table.schema).option("maxFilesPerTrigger", max(1, -(-files // batches)))
            .parquet(named))
-    rows = failures(raw)
-    rows = rows.join(marks, rows["known"] & (rows["doc_id"] == marks["_labelled"]), "left").select(
-        F.pmod(F.xxhash64("digest"), F.lit(buckets)).alias("bucket"), "digest",
-        F.when(F.col("known"), CANDIDATE).otherwise(UNNUMBERED).alias("kind"), "doc_id", "mask", "part",
-        F.lit(1).cast("long").alias("n"), *[F.coalesce(c, F.lit(0)).alias(c) for c in COUNTS[1:]])
-    changes = (rows.mapInArrow(_combine, KEYED).groupBy("bucket").applyInPandasWithState(
-        _settle, CHANGES, STATE, "update", GroupStateTimeout.NoTimeout))
-
-    def store(batch: DataFrame, number: int) -> None:
-        (batch.groupBy("part", "mask").agg(*[F.sum(c).alias(c) for c in COUNTS])
-         .write.mode("overwrite").parquet(f"{out}/changes/batch={number}"))
-
-    (changes.writeStream.foreachBatch(store).outputMode("update").option("checkpointLocation", f"{out}/checkpoint")
+    (failures(raw).writeStream.foreachBatch(process).option("checkpointLocation", f"{out}/checkpoint")
      .trigger(availableNow=True).start().awaitTermination())
     if not files:
         return spark.createDataFrame([], CHANGES)

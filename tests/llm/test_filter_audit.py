@@ -96,12 +96,22 @@ def test_each_micro_batch_corrects_the_ones_before(spark, tmp_path, monkeypatch)
         (0, "en", 9, 1), (1, "de", 9, 1), (1, "en", 9, -1), (1, "en", 25, 1), (2, "de", 25, 1)]
 
 
-def test_copies_of_a_task_become_one_candidate(spark, tmp_path):
+def test_a_common_text_and_a_replayed_micro_batch(spark, tmp_path):
     rows = [(i, "the same text", "en") for i in range(5000)]
-    path = land(spark, str(tmp_path / "docs"), [rows], "doc_id long, text string, lang string")
+    path = land(spark, str(tmp_path / "docs"), [rows[2500:], rows[:2500]], "doc_id long, text string, lang string")
     found = counted(filter_audit(spark, path, spark.createDataFrame([], LABELS)))
     assert found["en", "EABCD", 1] == (1, 4999, 0, 0, 0, 0, sum(v[1] for k, v in found.items() if k[1][k[2] - 1] == "E"))
 
+    schema = "doc_id long, known boolean, digest binary, part string, mask int, n long, good long, toxic long"
+    first = spark.createDataFrame([(5, True, bytearray(b"x"), "en", 1, 1, 1, 0)], schema)
+    second = spark.createDataFrame([(3, True, bytearray(b"x"), "de", 1, 1, 0, 0), (4, True, bytearray(b"x"), "de", 1, 1, 0, 1)], schema)
+    level = [str(tmp_path / f"state-{k}") for k in range(2)]
+    audit.settle(first, [], level[0], str(tmp_path / "c0"))
+    for _ in range(2):  # the same again
+        audit.settle(second, level[:1], level[1], str(tmp_path / "c1"))
+    changes = sorted(map(tuple, spark.read.parquet(str(tmp_path / "c1")).collect()))
+    assert changes == [("de", 1, 1, 0, 0), ("de", 17, 1, 0, 1), ("en", 1, -1, -1, 0), ("en", 17, 1, 1, 0)]
+
 
 def test_odd_rows_and_an_empty_table(spark, edge, empty, tmp_path):
     edge.withColumn("n", edge.size).write.parquet(str(tmp_path / "edge"))
@@ -112,7 +122,7 @@ def test_odd_rows_and_an_empty_table(spark, edge, empty, tmp_path):
     assert filter_audit(spark, str(tmp_path / "empty"), labels).count() == 0
 
 
-@pytest.mark.parametrize("extra", ["bucket", "digest", "kind", "mask", "part", "n", "good", "batch"])
+@pytest.mark.parametrize("extra", ["digest", "known", "mask", "part", "n", "good", "batch"])
 def test_columns_with_clashing_names(spark, tmp_path, extra):
     frame = spark.createDataFrame([(1, "a b", "en", "q")], f"doc_id long, text string, lang string, {extra} string")
     frame.write.parquet(str(tmp_path / "docs"))
