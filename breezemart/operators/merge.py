@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from breezemart.operators.positions import with_position
+
 
 def latest_per_key(df: DataFrame, keys: list[str], rank: list[Column]) -> DataFrame:
     """The row with the highest rank per key; remaining columns break ties, so it is repeatable.
@@ -30,15 +32,15 @@ def merge_batch_and_stream(batch: DataFrame, stream: DataFrame, arrival: str = "
                            sort: bool = False) -> DataFrame:
     """One row per (timestamp, location): stream before history, then the later arrival.
 
-    Both sides are bounded frames; the live half is `streaming.live.drop_repeats`. `sort` orders
-    the result by time, with the location as second key so that one busy hour can be cut up.
+    Both sides are bounded frames; the live half is `streaming.live.drop_repeats`. `sort` adds the
+    row's `position` by time, with the location as second key so that one busy hour can be cut up.
     """
     both = union_sources(batch, stream)
     if arrival not in both.columns:
         both = both.withColumn(arrival, F.lit(None).cast("timestamp"))
     priority = F.when(F.col("source") == "stream", 1).otherwise(0)
     merged = latest_per_key(both, ["timestamp", "location_key"], [priority, F.col(arrival)])
-    return merged.orderBy("timestamp", "location_key") if sort else merged
+    return with_position(merged, ["timestamp", "location_key"]) if sort else merged
 
 
 def tumbling_window(df: DataFrame, ts: str = "timestamp", width: str = "1 hour") -> DataFrame:

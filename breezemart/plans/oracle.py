@@ -177,6 +177,22 @@ _STATUS_ROWS = ", ".join(f"({_in(row)})" for row in
 _SEASON_ROWS = ", ".join(f"({_in(row)})" for row in lookups.SEASONS)
 _SEVERITY_ROWS = ", ".join(f"({_in(row)})" for row in lookups.SEVERITIES)
 
+def _fact_tables(air: str, weather: str) -> str:
+    return f"""{air}_fact as (
+  select *, {_STATUS_KEY} as status_key, {_select(_AIR_EXTRA)},
+         {_calendar('"timestamp"')["time_key"]} as time_key,
+         {_change("aqi_change_1h", "us_aqi", 1)}, {_change("aqi_change_24h", "us_aqi", 24)}
+  from {air}),
+{weather}_fact as (
+  select *, cast(coalesce(weather_code, -1) as integer) as condition_key, {_SEVERITY} as severity_key,
+         {_SEASON_KEY} as season_key, {_select(_WEATHER_EXTRA)},
+         {_calendar('"timestamp"')["time_key"]} as time_key, {_SIGHT} as visibility_category,
+         severity_key >= 4 as is_severe_weather,
+         {_change("temp_change_1h", "temperature_2m", 1)},
+         {_change("temp_change_24h", "temperature_2m", 24)}
+  from {weather})"""
+
+
 _PRELUDE = f"""
 with placed as (
   select event_id, event_type, user_id,
@@ -200,18 +216,8 @@ air as (select * from air_raw qualify {_FIRST} = 1),
 weather as (select * from weather_raw qualify {_FIRST} = 1),
 air_last as (select * from air_raw qualify {_LAST} = 1),
 weather_last as (select * from weather_raw qualify {_LAST} = 1),
-air_fact as (
-  select *, {_STATUS_KEY} as status_key, {_select(_AIR_EXTRA)},
-         {_calendar('"timestamp"')["time_key"]} as time_key,
-         {_change("aqi_change_1h", "us_aqi", 1)}, {_change("aqi_change_24h", "us_aqi", 24)}
-  from air),
-weather_fact as (
-  select *, cast(coalesce(weather_code, -1) as integer) as condition_key, {_SEVERITY} as severity_key,
-         {_SEASON_KEY} as season_key, {_select(_WEATHER_EXTRA)},
-         {_calendar('"timestamp"')["time_key"]} as time_key, {_SIGHT} as visibility_category,
-         {_change("temp_change_1h", "temperature_2m", 1)},
-         {_change("temp_change_24h", "temperature_2m", 24)}
-  from weather),
+{_fact_tables("air", "weather")},
+{_fact_tables("air_last", "weather_last")},
 site as (
   select distinct location_key, latitude, longitude, 'Station ' || user_id as city,
          'Region ' || (user_id % 7) as region, {_d("user_id % 900")} as elevation,
@@ -255,6 +261,10 @@ status_full as (
          case when aqi_category like '%Sensitive%' then 'Yes' else 'No' end
            as sensitive_groups_affected
   from statuses where status_key in (select {_STATUS_KEY} from air_raw)),
+condition_last as (
+  select * from condition_full where weather_code in (
+    select cast(coalesce(weather_code, -1) as integer) from weather_last)),
+status_last as (select * from status_full where status_key in (select {_STATUS_KEY} from air_last)),
 stamps as (select "timestamp" from air union select "timestamp" from weather)
 """
 
@@ -346,23 +356,56 @@ select f.time_key, f.location_key, f.us_aqi, s.aqi_category, s.color_code, s.ris
 from air_fact f left join status_full s on f.status_key = s.status_key
   left join site p on f.location_key = p.location_key"""
 _MONTHS = [f'cast(year("timestamp") as integer) as year', 'cast(month("timestamp") as integer) as month']
-_COUNTS = {
-    "TimeDim": "stamps",
-    "LocationDim": "(select distinct location_key from (select location_key from air union all "
-                   "select location_key from weather))",
-    "WeatherConditionDim": "condition_dim",
-    "AirQualityStatusDim": "status_full",
-    "SeasonDim": "seasons",
-    "SeverityDim": "severities",
-    "AirQualityFact": "air",
-    "WeatherFact": "weather",
-    "HarmonizedData": "harmonized",
-}
-
-
-def _counts(tables: dict[str, str]) -> str:
-    return " union all ".join(f"select '{name}' as table_name, count(*) as n_rows from {source}"
-                              for name, source in tables.items())
+# Columns that are doubles wherever they occur; all others print alike in both engines.
+_DOUBLES = {*AIR_MEASURES, *WEATHER_MEASURES, *_AIR_EXTRA, *_WEATHER_EXTRA, "temp_change_1h", "temp_change_24h",
+            "latitude", "longitude", "elevation", "avg_daylight_hours", "air_density", "dew_point"} - {"us_aqi"}
+
+
+def _content(source: str, columns: list[str], whole: tuple[str, ...] = ()) -> str:
+    """Rows and the sum of row digests of `columns` of `source`; `whole` names columns that are integers here."""
+    def text(name: str) -> str:
+        quoted = f'"{name}"'
+        if name in _DOUBLES and name not in whole:
+            value = f"cast(floor(cast({quoted} as double) * cast(1000000 as double) + cast(0.5 as double)) as bigint)"
+        elif name == "timestamp":
+            value = f"cast(floor(epoch({quoted})) as bigint)"
+        else:
+            value = quoted
+        return f"coalesce(cast({value} as varchar), 'null')"
+
+    row = ", ".join(text(name) for name in sorted(columns))
+    return (f"count(*) as n_rows, coalesce(sum(cast('0x' || substr(md5(concat_ws('|', {row})), 1, 12) as bigint)), 0)"
+            f"::bigint as content from ({source})")
+
+
+def _contents(tables: dict[str, tuple]) -> str:
+    return " union all ".join(f"select '{name}' as table_name, {_content(*table)}" for name, table in tables.items())
+
+
+_CALENDAR = list(_calendar("x"))
+_STORED_AIR = ["time_key", "location_key", "status_key", "timestamp", *AIR_FACT_MEASURES, *_AIR_EXTRA,
+               "aqi_change_1h", "aqi_change_24h"]
+_STORED_WEATHER = ["time_key", "location_key", "condition_key", "severity_key", "season_key", "timestamp",
+                   *WEATHER_FACT_MEASURES, *_WEATHER_EXTRA, "temp_change_1h", "temp_change_24h",
+                   "is_severe_weather", "visibility_category"]
+_FEATURE_COLUMNS = ["timestamp", "location_key", *WEATHER_FEATURES, *AIR_FEATURES, "year", "month", "hour",
+                    "day_of_week", "is_weekend", "season", "is_holiday", "latitude", "longitude", "elevation",
+                    "climate_zone", "air_density", "dew_point"]
+_CONDITION_COLUMNS = ["condition_key", "weather_code", "description", "category", "severity_level",
+                      "is_precipitation", "is_severe", "visibility_impact", "travel_impact"]
+_STATUS_COLUMNS = ["status_key", "aqi_category", "health_implications", "cautionary_statement", "color_code",
+                   "risk_level", "outdoor_activity_recommendation", "sensitive_groups_affected"]
+_SITE_COLUMNS = ["location_key", "latitude", "longitude", "city", "region", "climate_zone", "elevation", "country",
+                 "continent", "hemisphere", "timezone", "is_coastal", "population_density", "urban_density"]
+_SEASON_COLUMNS = ["season_key", "season_name", "start_month", "end_month", "avg_daylight_hours", "typical_temp_range",
+                   "characteristic_weather", "date_range", "precipitation_likelihood", "heating_demand",
+                   "daylight_pattern", "outdoor_activity_level"]
+_SEVERITY_COLUMNS = ["severity_key", "severity_level", "severity_name", "description", "recommended_actions",
+                     "alert_level", "operational_status", "safety_measures", "monitoring_requirement"]
+
+
+def _by_month(table: str) -> str:
+    return f"select *, {', '.join(_MONTHS)} from {table}"
 
 
 def _features(table: str) -> str:
@@ -375,6 +418,43 @@ select h."timestamp", h.location_key, {_rounded(WEATHER_FEATURES)}, {_rounded(AI
 from {table} h join site p on h.location_key = p.location_key"""
 
 
+_PLACES = """
+select location_key, latitude, longitude, city, region, climate_zone, elevation,
+       'Eventland' as country, 'Testia' as continent, hemisphere, 'UTC' as timezone, is_coastal,
+       'High' as population_density, 'Low' as urban_density
+from site where location_key in (select location_key from air_raw union
+                                 select location_key from weather_raw)"""
+
+
+def _spoilt(name: str) -> str:
+    """Readings of a kind as the quarantine query has them: k = 50 in the year 9999, k = 51 without a place."""
+    return (f"(select '{name}' as kind, case when k = 51 then 'location_key must not be null' "
+            f"when k = 50 then 'time_key must not be null' end as rule, * from {name}_raw)")
+
+
+def _quarantine() -> str:
+    parts = [f"select 'raw_{kind}' as \"table\", rule, count(*) as n_rows from {_spoilt(t)} "
+             "where rule is not null group by all" for kind, t in (("air_quality", "air"), ("weather", "weather"))]
+    good = '(select distinct "timestamp", location_key from {0} where rule is null)'
+    for kind, t, fact in (("air_quality", "air", "AirQualityFact"), ("weather", "weather", "WeatherFact")):
+        kept = good.format(_spoilt(t))
+        parts.append(f"select '{fact}', 'published', count(*) from {kept}")
+        parts.append(f"select 'raw_{kind}', 'repeated', (select count(*) from {_spoilt(t)} where rule is null) "
+                     f"- (select count(*) from {kept})")
+    both = " union ".join(f"select * from {good.format(_spoilt(t))}" for t in ("air", "weather"))
+    parts.append(f"select 'HarmonizedData', 'published', count(*) from ({both})")
+    return " union all ".join(parts)
+
+
+def _csv_rejects() -> str:
+    kept = f"select {KEY_LIST}, {_single(WEATHER_MEASURES)} from weather_raw where k not between 50 and 53"
+    reasons = {"malformed line": 50, "malformed number": 51, "missing timestamp": 52, "missing location": 53}
+    return " union all ".join([
+        f"select 'accepted' as error, {_content(kept, ['timestamp', 'location_key', 'latitude', 'longitude', *WEATHER_MEASURES])}",
+        *[f"select '{error}', count(*), 0::bigint from weather_raw where k = {k} having count(*) > 0"
+          for error, k in reasons.items()]])
+
+
 _STATEMENTS = {
     "harmonized": _features("harmonized"),
     "harmonized_current": _features("harmonized_current"),
@@ -403,12 +483,7 @@ select "timestamp", {_pick(list(_calendar("x")))} from (
   select "timestamp" from stamps union
   select unnest(generate_series(timestamp '{q.AXIS_START}', timestamp '{q.AXIS_END}'
                                 - interval 1 hour, interval 1 hour)))""",
-    "dim_location": """
-select location_key, latitude, longitude, city, region, climate_zone, elevation,
-       'Eventland' as country, 'Testia' as continent, hemisphere, 'UTC' as timezone, is_coastal,
-       'High' as population_density, 'Low' as urban_density
-from site where location_key in (select location_key from air_raw union
-                                 select location_key from weather_raw)""",
+    "dim_location": _PLACES,
     "dim_weather_condition": "select * from condition_full",
     "dim_aq_status": "select * from status_full",
     "dim_season": """
@@ -433,9 +508,10 @@ left join (select severity_key as s, count(*) as n_readings from weather_fact gr
         "visibility_category": "visibility_category"}),
     "dq_gate": _gate(),
     "merge_latest": f"""
+select *, row_number() over (order by "timestamp", location_key) as position from (
 select event_id, {_AIR_READING}, ingestion_timestamp, source from {_MERGE_SOURCES}
 qualify row_number() over (partition by "timestamp", location_key
-                           order by source desc, ingestion_timestamp desc) = 1""",
+                           order by source desc, ingestion_timestamp desc) = 1)""",
     "merge_union": f"""
 select event_id, source, "timestamp", location_key, round(pm2_5, 6) as pm2_5,
        case when source = 'batch' then dust end as dust,
@@ -490,22 +566,23 @@ from weather_raw""",
 select event_id, cast(floor(epoch(observed_at)) as bigint) as epoch_seconds,
        date_trunc('second', observed_at) as observed_at,
        strftime(observed_at, '%Y-%m-%dT%H:%M:%S') as iso from weather_raw""",
+    "csv_rejects": _csv_rejects(),
     "sink_roundtrip": f"""
-select {KEY_LIST}, 'air_quality' as kind from air union all
-select {KEY_LIST}, 'weather' as kind from weather""",
+select {KEY_LIST}, {_rounded(AIR_MEASURES)}, {_nulls(WEATHER_MEASURES, "double")}, 'air_quality' as kind from air
+union all by name
+select {KEY_LIST}, {_rounded(WEATHER_MEASURES)}, 'weather' as kind from weather""",
     "sink_facts_partitioned": f"""
+select {_AIR_FACT}, {", ".join(_MONTHS)} from air_fact""",
+    "read_months": f"""
 select {_AIR_FACT}, {", ".join(_MONTHS)} from air_fact
 where "timestamp" between {_START} and {_END}""",
-    "sink_harmonized": f"""
-select h."timestamp", h.location_key, {_pick(["year", "month", "season"], 'h."timestamp"')},
-       p.latitude, p.elevation, {_six(_DEW)} as dew_point, us_aqi
-from harmonized h join site p on h.location_key = p.location_key""",
+    "sink_harmonized": _features("harmonized"),
     "layout_clustered": f"""
-select {_WEATHER_FACT}, cast("timestamp" as date) as date from weather_fact
-where cast("timestamp" as date) between cast({_START} as date) and cast({_END} as date)""",
+select {_WEATHER_FACT}, cast("timestamp" as date) as date from weather_fact""",
     "sink_csv": f"""
 select strftime("timestamp", '%Y-%m-%dT%H:%M:%S') as time, {_rounded(WEATHER_MEASURES)},
-       latitude, longitude from weather where "timestamp" between {_START} and {_END}""",
+       latitude, longitude, (select strftime(min("timestamp"), '%Y%m%d') || '_' || strftime(max("timestamp"), '%Y%m%d')
+                             from weather) as file_range from weather""",
     "to_envelope": f"select {_WEATHER_READING}, 'Open-Meteo API' as data_source from weather",
     "parse_messages": f"""
 select {KEY_LIST}, {_rounded(AIR_MEASURES)}, cast(null as varchar) as error from air_raw
@@ -526,11 +603,24 @@ select cast(null as timestamp) as "timestamp", cast(null as bigint) as location_
     "stream_foreach_batch": "select time_key, location_key, condition_key, "
                             "round(temperature_2m, 6) as temperature_2m, "
                             "round(temp_change_1h, 6) as temp_change_1h from weather_fact",
-    "batch_tables": _counts(_COUNTS),
-    "stream_tables": "select 'streaming_air_quality' as table_name, count(*) as n_rows from air "
-                       "union all select 'streaming_weather', count(*) from weather union all "
-                       "select 'dead_letter/air_quality', 2 union all "
-                       "select 'dead_letter/weather', 2",
+    "batch_tables": _contents({
+        "TimeDim": (f'select "timestamp", {_pick(_CALENDAR)} from stamps', ["timestamp", *_CALENDAR]),
+        "LocationDim": (_PLACES, _SITE_COLUMNS),
+        "WeatherConditionDim": ("select * from condition_last", _CONDITION_COLUMNS, ("weather_code",)),
+        "AirQualityStatusDim": ("select * from status_last", _STATUS_COLUMNS),
+        "SeasonDim": ("select * from seasons", _SEASON_COLUMNS),
+        "SeverityDim": ("select * from severities", _SEVERITY_COLUMNS),
+        "AirQualityFact": (_by_month("air_last_fact"), [*_STORED_AIR, "year", "month"]),
+        "WeatherFact": (_by_month("weather_last_fact"), [*_STORED_WEATHER, "year", "month"]),
+        "HarmonizedData": (_features("harmonized_current"), _FEATURE_COLUMNS),
+    }),
+    "batch_quarantine": _quarantine(),
+    "stream_tables": _contents({
+        "streaming_air_quality": ("select * from air_fact", _STORED_AIR),
+        "streaming_weather": ("select * from weather_fact", _STORED_WEATHER),
+        **{f"dead_letter/{kind}": ("select 'no JSON' as original_data, 'malformed JSON' as error from range(2)",
+                                   ["original_data", "error"]) for kind in ("air_quality", "weather")},
+    }),
 }
 
 

@@ -18,10 +18,10 @@ from breezemart.operators import arrays, joins, merge, quality
 from breezemart.plans import dims, facts, pipeline
 from breezemart.plans.harmonized import (
     AIR_FEATURES, KEYS, WEATHER_FEATURES, harmonize, on_the_hour)
-from breezemart.schemas import READING_KEYS, measures_of
+from breezemart.schemas import ARRIVAL, READING_KEYS, measures_of
 from breezemart.session import pin_utc, staged, workspace
 from breezemart.sources import event_readings as events
-from breezemart.sources import readers, writers
+from breezemart.sources import readers, snapshots, writers
 from breezemart.streaming import live, messages, run
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,35 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*[plain(field) for field in df.schema.fields])
 
 
+#: Columns that tell when and by which run a row was stored, not what it holds.
+RUN_COLUMNS = ["etl_batch_id", "processing_timestamp", "last_updated"]
+
+
+def content(df: DataFrame) -> list:
+    """Aggregates over all rows and columns: how many, and a sum of row digests that no order changes.
+
+    A row's digest is of its columns by name: doubles as millionths, times as epoch seconds.
+    """
+    def text(field: T.StructField):
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.DoubleType):
+            column = F.floor(column * F.lit(1e6) + F.lit(0.5)).cast("bigint")
+        if isinstance(field.dataType, T.TimestampType):
+            column = F.unix_seconds(column)
+        return F.coalesce(column.cast("string"), F.lit("null"))
+
+    fields = sorted((f for f in df.schema.fields if f.name not in RUN_COLUMNS), key=lambda f: f.name)
+    digest = F.md5(F.concat_ws("|", *[text(f) for f in fields]))
+    part = F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint")
+    return [F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(part), F.lit(0)).alias("content")]
+
+
+def _contents(tables: dict[str, DataFrame]) -> DataFrame:
+    sums = [frame.agg(*content(frame)).select(F.lit(name).alias("table_name"), "n_rows", "content")
+            for name, frame in tables.items()]
+    return functools.reduce(DataFrame.union, sums)
+
+
 def query(function: Query) -> Query:
     @functools.wraps(function)
     def run_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,7 +353,7 @@ def window_tumbling(spark, sf_dir):
 def _csv_round_trip(spark, sf_dir, kind, fail_fast):
     path = writers.write_csv(events.hourly_readings(spark, sf_dir, kind), workspace(spark, "csv"),
                              kind)
-    return readers.read_csv_history(spark, f"{path}/*.csv", kind, fail_fast=fail_fast)
+    return readers.read_csv_history(spark, f"{path}/*.csv", kind, fail_fast=fail_fast).drop(ARRIVAL)
 
 
 @query
@@ -340,7 +369,8 @@ def src_csv_failfast(spark, sf_dir):
 @query
 def src_envelope(spark, sf_dir):
     path = writers.write_documents(_weather(spark, sf_dir), workspace(spark, "documents"), "weather")
-    return readers.current_readings(readers.read_documents(spark, path, "weather", False), "weather")
+    documents = readers.read_documents(spark, path, "weather", False)
+    return readers.current_readings(documents, "weather").drop(ARRIVAL)
 
 
 def _per_day(readings: DataFrame, entry) -> DataFrame:
@@ -428,17 +458,49 @@ def epoch_to_ts(spark, sf_dir):
 
 # --- sinks -------------------------------------------------------------------------------------
 
+@query
+def csv_rejects(spark, sf_dir):
+    """History files with broken lines: what is accepted, and what is rejected for which reason."""
+    rows = events.raw_readings(spark, sf_dir, "weather")
+    names = measures_of("weather")
+    spoilt = {name: F.col(name).cast("string") for name in names}
+    spoilt["visibility"] = F.when(F.col("k") == 51, F.lit("far")).otherwise(spoilt["visibility"])
+    time_text = F.when(F.col("k") == 52, F.lit("noon")).otherwise(C.iso_text("timestamp"))
+    place = F.when(F.col("k") != 53, F.col("longitude").cast("string"))
+    last = F.when(F.col("k") == 50, F.concat(place, F.lit(",one more"))).otherwise(place)
+    path = workspace(spark, "spoilt-csv")
+    (rows.select(time_text.alias("time"), *[spoilt[n].alias(n) for n in names],
+                 F.col("latitude").cast("string").alias("latitude"), last.alias("longitude"))
+     .write.option("header", True).option("quote", "").csv(path))
+    good, bad = readers.read_csv_checked(spark, path, "weather")
+    letters = writers.write_table(bad, workspace(spark, "dead-lines"))
+    stored = spark.read.parquet(letters)
+    cut = stored.groupBy("error").agg(F.count(F.lit(1)).alias("n_rows"), F.lit(0).cast("bigint").alias("content"))
+    kept = good.drop(ARRIVAL)
+    return kept.agg(*content(kept)).select(F.lit("accepted").alias("error"), "n_rows", "content").union(
+        cut.select("error", "n_rows", "content"))
+
+
 @query
 def sink_roundtrip(spark, sf_dir):
-    path = workspace(spark, "table")
+    path, names = workspace(spark, "table"), [*measures_of("air_quality"), *measures_of("weather")]
     for kind, mode in (("air_quality", "overwrite"), ("weather", "append")):
-        rows = events.hourly_readings(spark, sf_dir, kind).select(*READING_KEYS)
-        writers.write_table(rows.withColumn("kind", F.lit(kind)), path, mode)
+        rows = events.hourly_readings(spark, sf_dir, kind)
+        absent = {n: F.lit(None).cast("int" if n == "us_aqi" else "double") for n in names if n not in rows.columns}
+        rows = rows.withColumns(absent).select(*READING_KEYS, *names, F.lit(kind).alias("kind"))
+        writers.write_table(rows, path, mode)
     return spark.read.parquet(path)
 
 
 @query
 def sink_facts_partitioned(spark, sf_dir):
+    fact = facts.air_quality_facts(_air(spark, sf_dir), derived=False)
+    return spark.read.parquet(writers.write_partitioned(fact, workspace(spark, "fact")))
+
+
+@query
+def read_months(spark, sf_dir):
+    """A time range of the partitioned table: only the folders of its months are listed."""
     fact = facts.air_quality_facts(_air(spark, sf_dir), derived=False)
     path = writers.write_partitioned(fact, workspace(spark, "fact"))
     return readers.read_months(spark, path, RANGE_START, RANGE_END)
@@ -447,28 +509,27 @@ def sink_facts_partitioned(spark, sf_dir):
 @query
 def sink_harmonized(spark, sf_dir):
     table = harmonize(_air(spark, sf_dir), _weather(spark, sf_dir), _location(spark, sf_dir))
-    path = writers.write_partitioned(table, workspace(spark, "harmonized"))
-    return spark.read.parquet(path).select(*KEYS, "year", "month", "season", "latitude",
-                                           "elevation", "dew_point", "us_aqi")
+    return spark.read.parquet(writers.write_partitioned(table, workspace(spark, "harmonized")))
 
 
 @query
 def layout_clustered(spark, sf_dir):
     fact = facts.weather_facts(_weather(spark, sf_dir), derived=False)
-    path = writers.write_clustered(fact, workspace(spark, "clustered"), "date",
-                                   ["location_key", "severity_key"])
-    return spark.read.parquet(path).filter(
-        F.col("date").between(RANGE_START.date(), RANGE_END.date()))
+    return spark.read.parquet(writers.write_clustered(fact, workspace(spark, "clustered"), "date",
+                                                      ["location_key", "severity_key"]))
 
 
 @query
 def sink_csv(spark, sf_dir):
-    name = writers.range_name("weather", RANGE_START.date(), RANGE_END.date())
-    rows = readers.between(_weather(spark, sf_dir), RANGE_START, RANGE_END)
-    path = writers.write_csv(rows, f"{workspace(spark, 'export')}/{name}", "weather")
+    """All readings, in a folder named by the days they span."""
+    readings = _weather(spark, sf_dir)
+    first, last = readings.agg(F.min(F.to_date("timestamp")), F.max(F.to_date("timestamp"))).first()
+    name = writers.range_name("weather", first, last)
+    path = writers.write_csv(readings, f"{workspace(spark, 'export')}/{name}", "weather")
     columns = ", ".join(["time string", *[f"{m} double" for m in measures_of("weather")],
                          "latitude double", "longitude double"])
-    return spark.read.schema(columns).option("header", True).csv(path)
+    rows = spark.read.schema(columns).option("header", True).csv(path)
+    return rows.withColumn("file_range", F.regexp_extract(F.input_file_name(), r"weather_(\d{8}_\d{8})", 1))
 
 
 @query
@@ -613,24 +674,49 @@ def stream_foreach_batch(spark, sf_dir):
 
 # --- jobs --------------------------------------------------------------------------------------
 
-def _row_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    counts = [spark.read.parquet(path).agg(F.count("*").alias("n_rows"))
-              .select(F.lit(name).alias("table_name"), "n_rows") for name, path in paths.items()]
-    return functools.reduce(DataFrame.union, counts)
+def _arrived(spark, sf_dir, kind):
+    """All readings; of those that share an hour and place the last one observed arrived last."""
+    rows = events.raw_readings(spark, sf_dir, kind).withColumn(ARRIVAL, F.col("observed_at"))
+    return readers.as_readings(rows, kind)
 
 
 @query
 def batch_tables(spark, sf_dir):
-    paths = pipeline.run_batch(
-        *[readers.as_readings(events.raw_readings(spark, sf_dir, kind), kind)
-          for kind in ("air_quality", "weather")],
-        out=workspace(spark, "pipeline"), sites=events.stations(spark, sf_dir))
-    return _row_counts(spark, paths)
+    """The job's tables, found through the manifest of the snapshot it published."""
+    out = workspace(spark, "pipeline")
+    pipeline.run_batch(*[_arrived(spark, sf_dir, kind) for kind in ("air_quality", "weather")],
+                       out=out, sites=events.stations(spark, sf_dir))
+    return _contents({name: table for name, table in snapshots.read(spark, out).items()
+                      if name != pipeline.QUARANTINE})
+
+
+@query
+def batch_quarantine(spark, sf_dir):
+    """Readings of the year 9999 and of no place beside good ones: rows by rule, and rows published."""
+    out, spoilt = workspace(spark, "spoilt"), {}
+    for kind in ("air_quality", "weather"):
+        rows = events.raw_readings(spark, sf_dir, kind).withColumn(ARRIVAL, F.col("observed_at"))
+        far = F.lit("9999-12-31 05:00:00").cast("timestamp")
+        rows = rows.withColumn("timestamp", F.when(F.col("k") == 50, far).otherwise(F.col("timestamp"))).withColumn(
+            "location_key", F.when(F.col("k") != 51, F.col("location_key")))
+        spoilt[kind] = readers.as_readings(rows, kind)
+    pipeline.run_batch(spoilt["air_quality"], spoilt["weather"], out=out, sites=events.stations(spark, sf_dir))
+    tables = snapshots.read(spark, out)
+    held = tables[pipeline.QUARANTINE].groupBy("table", "rule").agg(F.count(F.lit(1)).alias("n_rows"))
+    stored = [tables[name].agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(name).alias("table"), F.lit("published").alias("rule"), "n_rows")
+        for name in (*pipeline.FACTS.values(), pipeline.HARMONIZED)]
+    became = snapshots.manifest(spark, out)["notes"]["readings"]
+    repeats = spark.createDataFrame([(f"raw_{kind}", "repeated", n["repeats"]) for kind, n in became.items()],
+                                    "table string, rule string, n_rows bigint")
+    return functools.reduce(DataFrame.union, [held, repeats, *stored])
 
 
 @query
 def stream_tables(spark, sf_dir):
     out = _run_streams(spark, sf_dir, ["air_quality", "weather"])
-    tables = {f"{folder}{kind}": f"{out}/{folder}{kind}" for kind in ("air_quality", "weather")
-              for folder in ("streaming_", "dead_letter/")}
-    return _row_counts(spark, tables)
+    tables = {}
+    for kind in ("air_quality", "weather"):
+        tables[f"streaming_{kind}"] = spark.read.parquet(f"{out}/streaming_{kind}").drop("batch_id")
+        tables[f"dead_letter/{kind}"] = spark.read.parquet(f"{out}/dead_letter/{kind}").select("original_data", "error")
+    return _contents(tables)
