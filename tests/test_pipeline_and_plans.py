@@ -126,12 +126,13 @@ def test_scan_reads_and_filters_only_what_is_needed(spark, sf_dir):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
 
 
-def test_both_lags_share_one_sort(spark, sf_dir):
+def test_both_lags_share_one_sort_and_no_exchange(spark, sf_dir):
     readings = events.hourly_readings(spark, sf_dir, "air_quality")
     plan = plan_of(facts.air_quality_facts(readings))
     assert plan.count("lag(us_aqi") == 2
     assert len([line for line in plan.splitlines() if "Window [" in line and "lag(us_aqi" in line]) == 1
-    assert "WindowGroupLimit" in plan
+    assert plan.count("Sort [") == 1 and "Exchange" not in plan and "Bucketed: true" in plan
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("breezemart_parts")]
 
 
 def test_small_dimensions_are_broadcast(spark, sf_dir, conf):
