@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from breezemart import lookups
 from breezemart.plans import queries as q
 from breezemart.plans.facts import AIR_FACT_MEASURES, WEATHER_FACT_MEASURES
@@ -446,6 +448,31 @@ def _quarantine() -> str:
     return " union all ".join(parts)
 
 
+_SPLIT = f"timestamp '{q.STREAM_SPLIT}'"
+
+
+def _stream_metrics() -> str:
+    """Steps 0 and 1 hold the readings until the split and after it, step 2 those until it once more."""
+    mark = 'cast((select max("timestamp") from air) as timestamp) - interval 10 minute'
+    kept = ["time_key", "location_key", "status_key", '"timestamp"', *AIR_FACT_MEASURES, *_AIR_EXTRA,
+            "aqi_change_1h", "aqi_change_24h"]
+    lines = []
+    for step, (table, columns, stage) in itertools.product(range(3), [("air", AIR_MEASURES, "pre"),
+                                                                      ("air_fact", kept, "post")]):
+        again = step == 2
+        rows = f'"timestamp" {">" if step == 1 else "<="} {_SPLIT}' + (" and false" if again and stage == "post" else "")
+        late = f'count(*) filter (where "timestamp" < {mark})' if again and stage == "pre" else "0"
+        nulls = " + ".join(f"count(*) filter (where {c} is null)" for c in columns)
+        width = len(columns) + (2 if stage == "post" else 0)  # processing time and batch id are stored too
+        share = _six(f"coalesce(100.0::double * ({nulls}) / nullif(count(*) * {width}, 0), 0)")
+        lines.append(
+            f"select '{step}' as stream_batch, 'air_quality_{stage}' as stream_name, count(*) as record_count, "
+            f"{share} as null_percentage, {late}::bigint as late_count, "
+            f"({f'count(*) - {late}' if again and stage == 'pre' else 0})::bigint as repeat_count, "
+            f"{1 if stage == 'pre' else 0}::bigint as rejected_count from {table} where {rows}")
+    return " union all ".join(lines)
+
+
 def _csv_rejects() -> str:
     kept = f"select {KEY_LIST}, {_single(WEATHER_MEASURES)} from weather_raw where k not between 50 and 53"
     reasons = {"malformed line": 50, "malformed number": 51, "missing timestamp": 52, "missing location": 53}
@@ -598,11 +625,15 @@ select cast(null as timestamp) as "timestamp", cast(null as bigint) as location_
     "stream_source": f"select {_WEATHER_READING} from weather",
     "stream_late_data": f"select {_AIR_READING} from air",
     "stream_facts": f"select {_AIR_FACT}, {_AIR_FACT_EXTRA} from air_fact",
-    "stream_metrics": "select name as stream_name, count(*) as n_records, cast(2 as bigint) as n_batches from "
-                      "weather, (values ('weather_pre'), ('weather_post')) t(name) group by name",
-    "stream_foreach_batch": "select time_key, location_key, condition_key, "
-                            "round(temperature_2m, 6) as temperature_2m, "
-                            "round(temp_change_1h, 6) as temp_change_1h from weather_fact",
+    "stream_metrics": _stream_metrics(),
+    "stream_late_rows": f"""
+select {_WEATHER_READING}, (select max("timestamp") from weather) - interval 10 minute as watermark,
+       '2' as stream_batch from weather
+where "timestamp" <= {_SPLIT} and "timestamp" < (select max("timestamp") from weather) - interval 10 minute""",
+    "stream_foreach_batch": f"select {_WEATHER_FACT}, {_WEATHER_FACT_EXTRA} from weather_fact",
+    "merged_facts": f"""
+select {_AIR_FACT}, {_AIR_FACT_EXTRA} from air_fact union all by name
+select {_WEATHER_FACT}, {_WEATHER_FACT_EXTRA} from weather_fact""",
     "batch_tables": _contents({
         "TimeDim": (f'select "timestamp", {_pick(_CALENDAR)} from stamps', ["timestamp", *_CALENDAR]),
         "LocationDim": (_PLACES, _SITE_COLUMNS),
@@ -616,8 +647,8 @@ select cast(null as timestamp) as "timestamp", cast(null as bigint) as location_
     }),
     "batch_quarantine": _quarantine(),
     "stream_tables": _contents({
-        "streaming_air_quality": ("select * from air_fact", _STORED_AIR),
-        "streaming_weather": ("select * from weather_fact", _STORED_WEATHER),
+        "facts/air_quality": ("select * from air_fact", _STORED_AIR),
+        "facts/weather": ("select * from weather_fact", _STORED_WEATHER),
         **{f"dead_letter/{kind}": ("select 'no JSON' as original_data, 'malformed JSON' as error from range(2)",
                                    ["original_data", "error"]) for kind in ("air_quality", "weather")},
     }),

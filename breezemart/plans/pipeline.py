@@ -215,8 +215,9 @@ def _together(spark: SparkSession, jobs: list[Callable[[], None]]) -> None:
             done.result()
 
 
-def run(mode: str, batch=None, stream=None) -> dict:
-    """Batch, stream or both; batch always finishes first. The parts are callables."""
+def run(mode: str, batch=None, stream=None, merge=None) -> dict:
+    """Batch, stream or both; batch always finishes first, and with both, `merge` puts the streamed rows
+    into the batch's tables last. The parts are callables."""
     if mode not in ("batch", "stream", "both"):
         raise ValueError("mode must be batch, stream or both")
     done = {}
@@ -224,4 +225,6 @@ def run(mode: str, batch=None, stream=None) -> dict:
         done["batch"] = batch()
     if mode in ("stream", "both"):
         done["stream"] = stream()
+    if mode == "both" and merge is not None:
+        done["merged"] = merge()
     return done

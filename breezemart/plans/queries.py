@@ -22,7 +22,7 @@ from breezemart.schemas import ARRIVAL, READING_KEYS, measures_of
 from breezemart.session import pin_utc, staged, workspace
 from breezemart.sources import event_readings as events
 from breezemart.sources import readers, snapshots, writers
-from breezemart.streaming import live, messages, run
+from breezemart.streaming import live, merging, messages, run, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +34,7 @@ RANGE_END = datetime.datetime(2025, 2, 15)
 AXIS_START = datetime.datetime(2023, 12, 30)
 AXIS_END = datetime.datetime(2024, 1, 2)
 STRICT_THRESHOLD = 5.0
+STREAM_SPLIT = datetime.datetime(2024, 9, 1)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -585,27 +586,40 @@ def stream_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def land_messages(readings: DataFrame, kind: str, path: str, resend: bool = False) -> int:
-    """Write readings as message files in two steps by time; returns the files per step.
+def land_messages(steps: list[DataFrame], kind: str, path: str) -> int:
+    """Write readings as message files, a step after the other; returns the files per step.
 
-    Each step also holds one message that is no JSON. With `resend` a third step holds the first
-    step's messages again.
+    Each step also holds one message that is no JSON. File sources go by modification time, so the
+    files of a step are stamped a minute after those of the step before.
     """
-    files = readings.sparkSession.sparkContext.defaultParallelism
-    median = readings.agg(F.percentile_approx("timestamp", 0.5)).first()[0]
-    early = F.col("timestamp") <= F.lit(median)
-    junk = readings.sparkSession.createDataFrame([("no JSON",)], "value string")
-    for part in (early, ~early, early)[:3 if resend else 2]:
-        (writers.messages(readings.filter(part), kind).union(junk).repartition(files)
-         .write.mode("append").option("maxRecordsPerFile", 0).text(path))
-        time.sleep(0.05)  # file sources go by modification time
-    return files
+    spark = steps[0].sparkSession
+    number = spark.sparkContext.defaultParallelism
+    junk = spark.createDataFrame([("no JSON",)], "value string")
+    files, folder = snapshots.file_system(spark, path)
+    start, seen = int(time.time() * 1000) - 3_600_000, set()
+    for step, rows in enumerate(steps):
+        writers.messages(rows, kind).union(junk).repartition(number).write.mode("append").text(path)
+        for status in files.listStatus(folder):
+            file = status.getPath()
+            if file.getName().startswith("part-") and file.getName() not in seen:
+                seen.add(file.getName())
+                files.setTimes(file, start + 60_000 * step, -1)
+    if len(seen) != number * len(steps):
+        raise RuntimeError(f"{len(seen)} message files for {len(steps)} steps of {number}")
+    return number
+
+
+def _in_steps(readings: DataFrame, resend: bool = False) -> list[DataFrame]:
+    """Readings until `STREAM_SPLIT` and those after it; with `resend` the first ones again."""
+    early = F.col("timestamp") <= F.lit(STREAM_SPLIT)
+    parts = [readings.filter(early), readings.filter(~early)]
+    return [*parts, parts[0]] if resend else parts
 
 
 @query
 def stream_source(spark, sf_dir):
     session, out = stream_session(spark), workspace(spark, "source")
-    land_messages(_weather(session, sf_dir), "weather", f"{out}/in")
+    land_messages(_in_steps(_weather(session, sf_dir)), "weather", f"{out}/in")
     raw = messages.read_messages(session, f"{out}/in")
     parsed = messages.accepted(messages.parse_messages(raw, "weather"))
     (parsed.writeStream.format("parquet").option("path", f"{out}/rows")
@@ -618,7 +632,7 @@ def stream_source(spark, sf_dir):
 def stream_late_data(spark, sf_dir):
     """The first half sent again after the watermark passed it: each reading is kept once."""
     session, out = stream_session(spark), workspace(spark, "late")
-    files = land_messages(_air(session, sf_dir), "air_quality", f"{out}/in", resend=True)
+    files = land_messages(_in_steps(_air(session, sf_dir), resend=True), "air_quality", f"{out}/in")
     raw = messages.read_messages(session, f"{out}/in", per_trigger=files)
     kept = live.drop_repeats(messages.accepted(messages.parse_messages(raw, "air_quality")))
     (kept.writeStream.format("parquet").option("path", f"{out}/rows")
@@ -627,49 +641,61 @@ def stream_late_data(spark, sf_dir):
     return spark.read.parquet(f"{out}/rows").select(*READING_KEYS, *measures_of("air_quality"))
 
 
-def _run_streams(spark, sf_dir, kinds):
+def _run_streams(spark, sf_dir, kinds, steps=_in_steps, **options):
+    """One stream over the topics of `kinds`, a step of each in every micro-batch."""
     session, out = stream_session(spark), workspace(spark, "streams")
-    files = {kind: land_messages(events.hourly_readings(session, sf_dir, kind), kind,
-                                 f"{out}/in/{kind}") for kind in kinds}
-    started = run.start_streams(session, {kind: f"{out}/in/{kind}" for kind in kinds}, out,
-                                threshold=10.0, once=True, per_trigger=max(files.values()))
-    for one in started.values():
-        one.awaitTermination()
+    files = [land_messages(steps(events.hourly_readings(session, sf_dir, kind)), kind, f"{out}/in/{kind}")
+             for kind in kinds]
+    run.start_streams(session, {kind: f"{out}/in/{kind}" for kind in kinds}, out, threshold=10.0, once=True,
+                      per_trigger=sum(files), **options).awaitTermination()
     return out
 
 
+def _stream_table(spark, out, name):
+    return store.read(spark, out, name).drop("date", *RUN_COLUMNS)
+
+
 @query
 def stream_facts(spark, sf_dir):
-    """Facts from two micro-batches; changes reach back into the earlier one."""
-    out = _run_streams(spark, sf_dir, ["air_quality"])
-    columns = facts.air_quality_facts(_air(spark, sf_dir)).columns
-    return spark.read.parquet(f"{out}/streaming_air_quality").select(*columns)
+    """Facts from two micro-batches, the second full of rows between those of the first: changes of rows
+    that are stored already are written again."""
+    def shuffled(readings):
+        held_back = F.hour("timestamp") % 5 == 3
+        return [readings.filter(~held_back), readings.filter(held_back)]
+
+    out = _run_streams(spark, sf_dir, ["air_quality"], shuffled, delay=datetime.timedelta(days=1000))
+    return _stream_table(spark, out, "facts/air_quality")
 
 
 @query
 def stream_metrics(spark, sf_dir):
-    out = _run_streams(spark, sf_dir, ["weather"])
-    table = spark.read.parquet(f"{out}/metrics/weather")
-    return table.groupBy("stream_name").agg(F.sum("record_count").alias("n_records"),
-                                            F.count("*").alias("n_batches"))
+    """Counts and null shares of each micro-batch before and after; the third is late throughout."""
+    out = _run_streams(spark, sf_dir, ["air_quality"], lambda rows: _in_steps(rows, resend=True))
+    return store.read(spark, out, "metrics").drop("processing_time", "records_per_second")
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """The readings that came after the watermark, with the watermark they missed."""
+    out = _run_streams(spark, sf_dir, ["weather"], lambda rows: _in_steps(rows, resend=True))
+    return store.read(spark, out, "late/weather").drop(ARRIVAL)
 
 
 @query
 def stream_foreach_batch(spark, sf_dir):
     """The same micro-batch handed in twice is stored once."""
     session, out = stream_session(spark), workspace(spark, "replay")
-    files = land_messages(_weather(session, sf_dir), "weather", f"{out}/in")
-    process = run.batch_processor(out, "weather", "replay", threshold=10.0)
+    topics = {"weather": f"{out}/in/weather"}
+    files = land_messages(_in_steps(_weather(session, sf_dir)), "weather", topics["weather"])
+    process = run.batch_processor(out, ["weather"], "replay", lambda _: "replayed", threshold=10.0)
 
     def twice(batch: DataFrame, batch_id: int) -> None:
         process(batch, batch_id)
         process(batch, batch_id)
 
-    raw = messages.read_messages(session, f"{out}/in", per_trigger=files)
-    run.start_query(run.live_readings(raw, "weather"), twice, "replay", f"{out}/checkpoint",
-                    once=True).awaitTermination()
-    return spark.read.parquet(f"{out}/streaming_weather").select(
-        "time_key", "location_key", "condition_key", "temperature_2m", "temp_change_1h")
+    parsed = messages.parse_topics(messages.read_topics(session, topics, per_trigger=files), topics)
+    run.start_query(parsed, twice, "replay", f"{out}/checkpoint", once=True).awaitTermination()
+    return _stream_table(spark, out, "facts/weather")
 
 
 # --- jobs --------------------------------------------------------------------------------------
@@ -714,9 +740,26 @@ def batch_quarantine(spark, sf_dir):
 
 @query
 def stream_tables(spark, sf_dir):
+    """Both topics in one stream: the contents of every table it stored."""
     out = _run_streams(spark, sf_dir, ["air_quality", "weather"])
-    tables = {}
-    for kind in ("air_quality", "weather"):
-        tables[f"streaming_{kind}"] = spark.read.parquet(f"{out}/streaming_{kind}").drop("batch_id")
-        tables[f"dead_letter/{kind}"] = spark.read.parquet(f"{out}/dead_letter/{kind}").select("original_data", "error")
-    return _contents(tables)
+    names = [f"{table}/{kind}" for kind in ("air_quality", "weather") for table in ("facts", "dead_letter")]
+    return _contents({name: _stream_table(spark, out, name).drop("timestamp" if "dead" in name else "")
+                      for name in names})
+
+
+@query
+def merged_facts(spark, sf_dir):
+    """History from the batch job, the days after `STREAM_SPLIT` from the stream: both in one table."""
+    out = workspace(spark, "both")
+    session = stream_session(spark)
+    topics = {kind: f"{out}/in/{kind}" for kind in ("air_quality", "weather")}
+    files = [land_messages(_in_steps(events.hourly_readings(session, sf_dir, kind)), kind, place)
+             for kind, place in topics.items()]
+    history = [events.hourly_readings(spark, sf_dir, kind).filter(F.col("timestamp") <= F.lit(STREAM_SPLIT))
+               for kind in topics]
+    done = pipeline.run(
+        "both", lambda: pipeline.run_batch(*history, out=f"{out}/mart", sites=events.stations(spark, sf_dir)),
+        lambda: run.start_streams(session, topics, f"{out}/live", once=True, per_trigger=sum(files)).awaitTermination(),
+        lambda: merging.merge_facts(spark, f"{out}/mart", f"{out}/live", f"{out}/facts"))
+    facts_of = [spark.read.parquet(path).drop("date", "year", "month", *RUN_COLUMNS) for path in done["merged"].values()]
+    return facts_of[0].unionByName(facts_of[1], allowMissingColumns=True)

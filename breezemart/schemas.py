@@ -62,3 +62,13 @@ def envelope_schema(kind: str) -> T.StructType:
     if kind == "weather":
         schema.add("hourly_forecast", T.StructType().add("time_series", T.ArrayType(point)))
     return schema.add(CORRUPT, T.StringType())
+
+
+def any_envelope_schema() -> T.StructType:
+    """One envelope for messages of every kind: the measures of all of them."""
+    names = dict.fromkeys(name for kind in MEASURES for name in MEASURES[kind])
+    schema = envelope_schema("air_quality")
+    point = T.StructType().add("timestamp", T.StringType()).add(
+        "values", T.StructType([T.StructField(name, T.DoubleType()) for name in names]))
+    return T.StructType([T.StructField("current_conditions", point) if f.name == "current_conditions" else f
+                         for f in schema.fields])

@@ -89,13 +89,15 @@ def _rename(spark: SparkSession, source: str, target: str) -> bool:
 
 
 def publish(spark: SparkSession, root: str, run: str, tables: dict[str, str], notes: dict | None = None,
-            keep: int = KEEP) -> int:
+            keep: int = KEEP, drop: list[str] | None = None) -> int:
     """Make `tables` (name to path below `root`) what readers get; returns the snapshot's number.
 
-    Tables of the snapshot before that `tables` does not name are carried over. `keep` snapshots stay.
+    Tables of the snapshot before that `tables` does not name are carried over, but for those in
+    `drop`. `keep` snapshots stay.
     """
     known = versions(spark, root)
     before = manifest(spark, root, known[-1])["tables"] if known else {}
+    before = {name: path for name, path in before.items() if name not in (drop or ())}
     number = known[-1] + 1 if known else 1
     prefix = f"{root.rstrip('/')}/"
     own = {name: path.removeprefix(prefix) for name, path in tables.items()}

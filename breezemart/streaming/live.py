@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import datetime
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from breezemart.operators.merge import latest_per_key
 from breezemart.plans.facts import LAG_STEPS, LAGGED
+from breezemart.plans.harmonized import KEYS
 
-STATE = "nanos array<bigint>, held array<double>"  # numbers know no local time
+DEPTH = max(LAG_STEPS.values())
 
 
 def drop_repeats(readings: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -21,37 +20,49 @@ def drop_repeats(readings: DataFrame, delay: str = "10 minutes") -> DataFrame:
             .dropDuplicatesWithinWatermark(["location_key", "timestamp"]))
 
 
-def with_previous(readings: DataFrame, kind: str) -> DataFrame:
-    """Add the values 1 and 24 rows back per location, across micro-batches.
+def _stamp(watermark: datetime.datetime):
+    return F.lit(watermark.isoformat(sep=" ")).cast("timestamp")
 
-    The state of a location is its last 24 readings, so a micro-batch touches only the locations
-    it holds and the history table is never read. One group sees at most the records of one
-    trigger, which the source caps. A row that comes late is placed by its time among what the
-    state still holds; the nightly batch build is the authority.
+
+def late_rows(readings: DataFrame, watermark: datetime.datetime | None) -> DataFrame:
+    """Readings that come after the watermark passed their time."""
+    return readings.where(F.lit(False) if watermark is None else F.col("timestamp") < _stamp(watermark))
+
+
+def with_history(readings: DataFrame, history: DataFrame | None, kind: str,
+                 watermark: datetime.datetime | None) -> DataFrame:
+    """A micro-batch's readings that are in time, and the row history, by station and time together.
+
+    `history` is what `kept_history` left: of every station the rows the watermark has not passed and
+    the 24 before them. Readings that history holds already are left out, of readings that share a
+    place and time one stays. Adds the values 1 and 24 rows back, `_new`, and `_emit`: whether the row
+    is new, or an open one whose earlier rows have changed because a reading came late between them.
+
+    A station's window holds its history and what one trigger brings of it; the source bounds that.
     """
-    value = LAGGED[kind]
-    depth = max(LAG_STEPS.values())
-    output = T.StructType([*readings.schema.fields,
-                           *[T.StructField(name, T.DoubleType()) for name in LAG_STEPS]])
-
-    def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(parts), ignore_index=True)
-        new["timestamp"] = new["timestamp"].astype("datetime64[ns]")
-        nanos, held = state.get if state.exists else ([], [])
-        past = pd.DataFrame({"timestamp": pd.Series(nanos, dtype="int64").astype("datetime64[ns]"),
-                             value: pd.Series(held, dtype="float64")})
-        known = pd.concat([past[["timestamp", value]], new[["timestamp", value]].astype(
-            {value: "float64"})], keys=["past", "new"]).sort_values("timestamp", kind="stable")
-        for name, back in LAG_STEPS.items():
-            new[name] = known[value].shift(back).loc["new"]
-        kept = known.tail(depth)
-        state.update((
-            kept["timestamp"].astype("int64").tolist(),
-            [None if pd.isna(v) else float(v) for v in kept[value]],
-        ))
-        yield new
-
-    lagged = readings.groupBy("location_key").applyInPandasWithState(
-        step, output, STATE, "append", GroupStateTimeout.NoTimeout)
-    own_type = readings.schema[value].dataType
-    return lagged.withColumns({name: F.col(name).cast(own_type) for name in LAG_STEPS})
+    in_time = readings if watermark is None else readings.where(F.col("timestamp") >= _stamp(watermark))
+    new = latest_per_key(in_time, KEYS, []).withColumn("_new", F.lit(True))
+    steps = {name: f"_old{name}" for name in LAG_STEPS}
+    if history is not None:
+        new = new.join(history.select(*KEYS), KEYS, "left_anti")
+        past = history.withColumnsRenamed(steps).withColumn("_new", F.lit(False))
+        rows = new.unionByName(past, allowMissingColumns=True)
+    else:
+        kind_of_lag = readings.schema[LAGGED[kind]].dataType
+        rows = new.withColumns({old: F.lit(None).cast(kind_of_lag) for old in steps.values()})
+    by_time = Window.partitionBy("location_key").orderBy("timestamp")
+    rows = rows.withColumns({name: F.lag(LAGGED[kind], back).over(by_time) for name, back in LAG_STEPS.items()})
+    moved = F.lit(False)
+    for name, old in steps.items():
+        moved = moved | ~F.col(name).eqNullSafe(F.col(old))
+    still_open = F.lit(True) if watermark is None else F.col("timestamp") >= _stamp(watermark)
+    return rows.withColumn("_emit", F.col("_new") | (still_open & moved)).drop(*steps.values())
+
+
+def kept_history(rows: DataFrame, watermark: datetime.datetime) -> DataFrame:
+    """What the next micro-batch needs of `with_history`: rows the new watermark has not passed, and of
+    each station the 24 newest it has passed."""
+    past = F.col("timestamp") < _stamp(watermark)
+    newest = Window.partitionBy("location_key", past).orderBy(F.desc("timestamp"))
+    return (rows.withColumn("_back", F.row_number().over(newest)).where(~past | (F.col("_back") <= DEPTH))
+            .drop("_back", "_new", "_emit"))

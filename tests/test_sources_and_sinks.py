@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from breezemart.operators import arrays
 from breezemart.schemas import AIR_MEASURES, WEATHER_MEASURES
+from breezemart.schemas import measures_of
 from breezemart.session import build_session, scan_bytes, shuffle_partitions, workspace
 from breezemart.sources import readers, writers
 from breezemart.streaming import messages
@@ -67,10 +68,11 @@ def test_parse_tells_why_a_message_is_rejected(spark):
     assert [r.original_data for r in letters] == texts[1:]
 
 
-def test_kind_of_topic_and_columns():
-    topics = {"air_quality": "a", "weather": "w"}
-    assert messages.kind_of_topic("a", topics) == "air_quality"
-    assert messages.kind_of_topic("other", topics) == "weather"
+def test_kind_of_topic_and_columns(spark):
+    topics = {"air_quality": "in/a", "weather": "in/w"}
+    rows = spark.createDataFrame([("a",), ("w",), ("other",)], "topic string")
+    kinds = rows.select(messages.kind_of_topic(topics).alias("kind")).collect()
+    assert [r.kind for r in kinds] == ["air_quality", "weather", "weather"]
     assert messages.detect_kind(["timestamp", "us_aqi"]) == ("air_quality", ["pm2_5"])
     assert messages.detect_kind(["weather_code"]) == ("weather", ["timestamp", "temperature_2m"])
 
@@ -198,3 +200,26 @@ def test_shuffle_partitions_follow_the_input():
     assert shuffle_partitions(100 * 2**40) == 32_768 and scan_bytes(10) == 128 * 2**20
     assert 100 * 2**40 / scan_bytes(100 * 2**40) <= 100_000
     assert build_session().conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_accepted_and_rejected_lines_are_all_lines(spark, tmp_path):
+    names = measures_of("air_quality")
+    header = ",".join(["time", *names, "latitude", "longitude"])
+    good = "2025-01-19T21:00:00," + ",".join(["1.5"] * 9) + ",55.0,40.0,2.0"
+    lines = {
+        good: None, good.replace("55.0", ""): None, good.replace("40.0", "41"): None,
+        good + ",9": "malformed line", good.rsplit(",", 3)[0]: "malformed line", "": None,
+        good.replace("1.5", "x", 1): "malformed number", good.replace("55.0", "many"): "malformed number",
+        good.replace("2025-01-19T21", "soon"): "missing timestamp", good.replace("2025-01-19T21:00:00", ""): "missing timestamp",
+        good.replace("40.0", ""): "missing location"}
+    (tmp_path / "csv").mkdir()
+    for k in range(2):
+        (tmp_path / "csv" / f"{k}.csv").write_text("\n".join([header, *lines]) + "\n")
+    accepted, rejected = readers.read_csv_checked(spark, str(tmp_path / "csv"), "air_quality")
+    found = rejected.collect()
+    assert accepted.count() == 6 and len(found) == 14  # blank lines are none
+    assert {(r.original_data, r.error) for r in found} == {(text, error) for text, error in lines.items() if error}
+    assert {r.file_path.rsplit("/", 1)[1] for r in found} == {"0.csv", "1.csv"}
+    assert sorted(r.us_aqi or 0 for r in accepted.collect()) == [0, 0, 55, 55, 55, 55]
+    here, _ = readers.read_csv_checked(spark, str(tmp_path / "csv"), "air_quality")
+    assert here.columns == readers.read_csv_history(spark, str(tmp_path / "csv"), "air_quality").columns
