@@ -66,8 +66,8 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return toxicity.toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    texts = toxicity.prepared(table(spark, sf_dir, "documents"))
+    return toxicity.toxicity(texts, toxicity.fit(texts, table(spark, sf_dir, "labels")))
 
 
 @query

@@ -1,140 +1,24 @@
-"""Toxicity by class-conditional Kneser-Ney models over words.
+"""Toxicity by class-conditional Kneser-Ney models over code points (`char_grams`).
 
-`fit` and `toxicity` work on the word grams of `word_grams`. The functions over folded UTF-8 symbols
-(up to `features`) enter no result any more; only tests of theirs call them.
+A text's score comes from the difference of its log-likelihoods in a toxic and an ordinary model, per
+code point, of the whole text and of its most toxic passage, through a logistic function.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from breezemart.llm import word_grams
+from breezemart.llm import char_grams
+from breezemart.llm.char_grams import Texts
 from breezemart.llm.shared import staged
 
-BITS, ORDER, DISCOUNT = 5, 5, 0.75
-#: Symbols of the passage whose ratio counts beside that of the whole text.
-PASSAGE = 48
-#: Symbols handled at once, and labelled rows that the two-weight calibration is fitted on at most.
-SLICE, CALIBRATION_ROWS = 2_000_000, 50_000
-
-
-def _alphabet() -> np.ndarray:
-    """32 symbols for the 256 bytes: white space and controls, a-z without case, digits, other ASCII,
-    first bytes of longer characters, and their further bytes by parity."""
-    codes = np.zeros(256, np.int32)
-    codes[33:127] = 28
-    for i in range(26):
-        codes[97 + i] = codes[65 + i] = 1 + i
-    codes[48:58] = 27
-    codes[192:] = 29
-    codes[128:192] = 30 + np.arange(64) % 2
-    return codes
-
-
-ALPHABET = _alphabet()
-
-
-def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the `ORDER` symbols that end at each byte of each text (blanks before it), and the
-    starts of the texts among them, with the end."""
-    pad = b" " * (ORDER - 1)
-    symbols = ALPHABET[np.frombuffer(pad + pad.join(texts), np.uint8)]
-    codes = np.zeros(max(0, len(symbols) - ORDER + 1), np.int32)
-    for k in range(ORDER):
-        codes <<= BITS
-        codes |= symbols[k:k + len(codes)]
-    lengths = np.array([len(t) for t in texts])
-    starts = np.concatenate([[0], np.cumsum(lengths)])
-    own = np.ones(len(codes), bool)
-    gaps = (starts[1:-1] + (ORDER - 1) * np.arange(len(texts) - 1))[:, None] + np.arange(ORDER - 1)
-    own[gaps.ravel()] = False
-    return codes[own], starts
-
-
-def slices(texts: list[bytes]) -> Iterator[slice]:
-    """Runs of texts of about `SLICE` symbols; a longer text is a run of its own."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > SLICE:
-            yield slice(start, i)
-            start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield slice(start, len(texts))
-
-
-def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    codes = np.concatenate([c for c, _ in parts])
-    found, back = np.unique(codes, return_inverse=True)
-    return found, np.bincount(back, np.concatenate([n for _, n in parts]), len(found)).astype(np.int64)
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts: dict[int, list] = {0: [], 1: []}
-    for batch in batches:
-        toxic = batch.column(0).to_numpy(zero_copy_only=False)
-        texts = batch.column(1).cast(pa.binary()).to_pylist()
-        for label, kept in parts.items():
-            own = [t for t, y in zip(texts, toxic) if y == label and t]
-            for run in slices(own):
-                kept.append(np.unique(grams(own[run])[0], return_counts=True))
-                if len(kept) > 16:
-                    parts[label][:] = [_merge(kept)]
-    for label, kept in parts.items():
-        if kept:
-            codes, n = _merge(kept)
-            zero = np.zeros(len(n), np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(codes, pa.int32()), pa.array(zero if label else n), pa.array(n if label else zero)],
-                names=["gram", "ordinary", "toxic"])
-
-
-def count_grams(labelled: DataFrame) -> DataFrame:
-    """gram, ordinary, toxic: how often each gram stands in the texts of either class."""
-    counts = labelled.select(F.col("toxic").cast("int"), F.col("text").cast("string")).mapInArrow(
-        _count, "gram int, ordinary long, toxic long")
-    return counts.groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-
-
-def _within(codes: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Sums of `values` per context (all symbols but the last), spread to its grams; codes ascend."""
-    starts = np.flatnonzero(np.diff(codes >> BITS, prepend=-1))
-    return np.repeat(np.add.reduceat(values, starts), np.diff(starts, append=len(codes)))
-
-
-def kneser_ney(codes: np.ndarray, counts: np.ndarray, order: int) -> np.ndarray:
-    """Interpolated Kneser-Ney probability of the last symbol of each gram; below the highest order
-    a gram counts the different symbols seen before it."""
-    if order == 1:
-        return (counts + 0.5) / (counts.sum() + 0.5 * 2**BITS)
-    lower, back, kinds = np.unique(codes & (2 ** (BITS * (order - 1)) - 1), return_inverse=True, return_counts=True)
-    below = kneser_ney(lower, kinds, order - 1)[back]
-    types = _within(codes, np.ones(len(codes)))
-    return (np.maximum(counts - DISCOUNT, 0) + DISCOUNT * types * below) / _within(codes, counts)
-
-
-def features(table: np.ndarray, texts: list[bytes]) -> np.ndarray:
-    """Per text the log ratio per symbol, and that of its most toxic passage of `PASSAGE` symbols
-    (a shorter text is filled up with neutral ones); zeros for an empty text."""
-    out = np.zeros((len(texts), 2))
-    for run in slices(texts):
-        codes, starts = grams(texts[run])
-        sums = np.concatenate([[0.0], np.cumsum(table[codes], dtype=np.float64)])
-        lengths = np.diff(starts)
-        held = np.flatnonzero(lengths)
-        if not len(held):
-            continue
-        first = np.repeat(starts[:-1], lengths)
-        passage = sums[1:] - sums[np.maximum(np.arange(1, len(sums)) - PASSAGE, first)]
-        rows = np.arange(run.start, run.stop)[held]
-        out[rows, 0] = (sums[starts[1:]] - sums[starts[:-1]])[held] / lengths[held]
-        out[rows, 1] = np.maximum(np.maximum.reduceat(passage, starts[:-1][held]), 0) / PASSAGE
-    return out
+#: Labelled rows that the logistic weights are fitted on at most.
+CALIBRATION_ROWS = 50_000
+#: Weights of whole, peak and constant where the labels of fold 4, or of folds 1 to 3, lack a class and
+#: nothing can be fitted: a text is toxic if its log ratio per code point is above zero.
+UNFITTED = [10.0, 0.0, 0.0]
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> np.ndarray:
@@ -164,53 +48,53 @@ def fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 5
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
+def prepared(docs: DataFrame, carry: list[str] = ()) -> Texts:
+    """The texts of `docs` (doc_id, text) and the columns of `carry`, written once for `fit` and `toxicity`."""
+    others = {f"carry_{c}": F.col(c) for c in carry if c != "text"}
+    texts = char_grams.chunked(docs, {"doc_id": F.col("doc_id"), **others})
+    return Texts(texts.table, [*texts.carried, *(["_text"] if "text" in carry else [])])
+
+
+def fit(texts: Texts, labels: DataFrame) -> Model:
     """Learn from the labelled rows of folds 1 to 4 (crc32 of doc_id modulo 5).
 
     The logistic weights of the two ratios are fitted on fold 4 with counts of folds 1 to 3, on at most
     `CALIBRATION_ROWS` rows by the order of a hash of doc_id; the ratios kept then come from the counts of
     every labelled row of folds 1 to 4. A doc_id with several labels is toxic if any says so; rows without
-    a label or a text teach nothing.
+    a label or a text teach nothing. Labels meet the rows' numbers, not their texts.
     """
     known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id")
              .agg(F.max("toxic").alias("toxic")).where(fold(F.col("doc_id")) != 0))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).where(
-        (F.length("text") > 0) & (fold(F.col("doc_id")) != 0))
-
-    def of(learnt: Column) -> DataFrame:
-        # the same plan at every size: labels grow with the documents, so neither side is broadcast
-        return rows.where(learnt).join(known.where(learnt).hint("merge"), "doc_id")
-
-    later = fold(F.col("doc_id")) == 4
-    counts = staged(word_grams.count(of(F.lit(True)).select("toxic", later.alias("later"), "text")), "word-grams")
+    later = (fold(F.col("doc_id")) == 4).cast("int")
+    cells = staged(texts.table.select("_chunk", "_row", "doc_id").join(known, "doc_id").select(
+        "_chunk", "_row", "doc_id", "toxic", (F.col("toxic") + 2 * later).cast("int").alias("cell")), "cells")
+    counts = char_grams.count(texts, cells.select("_chunk", "_row", "cell"))
     n0, n1, n2, n3 = (bool(x) for x in counts.agg(*[F.sum(f"n{i}") for i in range(4)]).first())
     if not n0 + n2 or not n1 + n3:
         return Model(None, None, float(n1 + n3 > 0))
-    weights = [0.0, 1.6, -9.0]
+    weights = UNFITTED
     if n0 and n1 and n2 and n3:
-        early = word_grams.ratios(counts, F.col("n0"), F.col("n1"))
-        seen = (word_grams.scored(of(later).select("doc_id", "toxic", "text"), early)
-                .orderBy(F.xxhash64("doc_id"), "doc_id", "whole").limit(CALIBRATION_ROWS).toPandas())
+        early = char_grams.ratios(counts, F.col("n0"), F.col("n1"))
+        chosen = staged(cells.where("cell >= 2").orderBy(F.xxhash64("doc_id"), "doc_id", "_chunk", "_row")
+                        .limit(CALIBRATION_ROWS).select("_chunk", "_row", "toxic"), "calibration")
+        seen = char_grams.scored(char_grams.subset(texts, chosen), early).toPandas()
         weights = calibrate(seen[["whole", "peak"]].to_numpy(), seen["toxic"].to_numpy(float)).tolist()
-    return Model(word_grams.ratios(counts, F.col("n0") + F.col("n2"), F.col("n1") + F.col("n3")), weights, 0.0)
+    return Model(char_grams.ratios(counts, F.col("n0") + F.col("n2"), F.col("n1") + F.col("n3")), weights, 0.0)
 
 
-def toxicity(docs: DataFrame, model: Model, carry: list[str] = ()) -> DataFrame:
-    """Every row of `docs` (doc_id, text) with held_out, score, predicted and the columns of `carry`.
+def toxicity(texts: Texts, model: Model) -> DataFrame:
+    """Every row of `texts` with doc_id, held_out, score, predicted and the carried columns.
 
-    Only the text enters the score: the log-likelihood ratio of the toxic and the ordinary model per word of the text and that of its most toxic word,
-    each word read with the two before it. A null or empty text has
-    ratio 0 and so the score of the constant alone. A null doc_id is not held out. Without labelled
-    rows of both classes all scores are 0, or 1 if only toxic ones are known. An empty table
-    gives no rows.
+    Only the text enters the score: the log-likelihood ratio of the toxic and the ordinary model per code
+    point, and that of its most toxic passage. A null or empty text has ratio 0 and so the score of the
+    constant alone. A null doc_id is not held out. Without labelled rows of both classes all scores are
+    0, or 1 if only toxic ones are known. An empty table gives no rows.
     """
-    kept = [F.col(c).alias(f"carry_{c}") for c in carry]
-    rows = docs.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
-                       *kept, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-
+    carried = [c for c in texts.carried if c != "doc_id"]
     if model.weights is None:
-        found = rows.withColumn("score", F.lit(model.prior))
+        found = texts.table.withColumn("score", F.lit(model.prior))
     else:
-        found = word_grams.scored(rows, model.table).withColumn("score", model.score())
-    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
-                        *[F.col(f"carry_{c}").alias(c) for c in carry])
+        found = char_grams.scored(texts, model.table).withColumn("score", model.score())
+    return found.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                        *[F.col(c).alias("text" if c == "_text" else c.removeprefix("carry_")) for c in carried])

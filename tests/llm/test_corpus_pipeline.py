@@ -16,8 +16,9 @@ def test_stages(spark, sf_dir):
     raw, civil, single, apart, mixed, packed = (f.collect() for f in seen)
     assert all(f.columns == docs.columns for f in seen[:-1])
 
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    rejected = {r.doc_id for r in toxicity.toxicity(docs, model).collect() if r.predicted}
+    texts = toxicity.prepared(docs)
+    model = toxicity.fit(texts, table(spark, sf_dir, "labels"))
+    rejected = {r.doc_id for r in toxicity.toxicity(texts, model).collect() if r.predicted}
     assert set(civil) == {r for r in raw if r.doc_id not in rejected}
 
     last = {}

@@ -3,7 +3,6 @@
 import math
 import random
 import zlib
-from collections import Counter
 
 import numpy as np
 import pytest
@@ -29,7 +28,8 @@ def test_held_out_rows(spark):
     rows = corpus()
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(3)
     labels = spark.createDataFrame([(r[0], 1, r[2]) for r in rows], "doc_id long, quality int, toxic int")
-    found = {r.doc_id: r for r in tox.toxicity(docs, tox.fit(docs, labels)).collect()}
+    texts = tox.prepared(docs)
+    found = {r.doc_id: r for r in tox.toxicity(texts, tox.fit(texts, labels)).collect()}
     for i, _, label in rows:
         assert found[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
         assert 0 <= found[i].score <= 1 and found[i].predicted == int(found[i].score >= 0.5)
@@ -37,49 +37,41 @@ def test_held_out_rows(spark):
     assert np.mean([p == y for p, y in held]) > 0.95
 
     swapped = [(i, 1, 1 - y if zlib.crc32(str(i).encode()) % 5 == 0 else y) for i, _, y in rows]
-    again = tox.fit(docs, spark.createDataFrame(swapped, "doc_id long, quality int, toxic int"))
-    assert {r.doc_id: r.score for r in tox.toxicity(docs, again).collect()} == {
+    again = tox.fit(texts, spark.createDataFrame(swapped, "doc_id long, quality int, toxic int"))
+    assert {r.doc_id: r.score for r in tox.toxicity(texts, again).collect()} == {
         i: r.score for i, r in found.items()}
 
 
-def test_grams_and_counts(spark):
-    rows = [("ab é9!", 0), ("", 0), ("Ab é9!", 1), ("x" * 50, 1)]
-    docs = spark.createDataFrame(rows, "text string, toxic int")
-    found = {r.gram: (r.ordinary, r.toxic) for r in tox.count_grams(docs).collect()}
-    want = Counter()
-    for text, y in rows:
-        codes = [0] * (tox.ORDER - 1) + [int(tox.ALPHABET[b]) for b in text.encode()]
-        for k in range(len(codes) - tox.ORDER + 1):
-            want[sum(c << tox.BITS * (tox.ORDER - 1 - j) for j, c in enumerate(codes[k:k + tox.ORDER])), y] += 1
-    assert found == {g: (want[g, 0], want[g, 1]) for g, _ in want}
+#: Toxic and harmless words that differ in letters of one script, digits, marks or accents only.
+PAIRS = {"cyrillic": ("абвг", "вгаб"), "digits": ("zor9", "zor4"), "marks": ("zo$r", "zo!r"),
+         "accents": ("zorà", "zorê"), "cjk": ("一丂丄", "丄一丂")}
 
 
-def test_probabilities_of_a_context_sum_to_one():
-    rng = np.random.default_rng(1)
-    codes = np.unique(rng.integers(0, 2**25, 4000) & 0b0001100011000110001100011)
-    counts = rng.integers(1, 9, len(codes))
-    for context in np.unique(codes >> 5)[:20]:
-        own = codes >> 5 == context
-        p = tox.kneser_ney(codes, counts, tox.ORDER)[own].sum()
-        assert 0.5 < p <= 1 + 1e-9
+def test_words_that_differ_little(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(600):
+        toxic = int(rng.random() < 0.4)
+        text = [rng.choice(["table", "river", "stone", "walk"]) for _ in range(rng.randint(5, 30))]
+        for bad, calm in PAIRS.values():
+            text[rng.randrange(len(text)):0] = [bad if toxic else calm]
+        rows.append((i, " ".join(text), toxic))
+    texts = tox.prepared(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(3))
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    found = {r.doc_id: r for r in tox.toxicity(texts, tox.fit(texts, labels)).collect()}
+    assert len(found) == len(rows)
+    assert np.mean([found[i].predicted == y for i, _, y in rows if found[i].held_out]) > 0.95
 
 
 def test_odd_rows(spark, edge, empty):
     labels = spark.createDataFrame([(1, 0), (5, 1), (6, None), (None, 1), (7, 3)], "doc_id long, toxic int")
     none = spark.createDataFrame([], "doc_id long, toxic int")
+    texts, nothing = tox.prepared(edge, ["run", "size", "text"]), tox.prepared(empty)
     for known in (labels, none):
-        model = tox.fit(edge, known)
-        rows = tox.toxicity(edge, model, ["run", "size"]).collect()
-        assert len(rows) == edge.count() and all(0 <= r.score <= 1 and not math.isnan(r.score) for r in rows)
+        model = tox.fit(texts, known)
+        rows = tox.toxicity(texts, model).collect()
+        assert sorted(map(str, [(r.doc_id, r.run, r["size"], r.text) for r in rows])) == sorted(
+            map(str, [(r.doc_id, r.run, r["size"], r.text) for r in edge.collect()]))
+        assert all(0 <= r.score <= 1 and not math.isnan(r.score) for r in rows)
         assert len({r.score for r in rows if r.doc_id in (3, 4)}) == 1
-        assert tox.toxicity(empty, model).count() == 0
-
-
-def test_features_do_not_depend_on_the_cut(monkeypatch):
-    rng = random.Random(8)
-    texts = ["".join(rng.choice("abc d") for _ in range(rng.choice([0, 1, 30, 400]))).encode() for _ in range(60)]
-    table = np.random.default_rng(0).standard_normal(2**25).astype(np.float32)
-    whole = tox.features(table, texts)
-    monkeypatch.setattr(tox, "SLICE", 300)
-    assert tox.features(table, texts) == pytest.approx(whole)
-    assert np.concatenate([tox.features(table, [t]) for t in texts]) == pytest.approx(whole)
+        assert tox.toxicity(nothing, model).count() == 0
