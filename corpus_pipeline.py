@@ -15,8 +15,9 @@ def _rest(docs: DataFrame) -> list[str]:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity score, learnt from the labelled ones among `docs`, rejects go."""
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.toxicity(docs, model, _rest(docs)).where("predicted = 0").select(*docs.columns)
+    texts = toxicity.prepared(docs, _rest(docs))
+    model = toxicity.fit(texts, table(spark, sf_dir, "labels"))
+    return toxicity.toxicity(texts, model).where("predicted = 0").select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
