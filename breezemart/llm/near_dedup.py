@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from breezemart.llm.components import components
-from breezemart.llm.shared import staged
+from breezemart.llm.shared import sieved, staged
 
 WORDS, LEAST = 5, 0.8
 #: 25 bands of 5 registers miss a pair of similarity 0.8 with probability (1 - 0.8^5)^25 = 5e-5.
@@ -293,6 +293,7 @@ def near_dedup(docs: DataFrame, least: float = LEAST, carry: list[str] = ()) ->
     wanted = staged(members.select("class").distinct().join(nodes, "class").select(
         F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("class"), "bands", F.col("digest").alias("_digest")), "wanted")
     texts = docs.select("doc_id", F.xxhash64(text).alias("mark"), text.alias("text"))
+    texts = sieved(texts, F.xxhash64("doc_id", "mark"), wanted, F.xxhash64("_id", "_mark"))
     own = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))).select("text")
     shapes = own.mapInArrow(_vectors, "digest binary, items binary, counts binary").groupBy("digest").agg(
         F.first("items").alias("items"), F.first("counts").alias("counts"))

@@ -44,6 +44,32 @@ def remove(spark: SparkSession, path: str) -> None:
     found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
 
 
+#: Bits of a sieve for each wanted key, and words of 64 bits at most: a sieve is broadcast.
+SIEVE_BITS, SIEVE_WORDS = 16, 2**20
+
+
+def sieved(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """The rows whose `key` (a long hash) may be among those of `wanted`, and about one in 16 others.
+
+    A bit is set for each wanted key. The words that hold any are broadcast: `SIEVE_WORDS` at most,
+    whatever the size of `wanted`. Above four million keys the sieve lets more through, in the end
+    everything; the join that follows is what decides, so nothing depends on it but how much moves.
+    """
+    words = min(SIEVE_WORDS, max(1, -(-wanted.count() * SIEVE_BITS // 64)))
+
+    def word(of: Column) -> Column:
+        return F.pmod(F.shiftright(of, 6), F.lit(words))
+
+    def bit(of: Column) -> Column:
+        return of.bitwiseAND(F.lit(63)).cast("int")
+
+    held = staged(wanted.groupBy(word(wanted_key).alias("_word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit(wanted_key))).alias("_bits")), "sieve")
+    met = rows.join(F.broadcast(held), word(key) == F.col("_word"))
+    hit = F.call_function("shiftright", F.col("_bits"), bit(key)).bitwiseAND(F.lit(1)) == 1
+    return met.where(hit).drop("_word", "_bits")
+
+
 def numbered(df: DataFrame, group: list[str], chunk: Column, chunks: int, order: list[str],
              name: str) -> DataFrame:
     """`df` with the column `name`: 0, 1, 2 ... within each `group`, by `chunk` and then `order`.
