@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from breezemart.llm.shared import staged
+from breezemart.llm.shared import sieved, staged
 
 #: Code points of the shortest line that is compared within one edit: all but empty lines are.
 LEAST_CHARS = 1
@@ -97,8 +97,9 @@ def line_repeats(docs: DataFrame) -> DataFrame:
     close = staged(close.join(distinct.drop("ends"), ["h", "g", "n"])
                    .withColumn("id", F.monotonically_increasing_id()), "close-lines")
 
-    wanted = close.select(F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark")).distinct()
-    texts = docs.select("doc_id", F.xxhash64(text).alias("mark"), text.alias("text"))
+    wanted = staged(close.select(F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark")).distinct(), "wanted")
+    texts = sieved(docs.select("doc_id", F.xxhash64(text).alias("mark"), text.alias("text")),
+                   F.xxhash64("doc_id", "mark"), wanted, F.xxhash64("_id", "_mark"))
     own = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))).select(
         F.explode(F.split("text", "\n")).alias("x"))
     spelled = own.groupBy(F.xxhash64(line).alias("h"), F.hash(line).alias("g"), F.length(line).alias("n")).agg(
