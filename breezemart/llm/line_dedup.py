@@ -12,8 +12,6 @@ from pyspark.sql import types as T
 
 from breezemart.llm.shared import sieved, staged
 
-#: Code points of the shortest line that is compared within one edit: all but empty lines are.
-LEAST_CHARS = 1
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
@@ -23,10 +21,10 @@ FIRST = ["none", "doc_id", "row", "line"]
 def _ends(line: Column, length: Column) -> Column:
     """Hashes of the two ends of a line, (length - 1) // 2 code points each, and of those that a
     line one shorter would have. Lines one edit apart agree in one end of the shorter's size, so a
-    line that shares none has no neighbour."""
+    line that shares none has no neighbour. The lowest bit says which end: 0 the start."""
     def of(size: Column) -> list[Column]:
-        return [F.xxhash64(F.substring(line, F.lit(1), size), size, F.lit("start")),
-                F.xxhash64(F.right(line, size), size, F.lit("end"))]
+        hashes = F.xxhash64(F.substring(line, F.lit(1), size), size), F.xxhash64(F.right(line, size), size)
+        return [F.shiftleft(h, 1).bitwiseOR(F.lit(side)) for side, h in enumerate(hashes)]
 
     mine, shorter = F.floor((length - 1) / 2).cast("int"), F.floor((length - 2) / 2).cast("int")
     return F.array_distinct(F.array(*of(mine), *of(shorter)))
@@ -45,8 +43,15 @@ def deletion_hashes(line: str) -> np.ndarray:
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key, at, id of the lines (at -1) and of their single deletions at place `at`.
+
+    Two lines that share their start differ behind it, two that share their end before it, so a line
+    needs the deletions on the other side only of what it shares. In a run of equal code points, where
+    all deletions give one line, the last one lies behind a shared start and the first before a shared end.
+    """
     for batch in batches:
         ids, lines = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+        start_shared, end_shared = (batch.column(c).to_numpy(zero_copy_only=False) for c in (2, 3))
         start = 0
         while start < len(lines):
             keys, size, stop = [], 0, start
@@ -58,8 +63,12 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             length = np.repeat([len(k) - 1 for k in keys], counts)
             at = np.concatenate([np.arange(-1, n - 1) for n in counts])
             key = np.concatenate(keys) ^ ((length - (at >= 0)).astype(np.uint64) * _U(0x94D049BB133111EB))
-            yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(at.astype(np.int32)),
-                                              pa.array(np.repeat(ids[start:stop], counts))], names=["key", "at", "id"])
+            same = np.maximum((length - 2) // 2, 0)
+            behind, before = (np.repeat(x[start:stop], counts) for x in (start_shared, end_shared))
+            kept = (at < 0) | (behind & (at >= same)) | (before & (at < length - same))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(key[kept].astype(np.int64)), pa.array(at[kept].astype(np.int32)),
+                pa.array(np.repeat(ids[start:stop], counts)[kept])], names=["key", "at", "id"])
             start = stop
 
 
@@ -71,8 +80,8 @@ def line_repeats(docs: DataFrame) -> DataFrame:
     Returns doc_id, n_lines, n_dropped and dropped_lines (their places from 0, ascending, comma-
     joined). Blank lines never count as repeats.
 
-    Equal lines are one first. Lines that share an end with another emit themselves and all their
-    single deletions as hashed keys. Lines with the same deletion at the same place differ in
+    Equal lines are one first. Lines that share an end with another emit themselves and their
+    single deletions outside that end as hashed keys. Lines with the same deletion at the same place differ in
     one replaced code point, a line equal to another's deletion in one inserted; in each group the
     earliest line is the witness of all others, so no pairs are made. Witnesses are verified by
     edit distance.
@@ -93,7 +102,9 @@ def line_repeats(docs: DataFrame) -> DataFrame:
 
     ends = distinct.select("h", "g", "n", F.explode("ends").alias("end"))
     shared = ends.groupBy("end").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("end")
-    close = ends.join(shared, "end").select("h", "g", "n").distinct()
+    side = F.col("end").bitwiseAND(F.lit(1))
+    close = ends.join(shared, "end").groupBy("h", "g", "n").agg(
+        F.max(side == 0).alias("start_shared"), F.max(side == 1).alias("end_shared"))
     close = staged(close.join(distinct.drop("ends"), ["h", "g", "n"])
                    .withColumn("id", F.monotonically_increasing_id()), "close-lines")
 
@@ -105,9 +116,10 @@ def line_repeats(docs: DataFrame) -> DataFrame:
     spelled = own.groupBy(F.xxhash64(line).alias("h"), F.hash(line).alias("g"), F.length(line).alias("n")).agg(
         F.first("x").alias("x"))
     order = F.struct(*[F.col(f"first.{c}").alias(c) for c in FIRST]).alias("first")
-    lines = staged(close.join(spelled, ["h", "g", "n"]).select("id", "h", "g", "n", order, "x"), "spelled-lines")
+    lines = staged(close.join(spelled, ["h", "g", "n"]).select(
+        "id", "h", "g", "n", order, "x", "start_shared", "end_shared"), "spelled-lines")
 
-    keys = lines.select("id", "x").mapInArrow(_variants, "key long, at int, id long")
+    keys = lines.select("id", "x", "start_shared", "end_shared").mapInArrow(_variants, "key long, at int, id long")
     crowded = keys.groupBy("key").agg(F.min("id").alias("_a"), F.max("id").alias("_b")).where("_a < _b").select("key")
     members = staged(keys.join(crowded, "key").join(lines.select("id", "first"), "id"), "variants")
     low = F.min(F.struct("first", "id"))

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from breezemart.llm.line_dedup import LEAST_CHARS, deletion_hashes, line_repeats, without_repeats
+from breezemart.llm.line_dedup import deletion_hashes, line_repeats, without_repeats
 
 
 def near(a, b):
@@ -22,7 +22,7 @@ def plain(docs):
         for k, line in enumerate(lines):
             if not line.strip(" "):
                 continue
-            if any(line == other or (min(len(line), len(other)) >= LEAST_CHARS and near(line, other)) for other in seen):
+            if any(line == other or near(line, other) for other in seen):
                 gone[i].append(k)
             seen.append(line)
     return gone
