@@ -23,7 +23,7 @@ from breezemart.llm.shared import staged, work_folder
 
 ORDER, DISCOUNT = 5, 0.75
 #: Code points of a chunk, and of a run of texts worked on together; a longer text is on its own.
-CHUNK, RUN = 64_000_000, 2_000_000
+CHUNK, RUN = 64_000_000, 500_000
 #: Code points of the passage whose ratio counts beside that of the whole text.
 PASSAGE = 16
 START = 0x1FFFFF  # no code point: stands before a text's first
@@ -110,8 +110,8 @@ def _first(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
 class Texts:
     """Texts dealt to chunks and written: _chunk, _row, the carried columns, _text."""
 
-    def __init__(self, table: DataFrame, carried: list[str]):
-        self.table, self.carried = table, carried
+    def __init__(self, table: DataFrame, carried: list[str], path: str):
+        self.table, self.carried, self.path = table, carried, path
 
 
 def chunked(docs: DataFrame, columns: dict[str, Column]) -> Texts:
@@ -140,16 +140,18 @@ def chunked(docs: DataFrame, columns: dict[str, Column]) -> Texts:
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(ids), *batch.columns],
                                              names=["_chunk", "_row", *batch.schema.names])
 
-    return Texts(_stored(rows.mapInArrow(deal, T.StructType([*numbers, *rows.schema.fields]))), list(columns))
+    path = work_folder(docs.sparkSession, "chunks")
+    return Texts(_stored(rows.mapInArrow(deal, T.StructType([*numbers, *rows.schema.fields])), path), list(columns), path)
 
 
-def _stored(rows: DataFrame) -> DataFrame:
+def _stored(rows: DataFrame, path: str) -> DataFrame:
     """`rows` written into buckets by _chunk and read back so that grouping by it needs no exchange."""
     spark, name = rows.sparkSession, f"chunks_{uuid.uuid4().hex[:12]}"
     most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
     buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), most)
     try:
-        rows.write.bucketBy(buckets, "_chunk").option("path", work_folder(spark, "chunks")).saveAsTable(name)
+        (rows.write.bucketBy(buckets, "_chunk").option("compression", "zstd").option("path", path)
+         .saveAsTable(name))
         return spark.table(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -166,7 +168,8 @@ def subset(texts: Texts, chosen: DataFrame) -> Texts:
 
     rows = (texts.table.select("_chunk", "_row", "_text").groupBy("_chunk").cogroup(chosen.groupBy("_chunk"))
             .applyInArrow(pick, shape))
-    return Texts(_stored(rows), columns)
+    path = work_folder(rows.sparkSession, "chunks")
+    return Texts(_stored(rows, path), columns, path)
 
 
 COUNTED = "high long, low long, n0 long, n1 long, n2 long, n3 long"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from breezemart.llm import char_grams
 from breezemart.llm.char_grams import Texts
-from breezemart.llm.shared import staged
+from breezemart.llm.shared import remove, staged
 
 #: Labelled rows that the logistic weights are fitted on at most.
 CALIBRATION_ROWS = 50_000
@@ -52,7 +52,7 @@ def prepared(docs: DataFrame, carry: list[str] = ()) -> Texts:
     """The texts of `docs` (doc_id, text) and the columns of `carry`, written once for `fit` and `toxicity`."""
     others = {f"carry_{c}": F.col(c) for c in carry if c != "text"}
     texts = char_grams.chunked(docs, {"doc_id": F.col("doc_id"), **others})
-    return Texts(texts.table, [*texts.carried, *(["_text"] if "text" in carry else [])])
+    return Texts(texts.table, [*texts.carried, *(["_text"] if "text" in carry else [])], texts.path)
 
 
 def fit(texts: Texts, labels: DataFrame) -> Model:
@@ -77,7 +77,9 @@ def fit(texts: Texts, labels: DataFrame) -> Model:
         early = char_grams.ratios(counts, F.col("n0"), F.col("n1"))
         chosen = staged(cells.where("cell >= 2").orderBy(F.xxhash64("doc_id"), "doc_id", "_chunk", "_row")
                         .limit(CALIBRATION_ROWS).select("_chunk", "_row", "toxic"), "calibration")
-        seen = char_grams.scored(char_grams.subset(texts, chosen), early).toPandas()
+        part = char_grams.subset(texts, chosen)
+        seen = char_grams.scored(part, early).toPandas()
+        remove(texts.table.sparkSession, part.path)
         weights = calibrate(seen[["whole", "peak"]].to_numpy(), seen["toxic"].to_numpy(float)).tolist()
     return Model(char_grams.ratios(counts, F.col("n0") + F.col("n2"), F.col("n1") + F.col("n3")), weights, 0.0)
 
