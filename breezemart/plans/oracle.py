@@ -606,6 +606,11 @@ where "timestamp" between {_START} and {_END}""",
     "sink_harmonized": _features("harmonized"),
     "layout_clustered": f"""
 select {_WEATHER_FACT}, cast("timestamp" as date) as date from weather_fact""",
+    "layout_lookup": f"""
+select {_WEATHER_FACT}, cast("timestamp" as date) as date from weather_fact
+where cast("timestamp" as date) between cast({_START} as date) and cast({_END} as date)
+  and location_key = (select min(location_key) from weather_fact
+                      where cast("timestamp" as date) between cast({_START} as date) and cast({_END} as date))""",
     "sink_csv": f"""
 select strftime("timestamp", '%Y-%m-%dT%H:%M:%S') as time, {_rounded(WEATHER_MEASURES)},
        latitude, longitude, (select strftime(min("timestamp"), '%Y%m%d') || '_' || strftime(max("timestamp"), '%Y%m%d')

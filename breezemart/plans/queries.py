@@ -520,6 +520,17 @@ def layout_clustered(spark, sf_dir):
                                                       ["location_key", "severity_key"]))
 
 
+@query
+def layout_lookup(spark, sf_dir):
+    """One station and a time range of the clustered table: only the days' folders and the row groups
+    whose key range holds the station are read."""
+    fact = facts.weather_facts(_weather(spark, sf_dir), derived=False)
+    path = writers.write_clustered(fact, workspace(spark, "clustered"), "date", ["location_key", "severity_key"])
+    some_days = spark.read.parquet(path).filter(F.col("date").between(RANGE_START.date(), RANGE_END.date()))
+    station = some_days.agg(F.min("location_key")).first()[0]
+    return some_days.filter(F.col("location_key") == F.lit(station))
+
+
 @query
 def sink_csv(spark, sf_dir):
     """All readings, in a folder named by the days they span."""

@@ -172,6 +172,32 @@ def test_clustered_files_have_tight_ranges(spark, tmp_path, conf):
     assert len(spans) > 1 and all(x.b <= y.a for x, y in zip(spans, spans[1:]))
 
 
+def test_a_key_filter_reads_few_row_groups(spark, tmp_path, conf):
+    conf(spark__sql__shuffle__partitions="4", parquet__block__size="65536", parquet__page__row__count__limit="1000")
+    rows = spark.range(200_000).select(
+        (F.floor(F.col("id") / 10) * 7919 % 1000).alias("location_key"), F.rand(3).alias("x"), F.rand(4).alias("y"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 10 * 86400 + F.floor(F.col("id") / 10)).alias("timestamp"))
+    path = writers.write_clustered(rows, str(tmp_path / "t"), "date", ["location_key"])
+    found = spark.read.parquet(path).where("location_key = 3 and date >= date'2024-01-03' and date < date'2024-01-05'")
+    assert found.count() == 40
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in scan and "EqualTo(location_key,3)" in scan
+    whole, read = scanned(spark.read.parquet(path).select("x", "location_key")), scanned(found.select("x", "location_key"))
+    assert whole["numOutputRows"] == 200_000 and read["numFiles"] < whole["numFiles"]
+    assert read["numOutputRows"] <= 8_000  # of 40,000 in the two days: row groups without the key are left out
+
+
+def scanned(frame):
+    """What the scan of an executed frame counted: files, and rows of the row groups it read."""
+    execution = frame._jdf.queryExecution()
+    frame._jdf.collect()
+    plan = execution.executedPlan()
+    while not plan.nodeName().startswith("Scan") and plan.children().size():
+        plan = plan.children().apply(0)
+    metrics = plan.metrics()
+    return {name: metrics.apply(name).value() for name in ("numFiles", "numOutputRows")}
+
+
 def test_export_name():
     first, last = datetime.date(2024, 7, 22), datetime.date(2025, 1, 18)
     assert writers.range_name("air_quality", first, last) == "air_quality_20240722_20250118"
