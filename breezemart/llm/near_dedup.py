@@ -267,8 +267,9 @@ def near_dedup(docs: DataFrame, least: float = LEAST, carry: list[str] = ()) ->
     of `carry`.
 
     Equal word sequences are one node, found by digest, so copies cost no pairs. Nodes that share a
-    band meet in a bucket. First each member is compared with one member of its bucket, a different
-    one in each bucket, and what is found alike is joined; then, exactly, every member outside its
+    band meet in a bucket. First each member is compared with one member of its bucket, the first in
+    an order that all buckets share, so that a group which meets in many buckets has few such pairs, and
+    what is found alike is joined; then, exactly, every member outside its
     bucket's largest part is compared with all members of other parts, in large buckets block by block. Members of one part need no
     comparison, since the class is the same either way. Only documents that share a band with
     another text have their shingles shuffled.
@@ -304,7 +305,7 @@ def near_dedup(docs: DataFrame, least: float = LEAST, carry: list[str] = ()) ->
     for step in range(HUB_ROUNDS + 1):
         if step < HUB_ROUNDS:
             hubs = members.groupBy("bucket").agg(
-                F.min(F.struct(F.xxhash64("class", "bucket", F.lit(step)).alias("h"), "class", "part")).alias("hub"))
+                F.min(F.struct(F.xxhash64("class", F.lit(step)).alias("h"), "class", "part")).alias("hub"))
             meet = members.join(hubs, "bucket").where(F.col("part") != F.col("hub.part")).select(
                 F.col("class").alias("a"), F.col("hub.class").alias("b"))
         else:
