@@ -6,6 +6,7 @@ import datetime
 import functools
 import time
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,7 +64,9 @@ RUN_COLUMNS = ["etl_batch_id", "processing_timestamp", "last_updated"]
 def content(df: DataFrame) -> list:
     """Aggregates over all rows and columns: how many, and a sum of row digests that no order changes.
 
-    A row's digest is of its columns by name: doubles as millionths, times as epoch seconds.
+    A row's digest is of its columns by name: doubles as millionths, times as epoch seconds. It has 48
+    bits, so that their sum may pass 63 bits from 32,769 rows on; it is kept modulo 2^64, as a signed
+    bigint. The halves of the digests are summed apart, which 2^39 rows do not overflow.
     """
     def text(field: T.StructField):
         column = F.col(f"`{field.name}`")
@@ -75,8 +78,12 @@ def content(df: DataFrame) -> list:
 
     fields = sorted((f for f in df.schema.fields if f.name not in RUN_COLUMNS), key=lambda f: f.name)
     digest = F.md5(F.concat_ws("|", *[text(f) for f in fields]))
-    part = F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint")
-    return [F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(part), F.lit(0)).alias("content")]
+    high, low = [F.sum(F.conv(F.substring(digest, at, 6), 16, 10).cast("bigint")) for at in (1, 7)]
+    whole, half = [F.lit(Decimal(n)) for n in (2**64, 2**63)]
+    wrapped = F.pmod(high.cast("decimal(20,0)") * F.lit(2**24) + low, whole)
+    signed = F.when(wrapped >= half, wrapped - whole).otherwise(wrapped)
+    return [F.count(F.lit(1)).alias("n_rows"),
+            F.coalesce(signed.cast("bigint"), F.lit(0).cast("bigint")).alias("content")]
 
 
 def _contents(tables: dict[str, DataFrame]) -> DataFrame:

@@ -1,6 +1,7 @@
 """The batch job end to end, and the physical plans the design counts on."""
 
 import datetime
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from breezemart.operators import joins
 from breezemart.operators.quality import DataQualityError, Rules, check
 from breezemart.plans import dims, facts, pipeline
 from breezemart.plans.harmonized import harmonize
-from breezemart.plans.queries import comparable
+from breezemart.plans.queries import comparable, content
 from breezemart.sources import event_readings as events
 from breezemart.sources import readers, snapshots
 
@@ -223,3 +224,11 @@ def test_outer_join_edges(spark):
     assert found == [(one, 1, 1.0, 5)]
     assert len(table) == 3  # repeats multiply; unknown places and missing times drop out
     assert all(r.us_aqi is None for r in table if r.timestamp == two)
+
+
+@pytest.mark.parametrize("n", [0, 1, 1000, 100_000, 300_000])
+def test_content_of_many_rows(spark, n):
+    rows = spark.range(n)
+    total = sum(int(hashlib.md5(str(i).encode()).hexdigest()[:12], 16) for i in range(n))
+    found = rows.agg(*content(rows)).first()
+    assert (found.n_rows, found.content) == (n, (total + 2**63) % 2**64 - 2**63)  # 2^63 is passed from some 65,000 rows on
