@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from breezemart.llm.components import components
-from breezemart.llm.shared import sieved, staged
+from breezemart.llm.shared import remove, sieved, staged, work_folder
 
 WORDS, LEAST = 5, 0.8
 #: 25 bands of 5 registers miss a pair of similarity 0.8 with probability (1 - 0.8^5)^25 = 5e-5.
@@ -205,13 +205,13 @@ def _alike(near: list[dict], far: list[dict], bucket: int, least: float) -> Iter
                 yield one["class"], part
 
 
-def _block_links(members: DataFrame, minor: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
+def _block_links(members: DataFrame, minor: DataFrame, vectors: DataFrame, least: float, folder: str) -> DataFrame:
     """a, b: links between `minor` (bucket, class, part) and the parts of `members` of the same buckets (a
     part is named by one of its classes). Both sides are cut into blocks of bounded size and every
     block of one meets every block of the other, so a large bucket is spread over many tasks and gives
     one row for each part that a member links with. The shingles move twice: to their block and
-    to the blocks they meet."""
-    spark = members.sparkSession
+    to the blocks they meet. The blocks go once their links are written."""
+    spark, cut = members.sparkSession, f"{folder}/blocks"
 
     def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
         heavy = vectors.select("class", (F.octet_length("items") + 200).alias("_bytes"))
@@ -219,7 +219,7 @@ def _block_links(members: DataFrame, minor: DataFrame, vectors: DataFrame, least
         entry = F.struct("class", "part", "bands", "items", "counts")
         return staged(rows.join(sizes, "bucket").withColumn("_block", F.pmod(F.xxhash64("class"), F.col("_blocks")))
                       .join(vectors, "class").groupBy("bucket", "_block").agg(F.collect_list(entry).alias(name))
-                      .drop("_block"), f"{name}-blocks")
+                      .drop("_block"), f"{name}-blocks", cut)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,24 +233,25 @@ def _block_links(members: DataFrame, minor: DataFrame, vectors: DataFrame, least
     before = spark.conf.get(setting)
     spark.conf.set(setting, str(BLOCKS_READ))
     try:
-        return staged(met.mapInArrow(compare, "a long, b long").distinct(), "block-links")
+        return staged(met.mapInArrow(compare, "a long, b long").distinct(), "block-links", folder)
     finally:
         spark.conf.set(setting, before)
+        remove(spark, cut)
 
 
-def _verify(pairs: DataFrame, vectors: DataFrame, name: str) -> DataFrame:
+def _verify(pairs: DataFrame, vectors: DataFrame, name: str, folder: str) -> DataFrame:
     """a, b, similarity of the pairs, written. A hub's pairs are cut up by the skew join."""
     left = vectors.select(F.col("class").alias("a"), F.col("items").alias("a_items"), F.col("counts").alias("a_counts"))
     right = vectors.select(F.col("class").alias("b"), F.col("items").alias("b_items"), F.col("counts").alias("b_counts"))
     met = pairs.join(left, "a").join(right, "b").select("a", "b", "a_items", "a_counts", "b_items", "b_counts")
-    return staged(met.mapInArrow(_similar, "a long, b long, similarity double"), name)
+    return staged(met.mapInArrow(_similar, "a long, b long, similarity double"), name, folder)
 
 
-def _joined(members: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+def _joined(members: DataFrame, edges: DataFrame, name: str, folder: str) -> DataFrame:
     """bucket, class, part: the members with the component of their class so far."""
-    parts = components(edges, name).select(F.col("node").alias("class"), "component")
+    parts = components(edges, name, folder).select(F.col("node").alias("class"), "component")
     return staged(members.select("bucket", "class").join(parts, "class", "left").select(
-        "bucket", "class", F.coalesce("component", "class").alias("part")), f"{name}-members")
+        "bucket", "class", F.coalesce("component", "class").alias("part")), f"{name}-members", folder)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -279,6 +280,7 @@ def near_dedup(docs: DataFrame, least: float = LEAST, carry: list[str] = ()) ->
     is the smallest only where a class has no other. An empty table gives no rows.
     """
     text = F.col("text").cast("string")
+    folder = work_folder(docs.sparkSession, "near-dedup")  # of all tables that the result does not read
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64(text).alias("mark"),
                        *[F.col(c).alias(f"carry_{c}") for c in carry], text.alias("text"))
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField("digest", T.BinaryType()),
@@ -286,19 +288,19 @@ def near_dedup(docs: DataFrame, least: float = LEAST, carry: list[str] = ()) ->
     rows = staged(rows.mapInArrow(_sketch, schema), "sketches")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "mark", "bands"))
     nodes = staged(rows.where("digest is not null").groupBy("digest").agg(first.alias("f"), F.count(F.lit(1)).alias("n"))
-                   .select("digest", F.col("f.row").alias("class"), "f.doc_id", "f.mark", "f.bands", "n"), "nodes")
+                   .select("digest", F.col("f.row").alias("class"), "f.doc_id", "f.mark", "f.bands", "n"), "nodes", folder)
 
     entries = nodes.select("class", F.explode("bands").alias("bucket"))
     crowded = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("bucket")
-    members = staged(entries.join(crowded, "bucket").select("bucket", "class"), "members")
+    members = staged(entries.join(crowded, "bucket").select("bucket", "class"), "members", folder)
     wanted = staged(members.select("class").distinct().join(nodes, "class").select(
-        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("class"), "bands", F.col("digest").alias("_digest")), "wanted")
+        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("class"), "bands", F.col("digest").alias("_digest")), "wanted", folder)
     texts = docs.select("doc_id", F.xxhash64(text).alias("mark"), text.alias("text"))
     texts = sieved(texts, F.xxhash64("doc_id", "mark"), wanted, F.xxhash64("_id", "_mark"))
     own = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark"))).select("text")
     shapes = own.mapInArrow(_vectors, "digest binary, items binary, counts binary").groupBy("digest").agg(
         F.first("items").alias("items"), F.first("counts").alias("counts"))
-    vectors = staged(wanted.join(shapes, F.col("digest") == F.col("_digest")).select("class", "bands", "items", "counts"), "vectors")
+    vectors = staged(wanted.join(shapes, F.col("digest") == F.col("_digest")).select("class", "bands", "items", "counts"), "vectors", folder)
 
     members = members.withColumn("part", F.col("class"))
     seen = None
@@ -312,29 +314,30 @@ def near_dedup(docs: DataFrame, least: float = LEAST, carry: list[str] = ()) ->
             sizes = members.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
             largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "part")).alias("top"), F.count(F.lit(1)).alias("parts"),
                                                   (F.sum("n") <= PAIRED).alias("paired"))
-            open_members = staged(members.join(largest.where("parts > 1"), "bucket"), "open-members")
+            open_members = staged(members.join(largest.where("parts > 1"), "bucket"), "open-members", folder)
             minor = open_members.where(F.col("part") != F.col("top.part"))
             small = minor.where("paired").select("bucket", F.col("class").alias("a"), F.col("part").alias("_part"))
             meet = small.join(open_members.where("paired"), "bucket").where(F.col("part") != F.col("_part")).select(
                 "a", F.col("class").alias("b"))
             large = _block_links(open_members.where("not paired").select("bucket", "class", "part"),
-                                 minor.where("not paired").select("bucket", "class", "part"), vectors, least)
+                                 minor.where("not paired").select("bucket", "class", "part"), vectors, least, folder)
         pairs = _ordered(meet)
         if seen is not None:
             pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
-        found = _verify(staged(pairs, f"pairs-{step}"), vectors, f"verified-{step}")
+        found = _verify(staged(pairs, f"pairs-{step}", folder), vectors, f"verified-{step}", folder)
         seen = found if seen is None else seen.unionByName(found)
         edges = seen.where(F.col("similarity") >= least).select("a", "b")
         if step < HUB_ROUNDS:
-            members = _joined(members, edges, f"round-{step}")
+            members = _joined(members, edges, f"round-{step}", folder)
 
-    parts = components(edges.union(large), "classes").select(F.col("node").alias("class"), "component")
+    parts = components(edges.union(large), "classes", folder).select(F.col("node").alias("class"), "component")
     whole = nodes.join(parts, "class", "left").withColumn("component", F.coalesce("component", "class"))
     low = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("class").alias("row"))
     ends = whole.groupBy("component").agg(F.min(low).alias("low"), F.sum("n").alias("class_size"))
     classes = staged(whole.join(ends, "component").select(
         F.col("digest").alias("_digest"), F.col("low.doc_id").alias("class_id"), F.col("low.row").alias("_row"),
         "class_size"), "classes")
+    remove(docs.sparkSession, folder)
     alone = F.col("_digest").isNull()
     return rows.join(classes, F.col("digest") == F.col("_digest"), "left").select(
         "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),

@@ -30,12 +30,23 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/corpus/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+#: Has Spark delete a query's shuffle files when the query ends, not when its plan is collected.
+SWEPT = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def staged(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """`df` written once to the shared folder and read back: later steps start from these files,
-    so a lost executor costs no recomputation and joins see real sizes."""
-    path = work_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    so a lost executor costs no recomputation and joins see real sizes. The write's shuffle files go
+    with its end. `folder` is a work folder to write below, which the caller removes."""
+    spark = df.sparkSession
+    path = work_folder(spark, name) if folder is None else f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+    before = spark.conf.get(SWEPT, None)
+    spark.conf.set(SWEPT, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SWEPT) if before is None else spark.conf.set(SWEPT, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def remove(spark: SparkSession, path: str) -> None:
