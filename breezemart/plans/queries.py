@@ -612,11 +612,14 @@ def land_messages(steps: list[DataFrame], kind: str, path: str) -> int:
     """
     spark = steps[0].sparkSession
     number = spark.sparkContext.defaultParallelism
-    junk = spark.createDataFrame([("no JSON",)], "value string")
+    junk = spark.createDataFrame([("no JSON",)], "junk string")
     files, folder = snapshots.file_system(spark, path)
     start, seen = int(time.time() * 1000) - 3_600_000, set()
     for step, rows in enumerate(steps):
-        writers.messages(rows, kind).union(junk).repartition(number).write.mode("append").text(path)
+        # columns are dealt out, not the several times longer text
+        dealt = rows.unionByName(junk, allowMissingColumns=True).repartition(number)
+        (dealt.select(F.coalesce("junk", F.to_json(writers.envelope(dealt, kind))).alias("value"))
+         .write.mode("append").text(path))
         for status in files.listStatus(folder):
             file = status.getPath()
             if file.getName().startswith("part-") and file.getName() not in seen:
@@ -627,6 +630,11 @@ def land_messages(steps: list[DataFrame], kind: str, path: str) -> int:
     return number
 
 
+def _written(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """The hourly readings, derived once and written: each step, and the history, reads them again."""
+    return staged(events.hourly_readings(spark, sf_dir, kind), f"readings-{kind}")
+
+
 def _in_steps(readings: DataFrame, resend: bool = False) -> list[DataFrame]:
     """Readings until `STREAM_SPLIT` and those after it; with `resend` the first ones again."""
     early = F.col("timestamp") <= F.lit(STREAM_SPLIT)
@@ -637,7 +645,7 @@ def _in_steps(readings: DataFrame, resend: bool = False) -> list[DataFrame]:
 @query
 def stream_source(spark, sf_dir):
     session, out = stream_session(spark), workspace(spark, "source")
-    land_messages(_in_steps(_weather(session, sf_dir)), "weather", f"{out}/in")
+    land_messages(_in_steps(_written(session, sf_dir, "weather")), "weather", f"{out}/in")
     raw = messages.read_messages(session, f"{out}/in")
     parsed = messages.accepted(messages.parse_messages(raw, "weather"))
     (parsed.writeStream.format("parquet").option("path", f"{out}/rows")
@@ -650,7 +658,7 @@ def stream_source(spark, sf_dir):
 def stream_late_data(spark, sf_dir):
     """The first half sent again after the watermark passed it: each reading is kept once."""
     session, out = stream_session(spark), workspace(spark, "late")
-    files = land_messages(_in_steps(_air(session, sf_dir), resend=True), "air_quality", f"{out}/in")
+    files = land_messages(_in_steps(_written(session, sf_dir, "air_quality"), resend=True), "air_quality", f"{out}/in")
     raw = messages.read_messages(session, f"{out}/in", per_trigger=files)
     kept = live.drop_repeats(messages.accepted(messages.parse_messages(raw, "air_quality")))
     (kept.writeStream.format("parquet").option("path", f"{out}/rows")
@@ -662,7 +670,7 @@ def stream_late_data(spark, sf_dir):
 def _run_streams(spark, sf_dir, kinds, steps=_in_steps, **options):
     """One stream over the topics of `kinds`, a step of each in every micro-batch."""
     session, out = stream_session(spark), workspace(spark, "streams")
-    files = [land_messages(steps(events.hourly_readings(session, sf_dir, kind)), kind, f"{out}/in/{kind}")
+    files = [land_messages(steps(_written(session, sf_dir, kind)), kind, f"{out}/in/{kind}")
              for kind in kinds]
     run.start_streams(session, {kind: f"{out}/in/{kind}" for kind in kinds}, out, threshold=10.0, once=True,
                       per_trigger=sum(files), **options).awaitTermination()
@@ -704,7 +712,7 @@ def stream_foreach_batch(spark, sf_dir):
     """The same micro-batch handed in twice is stored once."""
     session, out = stream_session(spark), workspace(spark, "replay")
     topics = {"weather": f"{out}/in/weather"}
-    files = land_messages(_in_steps(_weather(session, sf_dir)), "weather", topics["weather"])
+    files = land_messages(_in_steps(_written(session, sf_dir, "weather")), "weather", topics["weather"])
     process = run.batch_processor(out, ["weather"], "replay", lambda _: "replayed", threshold=10.0)
 
     def twice(batch: DataFrame, batch_id: int) -> None:
@@ -771,10 +779,9 @@ def merged_facts(spark, sf_dir):
     out = workspace(spark, "both")
     session = stream_session(spark)
     topics = {kind: f"{out}/in/{kind}" for kind in ("air_quality", "weather")}
-    files = [land_messages(_in_steps(events.hourly_readings(session, sf_dir, kind)), kind, place)
-             for kind, place in topics.items()]
-    history = [events.hourly_readings(spark, sf_dir, kind).filter(F.col("timestamp") <= F.lit(STREAM_SPLIT))
-               for kind in topics]
+    readings = {kind: _written(spark, sf_dir, kind) for kind in topics}
+    files = [land_messages(_in_steps(readings[kind]), kind, place) for kind, place in topics.items()]
+    history = [readings[kind].filter(F.col("timestamp") <= F.lit(STREAM_SPLIT)) for kind in topics]
     done = pipeline.run(
         "both", lambda: pipeline.run_batch(*history, out=f"{out}/mart", sites=events.stations(spark, sf_dir)),
         lambda: run.start_streams(session, topics, f"{out}/live", once=True, per_trigger=sum(files)).awaitTermination(),

@@ -16,12 +16,13 @@ from breezemart.streaming import store
 CLUSTER = ["location_key"]
 
 
-def upsert_days(spark: SparkSession, path: str, rows: DataFrame) -> list[str]:
+def upsert_days(spark: SparkSession, path: str, rows: DataFrame, rank: str | None = None) -> list[str]:
     """Merge `rows` into the table at `path`, which has a folder per date; returns the days written.
 
     Only days that occur in `rows` are read and replaced; the files of all others stay. Rows of a
-    (timestamp, location) that both have are taken from `rows`. Doing it again changes nothing, so a
-    run that failed half-way is simply repeated.
+    (timestamp, location) that both have are taken from `rows`, of several there the one of the highest
+    `rank`, a column the table does not get. Doing it again changes nothing, so a run that failed
+    half-way is simply repeated.
     """
     dated = rows.withColumn("date", F.to_date("timestamp"))
     days = [r[0] for r in dated.select("date").distinct().collect()]  # bounded by the calendar
@@ -30,7 +31,8 @@ def upsert_days(spark: SparkSession, path: str, rows: DataFrame) -> list[str]:
     stored = spark.read.parquet(path).where(F.col("date").isin(days))
     both = (stored.withColumn("_from", F.lit(0))
             .unionByName(dated.withColumn("_from", F.lit(1)), allowMissingColumns=True))
-    merged = staged(latest_per_key(both, KEYS, [F.col("_from")]).drop("_from"), "merged-days")
+    order = ["_from", *([rank] if rank else [])]
+    merged = staged(latest_per_key(both, KEYS, [F.col(name) for name in order]).drop(*order), "merged-days")
     write_partitioned(merged, path, ["date"], whole_table=False, cluster=[*CLUSTER, "timestamp"])
     return sorted(map(str, days))
 
@@ -51,6 +53,7 @@ def merge_facts(spark: SparkSession, mart: str, live: str, out: str) -> dict[str
             history = spark.read.parquet(f"{mart}/{manifest['tables'][name]}").drop("year", "month")
             write_clustered(history, path, "date", CLUSTER)
         if f"facts/{kind}" in streamed:
-            upsert_days(spark, path, store.read(spark, live, f"facts/{kind}").drop("date"))
+            # one reduction settles segments and history together
+            upsert_days(spark, path, store.unsettled(spark, live, f"facts/{kind}").drop("date"), store.SEQ)
         done[name] = path
     return done

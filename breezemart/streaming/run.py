@@ -84,8 +84,9 @@ def batch_processor(out: str, kinds: list[str], run_id: str, stream: Callable[[S
             if missing or found != kind:
                 raise DataQualityError(f"{kind} batch {batch_id}: missing columns {missing or measures_of(kind)}")
         folder = snapshots.run_folder(out, f"{name}-{batch_id}")
-        # parsed once: everything below reads this copy
-        _table(batch, f"{folder}/parsed")
+        # parsed once: everything below reads this copy, the text of rejected messages only
+        slim = F.when(F.col("error").isNotNull(), F.col("original_data"))
+        _table(batch.withColumn("original_data", slim), f"{folder}/parsed")
         parsed = spark.read.schema(batch.schema).parquet(f"{folder}/parsed")
         tables, replaced, metrics = {}, {}, []
         marks = dict(before["notes"].get("watermarks", {}))

@@ -97,6 +97,11 @@ def read(spark: SparkSession, root: str, table: str) -> DataFrame:
     return _settled(_rows(spark, root, parts), table)
 
 
+def unsettled(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """All rows of a table's segments with their segment's number in `SEQ`: of a key the highest stands."""
+    return _rows(spark, root, segments(state(spark, root), table))
+
+
 def _full_tier(manifest: dict, merge: int) -> tuple[str, list[tuple[int, int, str, str]]] | None:
     for table in tables(manifest):
         parts = segments(manifest, table)

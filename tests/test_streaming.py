@@ -8,7 +8,7 @@ import time
 import pytest
 
 from breezemart.operators.quality import DataQualityError
-from breezemart.plans import facts
+from breezemart.plans import facts, queries
 from breezemart.schemas import AIR_MEASURES, WEATHER_MEASURES
 from breezemart.sources import snapshots
 from breezemart.streaming import live, merging, messages, run, store
@@ -268,6 +268,32 @@ def test_streamed_days_are_merged_into_history_and_others_keep_their_files(spark
     assert merging.upsert_days(spark, path, new.limit(0)) == []
 
 
+def test_merged_days_take_the_latest_of_several_rows(spark, tmp_path):
+    path = str(tmp_path / "table")
+    columns = "timestamp timestamp, location_key bigint, us_aqi int"
+    noon = datetime.datetime(2025, 1, 2, 12)
+    spark.createDataFrame([(noon, 1, 10), (noon, 2, 20)], columns).withColumn(
+        "date", messages.F.to_date("timestamp")).write.partitionBy("date").parquet(path)
+    rows = spark.createDataFrame([(noon, 1, 7, 3), (noon, 1, 5, 4), (noon, 1, 9, 2), (noon, 3, 1, 1)], f"{columns}, _seq bigint")
+    for _ in range(2):
+        assert merging.upsert_days(spark, path, rows, "_seq") == ["2025-01-02"]
+        stored = spark.read.parquet(path)
+        assert set(stored.columns) == {"timestamp", "location_key", "us_aqi", "date"}
+        assert sorted((r.location_key, r.us_aqi) for r in stored.collect()) == [(1, 5), (2, 20), (3, 1)]
+
+
+def test_readings_of_a_stream_are_derived_once(spark, sf_dir, monkeypatch):
+    derived, plain = [], queries.events.hourly_readings
+    monkeypatch.setattr(queries.events, "hourly_readings", lambda *a: derived.append(a[2]) or plain(*a))
+    monkeypatch.setattr(queries.run, "start_streams", lambda *a, **b: (_ for _ in ()).throw(InterruptedError))
+    with pytest.raises(InterruptedError):
+        queries.QUERIES["stream_tables"](spark, sf_dir)
+    assert derived == ["air_quality", "weather"]
+    readings = queries._written(spark, sf_dir, "weather")
+    plan = readings._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and sorted(readings.collect()) == sorted(plain(spark, sf_dir, "weather").collect())
+
+
 def test_write_is_tried_three_times():
     tries = []
 
