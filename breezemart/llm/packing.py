@@ -27,8 +27,8 @@ def pieces(docs: DataFrame, path: str, end_id: int, capacity: int) -> DataFrame:
         tokens, end = encoder(path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                ids = tokens.encode(text) + end
+            for i, ids in enumerate(tokens.encode_all(batch.column(1))):
+                ids += end
                 n = len(ids) // 4
                 stop = n % capacity or min(n, capacity)
                 start = piece = 0

@@ -256,9 +256,9 @@ def write_ids(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
 
         for batch in batches:
             kind = batch.column(0).type
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for name, ids in zip(batch.column(0).to_pylist(), tokens.encode_all(batch.column(1))):
                 names.append(name)
-                held.append(tokens.encode(text) + end)
+                held.append(ids + end)
                 size += len(held[-1]) // 4
                 if size >= CHUNK:
                     yield row()
