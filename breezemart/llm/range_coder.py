@@ -18,7 +18,7 @@ from breezemart.llm.tokens import encoder
 
 #: Ids of a block, which starts from nothing; ids of a file row at most, unless one text has more.
 BLOCK, CHUNK = 4096, 4_000_000
-SLOTS = 2048
+SLOTS = 2048  # a power of two
 MAGIC = b"CMR1"
 _U = np.uint64
 _WORD = _U(32)
@@ -50,7 +50,7 @@ class Lanes:
         self.rates = [np.full(n * 8, 32768, np.int32) for _ in range(3)]
         self.second = np.full(n * 8, 16384, np.int32)
         self.weights = [np.full(n, w, np.int32) for w in (40000, 20000, 8000)]
-        self.sizes = np.ones((n, 17), np.int32)
+        self.sizes = np.ones((17, n), np.int32)
 
     def run(self) -> None:
         k = self.n
@@ -65,18 +65,23 @@ class Lanes:
 
     def _step(self, t: int, lanes: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         base = lanes * SLOTS
-        at = [base + ((one * 40503) >> 5) % SLOTS, base + ((one * 40503 + two * 30011) >> 4) % SLOTS]
-        held = [self.tables[0][at[0]], self.tables[1][at[1]]]
+        mark = one * 40503
+        at = [base + ((mark >> 5) & (SLOTS - 1)), base + (((mark + two * 30011) >> 4) & (SLOTS - 1))]
+        held = [self.tables[0].take(at[0]), self.tables[1].take(at[1])]
         guess = [self.favourite[:len(lanes)], held[0] & 0xFFFF, held[1] & 0xFFFF]
         sure = [np.minimum(self.votes[:len(lanes)], 7), held[0] >> 16, held[1] >> 16]
         cells = [lanes * 8 + s for s in sure]
-        inputs = [STRETCH[self.rates[j][cells[j]] >> 4] for j in range(3)]
+        rates = [self.rates[j].take(cells[j]) for j in range(3)]
+        inputs = [STRETCH.take(rates[j] >> 4) for j in range(3)]
         for j in (0, 1):
-            inputs[j] = np.where(guess[j] == guess[2], inputs[j], -inputs[j])
-        mixed = sum(self.weights[2 - j][:len(lanes)].astype(np.int64) * inputs[j] for j in range(3)) >> 16
-        chance = SQUASH[np.clip(mixed, -2047, 2047) + 2047]
+            np.negative(inputs[j], out=inputs[j], where=guess[j] != guess[2])
+        mixed = np.multiply(self.weights[0][:len(lanes)], inputs[2], dtype=np.int64)
+        for j in (0, 1):
+            mixed += np.multiply(self.weights[2 - j][:len(lanes)], inputs[j], dtype=np.int64)
+        mixed >>= 16
+        chance = SQUASH.take(mixed + 2047, mode="clip")
 
-        ids = self._flag(t, lanes, chance, guess[2])
+        ids = self._flag(t, slice(0, len(lanes)), chance, guess[2])
         hit = ids >= 0
         rest = np.flatnonzero(~hit & (guess[1] != guess[2]))
         cell = cells[1][rest]
@@ -91,31 +96,37 @@ class Lanes:
         for j in range(3):
             self.weights[2 - j][:len(lanes)] += (inputs[j] * error + 0x2000) >> 14
             good = guess[j] == ids
-            rate = self.rates[j][cells[j]]
-            self.rates[j][cells[j]] = rate + ((np.where(good, 65535, 0) - rate) >> 5)
+            self.rates[j][cells[j]] = rates[j] + ((np.where(good, np.int32(65535), np.int32(0)) - rates[j]) >> 5)
             if j:
                 grown = np.where(good, np.minimum(held[j - 1] + 65536, guess[j] | (7 << 16)), np.where(
                     sure[j] > 1, guess[j] | ((sure[j] >> 1) << 16), ids | 65536))
                 self.tables[j - 1][at[j - 1]] = grown
         agree = guess[0] == ids
         empty = ~agree & (self.votes[:len(lanes)] == 0)
-        self.favourite[:len(lanes)][empty] = ids[empty]
-        self.votes[:len(lanes)] += np.where(agree | empty, 1, -1).astype(np.int32)
+        np.copyto(self.favourite[:len(lanes)], ids, where=empty)
+        self.votes[:len(lanes)] += np.where(agree | empty, np.int32(1), np.int32(-1))
         return ids
 
-    def _narrow(self, lanes: np.ndarray, start: np.ndarray, size: np.ndarray, step: np.ndarray) -> None:
-        """Take the interval of `size` steps from `start`; give out a word where the range gets short."""
-        low = self.low[lanes] + start.astype(np.uint64) * step
-        width = size.astype(np.uint64) * step
+    def _narrow(self, lanes: np.ndarray | slice, start: np.ndarray, width: np.ndarray) -> None:
+        """Take the interval of `width` from `start`; give out a word where the range gets short."""
+        low = self.low[lanes] + start
         short = np.flatnonzero(width <= _LOW)
         if len(short):
             far = low[short]
             torn = ((far ^ (far + width[short])) >> _WORD) != 0
             width[short] = np.where(torn, (~far + _U(1)) & _LOW, width[short]) << _WORD
-            self._word(lanes[short], far)
+            self._word(short if isinstance(lanes, slice) else lanes[short], far)
             low[short] = far << _WORD
         self.low[lanes], self.range[lanes] = low, width
 
+    def _sums(self, lanes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The counts of id sizes, a row per size, and their running sums."""
+        counts = self.sizes.take(lanes, axis=1)
+        sums = counts.copy()
+        for j in range(1, 17):
+            sums[j] += sums[j - 1]
+        return counts, sums
+
 
 class Encoder(Lanes):
     def __init__(self, blocks: list[np.ndarray]):
@@ -130,21 +141,24 @@ class Encoder(Lanes):
         self.words[lanes, self.filled[lanes]] = (low >> _WORD).astype(np.uint32)
         self.filled[lanes] += 1
 
-    def _flag(self, t: int, lanes: np.ndarray, chance: np.ndarray, guess: np.ndarray) -> np.ndarray:
+    def _flag(self, t: int, lanes: np.ndarray | slice, chance: np.ndarray, guess: np.ndarray) -> np.ndarray:
         hit = self.ids[t, lanes] == guess
-        self._narrow(lanes, np.where(hit, 0, chance), np.where(hit, chance, 4096 - chance), self.range[lanes] >> _U(12))
+        step = self.range[lanes] >> _U(12)
+        bound = chance.astype(np.uint64) * step
+        self._narrow(lanes, np.where(hit, _U(0), bound), np.where(hit, bound, (step << _U(12)) - bound))
         return np.where(hit, guess, -1)
 
     def _literal(self, t: int, lanes: np.ndarray) -> np.ndarray:
-        ids = self.ids[t, lanes]
-        size, counts = WIDTH[ids], self.sizes[lanes]
-        sums = np.cumsum(counts, axis=1)
-        row = np.arange(len(lanes))
-        own = counts[row, size]
-        self._narrow(lanes, sums[row, size] - own, own, self.range[lanes] // sums[:, 16].astype(np.uint64))
+        ids = self.ids[t].take(lanes)
+        size, (counts, sums) = WIDTH.take(ids), self._sums(lanes)
+        at = size * len(lanes) + np.arange(len(lanes))
+        own = counts.take(at)
+        step = self.range.take(lanes) // sums[16].astype(np.uint64)
+        self._narrow(lanes, (sums.take(at) - own).astype(np.uint64) * step, own.astype(np.uint64) * step)
         bits = np.maximum(size - 1, 0)
-        self._narrow(lanes, ids & ((1 << bits) - 1), np.ones(len(lanes), np.int64), self.range[lanes] >> bits.astype(np.uint64))
-        _count(self.sizes, lanes, size, sums[:, 16])
+        step = self.range.take(lanes) >> bits.astype(np.uint64)
+        self._narrow(lanes, (ids & ((1 << bits) - 1)).astype(np.uint64) * step, step)
+        _count(self.sizes, lanes, size, sums[16])
         return ids
 
     def result(self) -> list[bytes]:
@@ -171,26 +185,27 @@ class Decoder(Lanes):
         self.code[lanes] = (self.code[lanes] << _WORD) | self.words[lanes, at]
         self.taken[lanes] += 1
 
-    def _flag(self, t: int, lanes: np.ndarray, chance: np.ndarray, guess: np.ndarray) -> np.ndarray:
+    def _flag(self, t: int, lanes: np.ndarray | slice, chance: np.ndarray, guess: np.ndarray) -> np.ndarray:
         step = self.range[lanes] >> _U(12)
-        hit = self.code[lanes] - self.low[lanes] < chance.astype(np.uint64) * step
-        self._narrow(lanes, np.where(hit, 0, chance), np.where(hit, chance, 4096 - chance), step)
+        bound = chance.astype(np.uint64) * step
+        hit = self.code[lanes] - self.low[lanes] < bound
+        self._narrow(lanes, np.where(hit, _U(0), bound), np.where(hit, bound, (step << _U(12)) - bound))
         return np.where(hit, guess, -1)
 
     def _literal(self, t: int, lanes: np.ndarray) -> np.ndarray:
-        counts = self.sizes[lanes]
-        sums = np.cumsum(counts, axis=1)
-        row = np.arange(len(lanes))
-        step = self.range[lanes] // sums[:, 16].astype(np.uint64)
-        value = ((self.code[lanes] - self.low[lanes]) // step).astype(np.int64)
-        size = np.minimum((sums <= value[:, None]).sum(axis=1), 16)
-        own = counts[row, size]
-        self._narrow(lanes, sums[row, size] - own, own, step)
+        counts, sums = self._sums(lanes)
+        step = self.range.take(lanes) // sums[16].astype(np.uint64)
+        value = np.minimum((self.code.take(lanes) - self.low.take(lanes)) // step, _U(65535)).astype(np.int32)
+        size = np.minimum(np.add.reduce((sums <= value).view(np.int8), axis=0, dtype=np.int8), 16).astype(np.int32)
+        at = size * len(lanes) + np.arange(len(lanes))
+        own = counts.take(at)
+        self._narrow(lanes, (sums.take(at) - own).astype(np.uint64) * step, own.astype(np.uint64) * step)
         bits = np.maximum(size - 1, 0)
-        step = self.range[lanes] >> bits.astype(np.uint64)
-        below = np.minimum(((self.code[lanes] - self.low[lanes]) // step).astype(np.int64), (1 << bits) - 1)
-        self._narrow(lanes, below, np.ones(len(lanes), np.int64), step)
-        _count(self.sizes, lanes, size, sums[:, 16])
+        step = self.range.take(lanes) >> bits.astype(np.uint64)
+        ahead = (self.code.take(lanes) - self.low.take(lanes)) // step
+        below = np.minimum(ahead.astype(np.int64), (1 << bits) - 1)
+        self._narrow(lanes, below.astype(np.uint64) * step, step)
+        _count(self.sizes, lanes, size, sums[16])
         return np.where(size > 0, (1 << bits) | below, 0).astype(np.int32)
 
     def _step(self, t: int, lanes: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
@@ -203,9 +218,10 @@ class Decoder(Lanes):
 
 
 def _count(sizes: np.ndarray, lanes: np.ndarray, size: np.ndarray, total: np.ndarray) -> None:
-    sizes[lanes, size] += 24
+    sizes[size, lanes] += 24
     full = lanes[total > 8000]
-    sizes[full] = (sizes[full] >> 1) | 1
+    if len(full):
+        sizes[:, full] = (sizes[:, full] >> 1) | 1
 
 
 def write_chunk(lengths: list[int], ids: np.ndarray) -> bytes:

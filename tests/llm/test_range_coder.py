@@ -65,3 +65,10 @@ def test_documents(documents, edge, empty, monkeypatch):
     check(documents)
     check(edge)
     assert rc.coded_ids(empty, vocabulary()).count() == 0
+
+
+def test_files_keep_their_bytes():
+    rng = random.Random(5)
+    ids = [rng.choice([7, 9, rng.randrange(65536), rng.randrange(300)]) for _ in range(9000)] + [3] * 2000
+    payload = trip(ids, [4000, 0, 7000])
+    assert (len(payload), zlib.crc32(payload)) == (10848, 286523151)
