@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -11,9 +12,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Entries of a worker's cache, the longest word it holds, and the bytes of texts that are looked up at
-#: once, unless one text has more; they bound its memory.
-CACHE_WORDS, CACHE_CHARS, SLICE = 900_000, 40, 8 << 20
+#: Bytes of a worker's cache, the longest word it holds, and the bytes of texts that are looked up at
+#: once, unless one text has more; they bound its memory. What an entry takes besides its word and ids.
+CACHE_BYTES, CACHE_CHARS, SLICE, ENTRY = 64 << 20, 40, 4 << 20, 80
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 _TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
@@ -63,36 +64,41 @@ class Encoder:
         self.symbols = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.space = self.symbols(" ")[0][0]
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # ids of words with a space before them
+        self.parts: dict[str, bytes] = {}  # ids of other parts of a text, as they stand
+        self.held = 0  # bytes of both
         self.line_end = self._whole("\n")
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, "<u4").tobytes()
 
-    def _learn(self, parts: list[str]) -> None:
+    def _keep(self, cache: dict[str, bytes], name: str, ids: bytes) -> None:
+        if len(name) <= CACHE_CHARS:
+            cache[name] = ids
+            self.held += sys.getsizeof(name) + sys.getsizeof(ids) + ENTRY
+
+    def _learn(self, parts: list[str]) -> dict[str, bytes]:
         """Encode parts in one call, a line each: a line end between two non-spaces is an id of its
         own, and so is one before a space and a non-space."""
         plain = [p for p in parts if "\n" not in p and not p[-1].isspace() and not p[:2].isspace()]
         ids = np.frombuffer(self._whole("\n".join(plain)), "<u4")
         ends = np.flatnonzero(ids == np.frombuffer(self.line_end, "<u4")[0])
+        found = {}
         if len(self.line_end) == 4 and len(ends) == len(plain) - 1:
             raw, edges = ids.tobytes(), [-1, *ends.tolist(), len(ids)]
-            self.parts.update((p, raw[4 * a + 4:4 * b]) for p, a, b in zip(plain, edges, edges[1:]))
-        for p in parts:
-            if p not in self.parts:
-                self.parts[p] = self._whole(p)
+            found = {p: raw[4 * a + 4:4 * b] for p, a, b in zip(plain, edges, edges[1:])}
+        return found | {p: self._whole(p) for p in parts if p not in found}
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, piece: str, space: str) -> bytes:
         """Ids of letters after a space or none, or of ASCII punctuation: the pre-tokenizer leaves such
         a piece whole, so the file's model gets it at once, its bytes spelt as the pre-tokenizer does."""
-        ids = self.parts.get(piece)
+        cache = self.words if space else self.parts
+        ids = cache.get(piece)
         if ids is None:
-            spelt = piece.replace(" ", self.space) if piece.isascii() else self.symbols(piece)[0][0]
-            ids = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
-            if len(piece) <= CACHE_CHARS:
-                self.parts[piece] = ids
+            spelt = piece if piece.isascii() else self.symbols(piece)[0][0]
+            ids = array("I", [t.id for t in self.model.tokenize(self.space + spelt if space else spelt)]).tobytes()
+            self._keep(cache, piece, ids)
         return ids
 
     def _plain(self, word: str, space: str) -> bytes | None:
@@ -100,8 +106,8 @@ class Encoder:
         body = word.rstrip(_TAIL)
         if not (body.isascii() and body.isalpha()) and not _PLAIN(word):
             return None
-        ids = self._piece(space + body)
-        return ids if len(body) == len(word) else ids + self._piece(word[len(body):])
+        ids = self._piece(body, space)
+        return ids if len(body) == len(word) else ids + self._piece(word[len(body):], "")
 
     def _line_words(self, word: str) -> bytes | None:
         first, *lines = word.split("\n")
@@ -109,23 +115,26 @@ class Encoder:
         return None if None in out else self.line_end.join(out)
 
     def _words(self, words: Iterable[str]) -> dict[str, bytes]:
-        """Ids of words, each with a space before it."""
-        if len(self.parts) > CACHE_WORDS:
+        """Ids of words, each with a space before it. A word is kept whole or by its parts, not both."""
+        if self.held > CACHE_BYTES:
+            self.words.clear()
             self.parts.clear()
+            self.held = 0
         known = {w: self._line_words(w) if "\n" in w else self._plain(w, " ") for w in words}
         cuts = {w: _cut(" " + w) for w, ids in known.items() if ids is None}
         if cuts:
-            parts = self.parts
-            new = {p for cut in cuts.values() for p in cut if p not in parts}
-            if new:
-                self._learn(list(new))
-            known |= {w: b"".join([parts[p] for p in cut]) for w, cut in cuts.items()}
-            for p in new:
-                if len(p) > CACHE_CHARS:
-                    del parts[p]
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        self.words.update({w: ids for w, ids in known.items() if len(w) <= CACHE_CHARS and "\n" not in w and (w not in cuts or _clean(w))})
+            parts = {p for cut in cuts.values() for p in cut}
+            new = [p for p in parts if p not in self.parts]
+            learnt = self._learn(new) if new else {}
+            ids = {p: learnt[p] if p in learnt else self.parts[p] for p in parts}
+            for w, cut in cuts.items():
+                known[w] = b"".join([ids[p] for p in cut])
+                if "\n" not in w and _clean(w):
+                    self._keep(self.words, w, known[w])
+                    if len(cut) == 1:
+                        learnt.pop(cut[0], None)
+            for p, found in learnt.items():
+                self._keep(self.parts, p, found)
         return known
 
     def _first(self, word: str) -> bytes:
