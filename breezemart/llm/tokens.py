@@ -12,9 +12,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of a worker's cache, the longest word it holds, and the bytes of texts that are looked up at
-#: once, unless one text has more; they bound its memory. What an entry takes besides its word and ids.
-CACHE_BYTES, CACHE_CHARS, SLICE, ENTRY = 64 << 20, 40, 4 << 20, 80
+#: Entries and bytes of a worker's cache, the longest word it holds, and the bytes of texts that are looked
+#: up at once, unless one text has more; they bound its memory. What an entry takes besides its word and ids.
+CACHE_WORDS, CACHE_BYTES, CACHE_CHARS, SLICE, ENTRY = 900_000, 64 << 20, 40, 4 << 20, 80
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 _TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
@@ -116,7 +116,7 @@ class Encoder:
 
     def _words(self, words: Iterable[str]) -> dict[str, bytes]:
         """Ids of words, each with a space before it. A word is kept whole or by its parts, not both."""
-        if self.held > CACHE_BYTES:
+        if self.held > CACHE_BYTES or len(self.words) + len(self.parts) > CACHE_WORDS:
             self.words.clear()
             self.parts.clear()
             self.held = 0

@@ -6,6 +6,7 @@ import sys
 import pyarrow as pa
 from tokenizers import Tokenizer
 
+from breezemart.llm import tokens as token_module
 from breezemart.llm.tokens import Encoder, vocabulary
 
 
@@ -31,9 +32,11 @@ def test_many_different_words_take_bounded_memory():
         assert memoryview(got).cast("I").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
-def test_words_with_and_without_a_space_are_told_apart():
-    tokens, plain = Encoder(vocabulary()), Tokenizer.from_file(vocabulary())
+def test_words_with_and_without_a_space_are_told_apart(monkeypatch):
+    plain = Tokenizer.from_file(vocabulary())
     rows = ["one two, two\none (one) one\ntwo", "two one\none two", "слово слово\nслово", "a-1 x\n\na-1 b  c a-1", "one", " one", "é é, é"]
-    for _ in range(2):  # the second time from the cache
-        for text in rows:
+    for size in (token_module.CACHE_BYTES, 300):
+        monkeypatch.setattr(token_module, "CACHE_BYTES", size)
+        tokens = Encoder(vocabulary())
+        for text in rows * 2:  # the second time from the cache
             assert memoryview(tokens.encode(text)).cast("I").tolist() == plain.encode(text, add_special_tokens=False).ids
