@@ -6,7 +6,7 @@ import os
 import re
 import sys
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +15,27 @@ import pyarrow.compute as pc
 #: Entries and bytes of a worker's cache, the longest word it holds, and the bytes of texts that are looked
 #: up at once, unless one text has more; they bound its memory. What an entry takes besides its word and ids.
 CACHE_WORDS, CACHE_BYTES, CACHE_CHARS, SLICE, ENTRY = 900_000, 64 << 20, 40, 4 << 20, 80
-_CUT = re.compile(r"(?<=\S) (?=\S)")
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
-_TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+
+#: What a byte is: a space, of a Latin letter, a digit, ASCII punctuation but the apostrophe, a line end, or
+#: else. More bits: white space of ASCII, and the first byte of a character that may be other white space.
+SPACE, LETTER, DIGIT, SIGN, LINE, ELSE, BLANK, LEAD = 0, 1, 2, 3, 4, 5, 8, 16
+
+
+def _kind(byte: int) -> int:
+    char = chr(byte)
+    if byte in (0xC2, 0xE1, 0xE2, 0xE3):
+        return ELSE | LEAD
+    if 0x80 <= byte <= 0xBF or 0xC3 <= byte <= 0xC9 or char.isascii() and char.isalpha():
+        return LETTER
+    if byte in b" \n":
+        return BLANK | (SPACE if byte == 32 else LINE)
+    if char.isascii() and char.isspace():
+        return ELSE | BLANK
+    return DIGIT if byte in b"0123456789" else SIGN if 32 < byte < 127 and char != "'" else ELSE
+
+
+KINDS = bytes(map(_kind, range(256)))
 
 
 def vocabulary() -> str:
@@ -46,13 +64,63 @@ def _cut(piece: str) -> list[str]:
     return parts
 
 
+def _blanks(raw: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Which bytes belong to white space, as str.isspace has it."""
+    blank = (kinds & BLANK) != 0
+    leads = np.flatnonzero(kinds & LEAD)
+    if len(leads):
+        one, two, three = raw[leads], raw[leads + 1], raw[np.minimum(leads + 2, len(raw) - 1)]
+        short = (one == 0xC2) & ((two == 0x85) | (two == 0xA0))
+        long = (one == 0xE2) & (two == 0x80) & ((three <= 0x8A) | (three == 0xA8) | (three == 0xA9) | (three == 0xAF))
+        for char in "\u1680\u205f\u3000":
+            x, y, z = char.encode()
+            long |= (one == x) & (two == y) & (three == z)
+        for found, n in ((short, 2), (long, 3)):
+            for k in range(n):
+                blank[leads[found] + k] = True
+    return blank
+
+
+def _pieces(data: bytes, edges: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pieces of texts start in their joined bytes, and which are not plain.
+
+    A text is cut at single spaces between two non-spaces, which stay with the word after them. A word
+    of Latin letters, ASCII digits, ASCII punctuation but the apostrophe, and line ends between two
+    non-spaces is plain. The pre-tokenizer keeps its runs of one kind apart, and so they are pieces.
+    Other words, and texts that are to be kept `whole`, are a piece each.
+    """
+    raw, kinds, n = np.frombuffer(data, np.uint8), np.frombuffer(data.translate(KINDS), np.uint8), len(data)
+    blank, first = _blanks(raw, kinds), np.zeros(n + 1, bool)
+    first[edges] = True
+    near = first[:-1] | first[1:]  # beside white space or the end of a text
+    near[1:] |= blank[:-1]
+    near[:-1] |= blank[1:]
+    spaces, kinds = raw == 32, kinds & 7
+    odd = (kinds == ELSE) | ((spaces | (raw == 10)) & near)
+    before, after = raw[:-1], raw[1:]
+    odd[1:] |= (before == 0xC3) & ((after == 0x97) | (after == 0xB7)) | (before == 0xC9) & (after >= 0x90)
+    words = spaces & ~near | first[:-1]
+    for r in np.flatnonzero(whole):
+        words[edges[r] + 1:edges[r + 1]] = False
+        odd[edges[r]] = True
+    begins = words.copy()
+    begins[1:] |= (kinds[1:] != kinds[:-1]) & (kinds[:-1] != SPACE)
+    at, starts = np.flatnonzero(begins), np.flatnonzero(words)
+    odds = np.concatenate([[0], np.cumsum(odd, dtype=np.int32)])
+    strange = (odds[np.append(starts[1:], n)] > odds[starts])
+    begun = words[at]
+    strange = strange[np.cumsum(begun) - 1]
+    kept = begun | ~strange
+    return at[kept], strange[kept]
+
+
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit integers, equal to those of the whole text.
 
-    The byte-level pre-tokenizer never joins what a single space between two non-spaces divides, so
-    texts are cut there, and each word with the space before it is encoded once per worker. Arrow
-    finds the distinct words of many texts and puts the ids together. A text that holds an added
-    token of the file, such as <|endoftext|>, is encoded whole.
+    Many texts are cut at once into pieces that the byte-level pre-tokenizer keeps apart (`_pieces`).
+    Arrow finds the distinct ones and puts the ids together; each is encoded once per worker, while
+    the cache holds it. A text that holds an added token of the file, such as <|endoftext|>, is
+    encoded whole.
     """
 
     def __init__(self, path: str):
@@ -61,11 +129,11 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.symbols = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        symbols = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelt = {c: symbols(c)[0][0] for c in map(chr, [10, *range(32, 127), *range(0xC0, 0x250)])}
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.space = self.symbols(" ")[0][0]
-        self.words: dict[str, bytes] = {}  # ids of words with a space before them
-        self.parts: dict[str, bytes] = {}  # ids of other parts of a text, as they stand
+        self.words: dict[str, bytes] = {}  # ids of plain pieces
+        self.parts: dict[str, bytes] = {}  # ids of other pieces, and of their parts
         self.held = 0  # bytes of both
         self.line_end = self._whole("\n")
 
@@ -73,10 +141,10 @@ class Encoder:
         ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, "<u4").tobytes()
 
-    def _keep(self, cache: dict[str, bytes], name: str, ids: bytes) -> None:
-        if len(name) <= CACHE_CHARS:
-            cache[name] = ids
-            self.held += sys.getsizeof(name) + sys.getsizeof(ids) + ENTRY
+    def _keep(self, cache: dict[str, bytes], found: dict[str, bytes]) -> None:
+        short = {p: ids for p, ids in found.items() if len(p) <= CACHE_CHARS}
+        cache |= short
+        self.held += sum(map(sys.getsizeof, short)) + sum(map(sys.getsizeof, short.values())) + ENTRY * len(short)
 
     def _learn(self, parts: list[str]) -> dict[str, bytes]:
         """Encode parts in one call, a line each: a line end between two non-spaces is an id of its
@@ -90,73 +158,39 @@ class Encoder:
             found = {p: raw[4 * a + 4:4 * b] for p, a, b in zip(plain, edges, edges[1:])}
         return found | {p: self._whole(p) for p in parts if p not in found}
 
-    def _piece(self, piece: str, space: str) -> bytes:
-        """Ids of letters after a space or none, or of ASCII punctuation: the pre-tokenizer leaves such
-        a piece whole, so the file's model gets it at once, its bytes spelt as the pre-tokenizer does."""
-        cache = self.words if space else self.parts
-        ids = cache.get(piece)
-        if ids is None:
-            spelt = piece if piece.isascii() else self.symbols(piece)[0][0]
-            ids = array("I", [t.id for t in self.model.tokenize(self.space + spelt if space else spelt)]).tobytes()
-            self._keep(cache, piece, ids)
-        return ids
-
-    def _plain(self, word: str, space: str) -> bytes | None:
-        """Ids of Latin letters and the punctuation after them; None for any other word."""
-        body = word.rstrip(_TAIL)
-        if not (body.isascii() and body.isalpha()) and not _PLAIN(word):
-            return None
-        ids = self._piece(body, space)
-        return ids if len(body) == len(word) else ids + self._piece(word[len(body):], "")
-
-    def _line_words(self, word: str) -> bytes | None:
-        first, *lines = word.split("\n")
-        out = [self._plain(first, " "), *[self._plain(x, "") for x in lines]]
-        return None if None in out else self.line_end.join(out)
-
-    def _words(self, words: Iterable[str]) -> dict[str, bytes]:
-        """Ids of words, each with a space before it. A word is kept whole or by its parts, not both."""
-        if self.held > CACHE_BYTES or len(self.words) + len(self.parts) > CACHE_WORDS:
-            self.words.clear()
-            self.parts.clear()
-            self.held = 0
-        known = {w: self._line_words(w) if "\n" in w else self._plain(w, " ") for w in words}
-        cuts = {w: _cut(" " + w) for w, ids in known.items() if ids is None}
-        if cuts:
-            parts = {p for cut in cuts.values() for p in cut}
-            new = [p for p in parts if p not in self.parts]
-            learnt = self._learn(new) if new else {}
-            ids = {p: learnt[p] if p in learnt else self.parts[p] for p in parts}
-            for w, cut in cuts.items():
-                known[w] = b"".join([ids[p] for p in cut])
-                if "\n" not in w and _clean(w):
-                    self._keep(self.words, w, known[w])
-                    if len(cut) == 1:
-                        learnt.pop(cut[0], None)
-            for p, found in learnt.items():
-                self._keep(self.parts, p, found)
-        return known
-
-    def _first(self, word: str) -> bytes:
-        """Ids of a word without a space before it."""
-        ids = self._plain(word, "")
-        return (self._whole(word) if word else b"") if ids is None else ids
-
-    def _uneven(self, text: str) -> bytes:
-        """Ids of a text with an added token, or with spaces that are not single ones between words."""
-        if any(token in text for token in self.added):
-            return self._whole(text)
-        first, *words = _CUT.split(text)
-        out = [self.words.get(w) for w in words]
-        known = self._words({w for w, ids in zip(words, out) if ids is None})
-        return b"".join([self._whole(first) if first else b"", *[known[w] if ids is None else ids for w, ids in zip(words, out)]])
+    def _plain(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of plain pieces: the pre-tokenizer leaves such a piece whole, so the file's model gets
+        it at once, its bytes spelt as the pre-tokenizer does."""
+        space, spell, tokenize, found = self.spelt[" "], self.spelt.__getitem__, self.model.tokenize, {}
+        for p in pieces:
+            spelt = p.replace(" ", space) if p.isascii() and p != "\n" else "".join(map(spell, p))
+            found[p] = array("I", [t.id for t in tokenize(spelt)]).tobytes()
+        self._keep(self.words, found)
+        return found
+
+    def _other(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of other pieces. A piece is kept whole or by its parts, not both."""
+        found = {p: self._whole(p) for p in pieces if any(token in p for token in self.added)}
+        cuts = {p: _cut(p) if p[0] == " " else [p] for p in pieces if p not in found}
+        parts = {part for cut in cuts.values() for part in cut}
+        ids = {p: self.parts[p] for p in parts if p in self.parts}
+        new = [p for p in parts if p not in ids]
+        learnt = self._learn(new) if new else {}
+        ids |= learnt
+        kept = {}
+        for p, cut in cuts.items():
+            found[p] = b"".join([ids[part] for part in cut])
+            if "\n" not in p and _clean(p.removeprefix(" ")):
+                kept[p] = found[p]
+        self._keep(self.parts, learnt | kept)
+        return found
 
     def encode(self, text: str | None) -> bytes:
         return next(self.encode_all(pa.array([text], pa.string())))
 
     def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text; a null one has none."""
-        texts = texts.fill_null("")
+        texts = texts.cast(pa.string()).fill_null("")
         sums = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
         edges = [0, *(np.flatnonzero(np.diff(sums // SLICE)) + 1).tolist(), len(texts)]
         for a, b in zip(edges, edges[1:]):
@@ -165,44 +199,38 @@ class Encoder:
     def _encode(self, texts: pa.Array) -> Iterator[bytes]:
         if not len(texts):
             return
-        cut = pc.split_pattern(texts, " ")
-        edges = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False), dtype=np.int64)])
-        flat = cut.flatten()
-        coded = flat.dictionary_encode()
-        # one decoded string cut up is several times faster than one object made after another
-        names = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary), " ")[0].as_py().split(" ")
-        at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        firsts = flat.take(pa.array(edges[:-1])).to_pylist()
-
+        if self.held > CACHE_BYTES or len(self.words) + len(self.parts) > CACHE_WORDS:
+            self.words.clear()
+            self.parts.clear()
+            self.held = 0
         whole = np.zeros(len(texts), bool)
         for token in self.added:
             whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
-        whole |= np.array([w[-1:].isspace() for w in firsts]) & (np.diff(edges) > 1)
-        looked = np.repeat(~whole, np.diff(edges))
-        looked[edges[:-1]] = False
-        wanted = np.zeros(len(names), bool)
-        wanted[at[looked]] = True
-
-        ids, used = list(map(self.words.get, names)), wanted.tolist()
-        new = [i for i, x in enumerate(ids) if x is None and used[i]]
-        uneven = [i for i in new if not (names[i].isalpha() or _clean(names[i]))]
-        skipped = set(uneven)
-        if len(new) > len(uneven):
-            known = self._words([names[i] for i in new if i not in skipped])
-            for i in new:
-                ids[i] = known.get(names[i])
-        if uneven:
-            wanted[:] = False
-            wanted[uneven] = True
-            whole[np.searchsorted(edges, np.flatnonzero(wanted[at] & looked), "right") - 1] = True
-
-        rows = [b"" if x else self._first(w) for w, x in zip(firsts, whole.tolist())]
-        for r in np.flatnonzero(whole).tolist():
-            at[edges[r]:edges[r + 1]] = len(ids) + len(rows)
-            rows[r] = self._uneven(texts[r].as_py())
-        at[edges[:-1]] = len(ids) + np.arange(len(rows))
-        taken = pa.array([*ids, *rows, b""], pa.large_binary()).take(pa.array(at))
-        ends = np.frombuffer(taken.buffers()[1], np.int64)[edges].tolist()
+        ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:][:len(texts) + 1]
+        data = bytes(memoryview(texts.buffers()[2] or b"")[ends[0]:ends[-1]])
+        edges = ends - ends[0]
+        starts, strange = _pieces(data, edges, whole) if data else (np.zeros(0, np.int64), np.zeros(0, bool))
+        coded = pa.StringArray.from_buffers(
+            len(starts), pa.py_buffer(np.append(starts, len(data)).astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        other = np.zeros(len(coded.dictionary), bool)
+        other[at[strange]] = True
+        # one decoded string cut up is several times faster than one object made after another
+        joined = pa.ListArray.from_arrays(pa.array([0, len(other)], pa.int32()), coded.dictionary)
+        names = pc.binary_join(joined, "\0")[0].as_py().split("\0")
+        if len(names) != len(other):
+            names = coded.dictionary.to_pylist()
+
+        ids = list(map(self.words.get, names))
+        for i in np.flatnonzero(other).tolist():
+            ids[i] = self.parts.get(names[i])
+        plain = [p for p, x, odd in zip(names, ids, other.tolist()) if x is None and not odd]
+        rest = [names[i] for i in np.flatnonzero(other).tolist() if ids[i] is None]
+        if plain or rest:
+            known = self._plain(plain) | (self._other(rest) if rest else {})
+            ids = [known[p] if x is None else x for p, x in zip(names, ids)]
+        taken = pa.array(ids, pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[np.searchsorted(starts, edges)].tolist() if len(ids) else [0] * len(edges)
         raw = memoryview(taken.buffers()[2] or b"")
         for a, b in zip(ends, ends[1:]):
             yield bytes(raw[a:b])
