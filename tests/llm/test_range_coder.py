@@ -1,6 +1,7 @@
 """Exact round trips of the range coder, and its files against the tokenizer."""
 
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -72,3 +73,40 @@ def test_files_keep_their_bytes():
     ids = [rng.choice([7, 9, rng.randrange(65536), rng.randrange(300)]) for _ in range(9000)] + [3] * 2000
     payload = trip(ids, [4000, 0, 7000])
     assert (len(payload), zlib.crc32(payload)) == (10848, 286523151)
+
+
+def test_rows_coded_side_by_side_keep_their_bytes(monkeypatch):
+    rng, whole = np.random.default_rng(6), rc.Encoder
+    rows = [rng.integers(0, top, n).astype(np.uint32) for top, n in ((50_000, 9000), (300, 1), (65_536, 4096), (9, 0), (40, 8191))]
+    alone, made = [rc.write_chunk([len(x)], x) for x in rows], []
+    monkeypatch.setattr(rc, "Encoder", lambda blocks: made.append(len(blocks)) or whole(blocks))
+    assert rc.write_chunks([([len(x)], x) for x in rows]) == alone
+    assert made == [7]  # one run for the blocks of all rows
+    assert [ids.tolist() for _, ids in rc.read_chunks(alone)] == [x.tolist() for x in rows]
+
+
+def test_many_rows_a_task(spark, monkeypatch):
+    monkeypatch.setattr(rc, "CHUNK", 50)
+    monkeypatch.setattr(rc, "BESIDE", 130)
+    docs = spark.createDataFrame([(i, f"word{i} " * (i % 30 if i != 70 else 400)) for i in range(140)], "doc_id long, text string")
+    check(docs.repartition(2))
+    files = rc.write_ids(docs, vocabulary()).collect()
+    assert len(files) > 20 and all(sorted(r.chunk for r in files if r.part == p) == list(range(sum(r.part == p for r in files)))
+                                   for p in {r.part for r in files})
+
+
+def counted(work):
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event in ("call", "c_call") else None)
+    try:
+        result = work()
+    finally:
+        sys.setprofile(None)
+    return result, len(calls)
+
+
+def test_few_calls_a_step():
+    ids = np.random.default_rng(8).integers(0, 50_000, 3 * rc.BLOCK).astype(np.uint32)
+    payload, coded = counted(lambda: rc.write_chunk([len(ids)], ids))
+    _, decoded = counted(lambda: rc.read_chunk(payload))
+    assert coded < 120 * rc.BLOCK and decoded < 120 * rc.BLOCK
