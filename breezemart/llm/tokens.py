@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 #: Entries and bytes of a worker's cache, the longest word it holds, and the bytes of texts that are looked
 #: up at once, unless one text has more; they bound its memory. What an entry takes besides its word and ids.
 CACHE_WORDS, CACHE_BYTES, CACHE_CHARS, SLICE, ENTRY = 900_000, 64 << 20, 40, 4 << 20, 80
+#: Bytes of texts that are cut into pieces at once, unless one text has more.
+CUT_AT_ONCE = 256 << 10
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 
 #: What a byte is: a space, of a Latin letter, a digit, ASCII punctuation but the apostrophe, a line end, or
@@ -111,7 +113,12 @@ def _pieces(data: bytes, edges: np.ndarray, whole: np.ndarray) -> tuple[np.ndarr
     begun = words[at]
     strange = strange[np.cumsum(begun) - 1]
     kept = begun | ~strange
-    return at[kept], strange[kept]
+    return at[kept].astype(np.int32), strange[kept]
+
+
+def _groups(ends: np.ndarray, size: int) -> list[int]:
+    """Texts that end at `ends` in groups of `size` bytes, or of one text: where each starts, and the end."""
+    return [0, *(np.flatnonzero(np.diff(ends // size)) + 1).tolist(), len(ends)]
 
 
 class Encoder:
@@ -191,8 +198,7 @@ class Encoder:
     def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text; a null one has none."""
         texts = texts.cast(pa.string()).fill_null("")
-        sums = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
-        edges = [0, *(np.flatnonzero(np.diff(sums // SLICE)) + 1).tolist(), len(texts)]
+        edges = _groups(np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64), SLICE)
         for a, b in zip(edges, edges[1:]):
             yield from self._encode(texts.slice(a, b - a))
 
@@ -209,9 +215,12 @@ class Encoder:
         ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:][:len(texts) + 1]
         data = bytes(memoryview(texts.buffers()[2] or b"")[ends[0]:ends[-1]])
         edges = ends - ends[0]
-        starts, strange = _pieces(data, edges, whole) if data else (np.zeros(0, np.int64), np.zeros(0, bool))
+        groups = _groups(edges[1:], CUT_AT_ONCE)
+        cut = [_pieces(data[edges[a]:edges[b]], edges[a:b + 1] - edges[a], whole[a:b]) for a, b in zip(groups, groups[1:])]
+        starts = np.concatenate([found + edges[a] for a, (found, _) in zip(groups, cut)])
+        strange = np.concatenate([odd for _, odd in cut])
         coded = pa.StringArray.from_buffers(
-            len(starts), pa.py_buffer(np.append(starts, len(data)).astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
+            len(starts), pa.py_buffer(np.append(starts, edges[-1:])), pa.py_buffer(data)).dictionary_encode()
         at = coded.indices.to_numpy(zero_copy_only=False)
         other = np.zeros(len(coded.dictionary), bool)
         other[at[strange]] = True
